@@ -1 +1,964 @@
-"""placeholder"""
+"""Queries of the row, text, date, grouping, join and quality operators."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from registry.base import query, table
+from tidemark.functions import coerce, dates, text
+from tidemark.operators import grouping, joins, observing, quality, rows
+
+# -- row functions
+
+
+@query(
+    "each_all",
+    "SELECT n_nationkey, n_name, n_regionkey, upper(n_name) AS loud FROM nation",
+)
+def _(spark, folder):
+    return rows.each(table(spark, folder, "nation"), {"loud": F.upper("n_name")})
+
+
+@query("each_results", "SELECT o_orderkey * 2 AS double_key FROM orders")
+def _(spark, folder):
+    return rows.each(
+        table(spark, folder, "orders"), {"double_key": F.col("o_orderkey") * 2}, output="RESULTS"
+    )
+
+
+@query(
+    "each_replace",
+    "SELECT c_custkey, lower(c_name) AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+)
+def _(spark, folder):
+    return rows.each(table(spark, folder, "customer"), {"c_name": F.lower("c_name")}, output="REPLACE")
+
+
+@query(
+    "each_swap",
+    "SELECT c_custkey, c_nationkey, c_acctbal, c_name || '/' || c_mktsegment AS label FROM customer",
+)
+def _(spark, folder):
+    return rows.each(
+        table(spark, folder, "customer"),
+        {"label": text.field_join("c_name", "c_mktsegment", delimiter="/")},
+        output="SWAP",
+        arguments=["c_name", "c_mktsegment"],
+    )
+
+
+@query("each_selected", "SELECT length(p_name) AS width, p_partkey FROM part")
+def _(spark, folder):
+    return rows.each(
+        table(spark, folder, "part"), {"width": F.length("p_name")}, output=["width", "p_partkey"]
+    )
+
+
+@query("retain", "SELECT l_orderkey, l_linenumber FROM lineitem")
+def _(spark, folder):
+    return rows.retain(table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+@query("discard", "SELECT p_partkey, p_brand, p_size FROM part")
+def _(spark, folder):
+    return rows.discard(table(spark, folder, "part"), "p_name", "p_type", "p_retailprice")
+
+
+@query("rename", "SELECT n_nationkey AS id, n_name AS name, n_regionkey FROM nation")
+def _(spark, folder):
+    return rows.rename(table(spark, folder, "nation"), {"n_nationkey": "id", "n_name": "name"})
+
+
+@query(
+    "coerce",
+    """
+SELECT o_orderkey,
+       coalesce(CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_custkey AS INTEGER) END, 0) AS custkey,
+       CAST(trunc(o_totalprice) AS BIGINT) AS price,
+       o_orderstatus = 'TRUE' AS flag,
+       CAST(o_orderkey AS VARCHAR) AS key_text,
+       CAST(o_custkey AS DOUBLE) AS cust_real
+FROM orders""",
+)
+def _(spark, folder):
+    prepared = table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey").cast("string")).alias("custkey"),
+        F.col("o_totalprice").alias("price"),
+        F.col("o_orderstatus").alias("flag"),
+        F.col("o_orderkey").alias("key_text"),
+        F.col("o_custkey").cast("string").alias("cust_real"),
+    )
+    return coerce.coerce(
+        prepared,
+        {"custkey": "int", "price": "long", "flag": "boolean", "key_text": "string", "cust_real": "double"},
+    )
+
+
+@query(
+    "coerce_safe",
+    """
+SELECT page_id, TRY_CAST(nullif(regexp_extract(url, '/([0-9a-z.]+)[^/]*$', 1), '') AS INTEGER) AS number
+FROM pages WHERE regexp_extract(url, '/([0-9a-z.]+)[^/]*$', 1) <> ''""",
+)
+def _(spark, folder):
+    found = table(spark, folder, "pages").select(
+        "page_id", F.regexp_extract("url", r"/([0-9a-z.]+)[^/]*$", 1).alias("number")
+    )
+    return coerce.coerce(found.where("number <> ''"), {"number": "int"}, safe=True)
+
+
+@query("identity", "SELECT r_regionkey AS id, CAST(r_regionkey AS VARCHAR) AS id_text FROM region")
+def _(spark, folder):
+    regions = table(spark, folder, "region").withColumn("again", F.col("r_regionkey"))
+    return rows.identity(regions, {"r_regionkey": "id", "again": "id_text"}, {"id_text": "string"})
+
+
+@query("insert", "SELECT r_regionkey, 7 AS seven, 'x' AS letter FROM region")
+def _(spark, folder):
+    return rows.insert(rows.retain(table(spark, folder, "region"), "r_regionkey"), {"seven": 7, "letter": "x"})
+
+
+@query(
+    "set_value",
+    """
+SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'debt' ELSE 'fine' END AS state FROM customer""",
+)
+def _(spark, folder):
+    return table(spark, folder, "customer").select(
+        "c_custkey", rows.set_value(F.col("c_acctbal") < 0, "fine", "debt").alias("state")
+    )
+
+
+@query(
+    "un_group",
+    """
+SELECT l_orderkey, l_linenumber, l_quantity AS amount FROM lineitem
+UNION ALL SELECT l_orderkey, l_linenumber, l_discount FROM lineitem
+UNION ALL SELECT l_orderkey, l_linenumber, l_tax FROM lineitem""",
+)
+def _(spark, folder):
+    return rows.un_group(
+        table(spark, folder, "lineitem"),
+        ["l_orderkey", "l_linenumber"],
+        [["l_quantity"], ["l_discount"], ["l_tax"]],
+        ["l_orderkey", "l_linenumber", "amount"],
+    )
+
+
+@query(
+    "un_group_every",
+    """
+SELECT l_orderkey, l_linenumber, l_partkey AS a, l_suppkey AS b FROM lineitem
+UNION ALL SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey FROM lineitem""",
+)
+def _(spark, folder):
+    wide = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        F.col("l_suppkey").alias("s2"),
+        F.col("l_partkey").alias("p2"),
+    )
+    return rows.un_group_every(
+        wide, ["l_orderkey", "l_linenumber"], 2, ["l_orderkey", "l_linenumber", "a", "b"]
+    )
+
+
+@query("expression_function", "SELECT l_orderkey, l_linenumber, l_partkey + l_suppkey AS total FROM lineitem")
+def _(spark, folder):
+    return table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", rows.expression("l_partkey + l_suppkey").alias("total")
+    )
+
+
+@query("expression_filter", "SELECT o_orderkey FROM orders WHERE NOT (o_totalprice > 100000)")
+def _(spark, folder):
+    return rows.expression_filter(table(spark, folder, "orders"), "o_totalprice > 100000").select("o_orderkey")
+
+
+def _with_gaps(spark, folder):
+    """Orders with some fields emptied."""
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")).alias("cust"),
+        F.when(F.col("o_orderkey") % 2 != 0, F.col("o_orderstatus")).alias("status"),
+    )
+
+
+GAPS = """
+gaps AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS cust,
+         CASE WHEN o_orderkey % 2 <> 0 THEN o_orderstatus END AS status
+  FROM orders
+)"""
+
+
+@query("filter_null", f"WITH {GAPS} SELECT * FROM gaps WHERE cust IS NOT NULL AND status IS NOT NULL")
+def _(spark, folder):
+    return rows.filter_null(_with_gaps(spark, folder))
+
+
+@query(
+    "filter_not_null",
+    f"WITH {GAPS} SELECT o_orderkey FROM gaps WHERE cust IS NULL AND status IS NULL",
+)
+def _(spark, folder):
+    return rows.filter_not_null(_with_gaps(spark, folder), "cust", "status").select("o_orderkey")
+
+
+# Each condition says what to remove.
+@query("filter_and", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE NOT (l_quantity > 25 AND l_tax > 0.04)")
+def _(spark, folder):
+    condition = rows.all_of(F.col("l_quantity") > 25, F.col("l_tax") > 0.04)
+    return rows.remove(table(spark, folder, "lineitem"), condition).select("l_orderkey", "l_linenumber")
+
+
+@query("filter_or", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE NOT (l_quantity > 25 OR l_tax > 0.04)")
+def _(spark, folder):
+    condition = rows.any_of(F.col("l_quantity") > 25, F.col("l_tax") > 0.04)
+    return rows.remove(table(spark, folder, "lineitem"), condition).select("l_orderkey", "l_linenumber")
+
+
+@query("filter_not", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity > 25")
+def _(spark, folder):
+    condition = rows.negate(F.col("l_quantity") > 25)
+    return rows.remove(table(spark, folder, "lineitem"), condition).select("l_orderkey", "l_linenumber")
+
+
+@query(
+    "filter_xor",
+    "SELECT l_orderkey, l_linenumber FROM lineitem WHERE (l_quantity > 25) = (l_tax > 0.04)",
+)
+def _(spark, folder):
+    condition = rows.one_of(F.col("l_quantity") > 25, F.col("l_tax") > 0.04)
+    return rows.remove(table(spark, folder, "lineitem"), condition).select("l_orderkey", "l_linenumber")
+
+
+@query("limit_rows", "SELECT count(*) AS n FROM (SELECT * FROM orders LIMIT 1000)")
+def _(spark, folder):
+    return rows.limit(table(spark, folder, "orders"), 1000).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("sample_rows")
+def _(spark, folder):
+    return rows.sample(table(spark, folder, "orders").select("o_orderkey"), 0.1, seed=7)
+
+
+# A one-in-ten sample has about a tenth of the rows, none twice, none invented.
+@query("sample_share", "SELECT true AS close, CAST(0 AS BIGINT) AS strangers")
+def _(spark, folder):
+    orders = table(spark, folder, "orders")
+    drawn = rows.sample(orders.select("o_orderkey"), 0.1, seed=7).select(F.col("o_orderkey").alias("drawn"))
+    both = orders.join(drawn, F.col("o_orderkey") == F.col("drawn"), "full")
+    return both.agg(
+        (F.abs(F.count("drawn") / F.count("o_orderkey") - 0.1) < 0.02).alias("close"),
+        F.sum(F.when(F.col("o_orderkey").isNull(), 1).otherwise(0)).alias("strangers"),
+    )
+
+
+@query("debug_rows", "SELECT event_id, 1 AS debug FROM events")
+def _(spark, folder):
+    watched, _seen = observing.debug(table(spark, folder, "events").select("event_id"))
+    return watched
+
+
+@query("counter_rows", "SELECT event_id FROM events WHERE value > 10")
+def _(spark, folder):
+    watched, _seen = observing.counter(
+        table(spark, folder, "events"), "events", clicks=F.col("event_type") == "click"
+    )
+    return watched.where("value > 10").select("event_id")
+
+
+# -- text
+
+
+@query("regex_filter", "SELECT c_custkey FROM customer WHERE regexp_matches(c_name || chr(9) || c_mktsegment, '7\tB')")
+def _(spark, folder):
+    found = text.regex_filter(table(spark, folder, "customer"), "7\tB", "c_name", "c_mktsegment")
+    return found.select("c_custkey")
+
+
+@query(
+    "regex_filter_each",
+    """
+SELECT c_custkey FROM customer
+WHERE NOT regexp_matches(c_name, '[37]$') AND NOT regexp_matches(c_mktsegment, '[37]$')""",
+)
+def _(spark, folder):
+    found = text.regex_filter(
+        table(spark, folder, "customer"), "[37]$", "c_name", "c_mktsegment", remove_match=True, each=True
+    )
+    return found.select("c_custkey")
+
+
+@query(
+    "regex_parser",
+    """
+SELECT page_id, regexp_extract(url, '^([a-z]+)://([^/]+)', 1) AS protocol,
+       regexp_extract(url, '^([a-z]+)://([^/]+)', 2) AS host
+FROM pages""",
+)
+def _(spark, folder):
+    parsed = text.regex_parse(
+        table(spark, folder, "pages"), "url", r"^([a-z]+)://([^/]+)", ["protocol", "host"]
+    )
+    return parsed.select("page_id", "protocol", "host")
+
+
+@query("regex_replace_all", "SELECT page_id, regexp_replace(url, '([aeiou])', '<\\1>', 'g') AS marked FROM pages")
+def _(spark, folder):
+    return table(spark, folder, "pages").select(
+        "page_id", text.regex_replace("url", "([aeiou])", "<$1>").alias("marked")
+    )
+
+
+@query("regex_replace_first", "SELECT doc_id, regexp_replace(text, '([aeiou])', '<\\1>') AS marked FROM documents")
+def _(spark, folder):
+    return table(spark, folder, "documents").select(
+        "doc_id", text.regex_replace("text", "([aeiou])", "<$1>", every=False).alias("marked")
+    )
+
+
+@query(
+    "regex_splitter",
+    """
+SELECT page_id, string_split(url, '/')[1] AS a, string_split(url, '/')[2] AS b,
+       array_to_string(string_split(url, '/')[3:], '/') AS c
+FROM pages""",
+)
+def _(spark, folder):
+    parts = text.regex_split_columns(table(spark, folder, "pages"), "url", "/", ["a", "b", "c"])
+    return parts.select("page_id", "a", "b", "c")
+
+
+@query(
+    "regex_split_generator",
+    """
+SELECT doc_id, part, count(*) AS n FROM (
+  SELECT doc_id, unnest(string_split(regexp_replace(text, ' +$', ''), ' ')) AS part FROM documents
+) GROUP BY doc_id, part""",
+)
+def _(spark, folder):
+    parts = text.regex_split_rows(table(spark, folder, "documents"), "text", " ", "part")
+    return parts.groupBy("doc_id", "part").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "regex_generator",
+    """
+SELECT doc_id, word, count(*) AS n FROM (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word FROM documents
+) GROUP BY doc_id, word""",
+)
+def _(spark, folder):
+    words = text.regex_generate(table(spark, folder, "documents"), "text", "[A-Za-z]+", "word")
+    return words.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "field_joiner",
+    f"""
+WITH {GAPS}
+SELECT o_orderkey, coalesce(CAST(cust AS VARCHAR), '') || chr(9) || coalesce(status, '') AS joined FROM gaps""",
+)
+def _(spark, folder):
+    return _with_gaps(spark, folder).select("o_orderkey", text.field_join("cust", "status").alias("joined"))
+
+
+@query(
+    "field_formatter",
+    "SELECT c_custkey, printf('%08d is %s', c_custkey, c_mktsegment) AS formatted FROM customer",
+)
+def _(spark, folder):
+    return table(spark, folder, "customer").select(
+        "c_custkey", text.field_format("%08d is %s", "c_custkey", "c_mktsegment").alias("formatted")
+    )
+
+
+# -- dates
+
+ORDER_TEXT = "strftime(o_orderdate, '%d/%m/%Y %H:%M:%S')"
+
+
+def _order_texts(spark, folder):
+    return table(spark, folder, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "dd/MM/yyyy HH:mm:ss").alias("day_text")
+    )
+
+
+@query("date_parser", "SELECT o_orderkey, epoch_ms(o_orderdate) AS ts FROM orders")
+def _(spark, folder):
+    return _order_texts(spark, folder).select(
+        "o_orderkey", dates.date_parse("day_text", "dd/MM/yyyy HH:mm:ss").alias("ts")
+    )
+
+
+@query(
+    "date_parser_zone",
+    "SELECT o_orderkey, epoch_ms(o_orderdate) - 9 * 3600000 AS ts FROM orders",
+)
+def _(spark, folder):
+    return _order_texts(spark, folder).select(
+        "o_orderkey", dates.date_parse("day_text", "dd/MM/yyyy HH:mm:ss", "Asia/Tokyo").alias("ts")
+    )
+
+
+@query(
+    "date_parser_fields",
+    """
+SELECT event_id, CAST(year(ts) AS INTEGER) AS y, CAST(month(ts) - 1 AS INTEGER) AS m,
+       CAST(day(ts) AS INTEGER) AS d, CAST(dayofweek(ts) + 1 AS INTEGER) AS dow,
+       CAST(dayofyear(ts) AS INTEGER) AS doy, CAST(hour(ts) AS INTEGER) AS h,
+       CAST(minute(ts) AS INTEGER) AS mi, CAST(second(ts) AS INTEGER) AS s
+FROM events""",
+)
+def _(spark, folder):
+    names = {
+        "y": "YEAR",
+        "m": "MONTH",
+        "d": "DAY_OF_MONTH",
+        "dow": "DAY_OF_WEEK",
+        "doy": "DAY_OF_YEAR",
+        "h": "HOUR_OF_DAY",
+        "mi": "MINUTE",
+        "s": "SECOND",
+    }
+    texts = table(spark, folder, "events").select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("t")
+    )
+    columns = dates.date_parse_fields("t", "yyyy-MM-dd'T'HH:mm:ss", list(names.values()))
+    return texts.select("event_id", *[c.alias(n) for n, c in zip(names, columns)])
+
+
+@query(
+    "date_formatter",
+    "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS datetime FROM events",
+)
+def _(spark, folder):
+    return table(spark, folder, "events").select(
+        "event_id",
+        dates.date_format(F.unix_millis(F.col("ts").cast("timestamp")), "yyyy-MM-dd HH:mm:ss").alias("datetime"),
+    )
+
+
+# -- grouping
+
+
+@query(
+    "aggregate_count_sum_average",
+    """
+SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS quantity,
+       CAST(sum(l_quantity) AS BIGINT) AS whole, avg(l_quantity) AS mean
+FROM lineitem GROUP BY ALL""",
+)
+def _(spark, folder):
+    return grouping.aggregate_by(
+        table(spark, folder, "lineitem"),
+        ["l_returnflag", "l_linestatus"],
+        n=grouping.count(),
+        quantity=grouping.total("l_quantity"),
+        whole=grouping.total("l_quantity", "bigint"),
+        mean=grouping.average("l_quantity"),
+    )
+
+
+@query(
+    "aggregate_nulls_as_zero",
+    """
+WITH gaps AS (SELECT o_orderstatus, CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey END AS cust FROM orders)
+SELECT o_orderstatus, CAST(coalesce(sum(cust), 0) AS DOUBLE) AS total,
+       avg(CAST(coalesce(cust, 0) AS DOUBLE)) AS mean
+FROM gaps GROUP BY o_orderstatus""",
+)
+def _(spark, folder):
+    gaps = table(spark, folder, "orders").select(
+        "o_orderstatus", F.when(F.col("o_orderkey") % 4 != 0, F.col("o_custkey")).alias("cust")
+    )
+    return grouping.aggregate_by(
+        gaps, ["o_orderstatus"], total=grouping.total("cust"), mean=grouping.average("cust")
+    )
+
+
+@query(
+    "min_max_as_numbers",
+    """
+SELECT o_orderpriority,
+       CAST(min(o_custkey) AS VARCHAR) AS low, CAST(max(o_custkey) AS VARCHAR) AS high,
+       min(o_custkey) FILTER (o_custkey NOT IN (0, 1, 2, 3, 4)) AS low_but
+FROM orders GROUP BY o_orderpriority""",
+)
+def _(spark, folder):
+    orders = table(spark, folder, "orders").withColumn("cust_text", F.col("o_custkey").cast("string"))
+    return grouping.aggregate_by(
+        orders,
+        ["o_orderpriority"],
+        low=grouping.minimum("cust_text"),
+        high=grouping.maximum("cust_text"),
+        low_but=grouping.minimum("o_custkey", ignore=[0, 1, 2, 3, 4]),
+    )
+
+
+@query(
+    "first_of_group",
+    """
+SELECT o_custkey, o_orderkey, o_orderstatus FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders
+) WHERE rn = 1""",
+)
+def _(spark, folder):
+    return grouping.first(
+        table(spark, folder, "orders"),
+        ["o_custkey"],
+        ["o_orderkey", "o_orderstatus"],
+        ["o_orderdate", "o_orderkey"],
+    )
+
+
+@query(
+    "last_of_group",
+    """
+SELECT o_custkey, o_orderstatus, o_orderpriority FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderpriority = '5-LOW')
+) WHERE rn = 1""",
+)
+def _(spark, folder):
+    return grouping.last(
+        table(spark, folder, "orders"),
+        ["o_custkey"],
+        ["o_orderstatus", "o_orderpriority"],
+        ["o_orderdate", "o_orderkey"],
+        ignore=[("F", "5-LOW")],
+    )
+
+
+@query("sum_by", "SELECT l_suppkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_suppkey")
+def _(spark, folder):
+    return grouping.sum_by(table(spark, folder, "lineitem"), ["l_suppkey"], "l_quantity", "quantity")
+
+
+@query("count_by", "SELECT event_type, count(*) AS count FROM events GROUP BY event_type")
+def _(spark, folder):
+    return grouping.count_by(table(spark, folder, "events"), ["event_type"])
+
+
+@query("average_by", "SELECT p_brand, avg(p_size) AS average FROM part GROUP BY p_brand")
+def _(spark, folder):
+    return grouping.average_by(table(spark, folder, "part"), ["p_brand"], "p_size")
+
+
+@query(
+    "group_several_streams",
+    """
+SELECT nation, count(*) AS n FROM (
+  SELECT c_nationkey AS nation FROM customer UNION ALL SELECT s_nationkey FROM supplier
+) GROUP BY nation""",
+)
+def _(spark, folder):
+    customers = table(spark, folder, "customer").select(F.col("c_nationkey").alias("nation"))
+    suppliers = table(spark, folder, "supplier").select(F.col("s_nationkey").alias("nation"))
+    return grouping.aggregate_by([customers, suppliers], ["nation"], n=grouping.count())
+
+
+@query(
+    "group_sorted",
+    """
+SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY o_custkey, o_orderkey) AS place FROM orders""",
+)
+def _(spark, folder):
+    # Rows come in key order through the partitions. The place of a row is its
+    # place in its partition plus the rows of the partitions before.
+    ordered = grouping.group_sorted(
+        table(spark, folder, "orders").select("o_custkey", "o_orderkey"), ["o_custkey"], ["o_orderkey"]
+    )
+    marked = ordered.select(
+        "o_custkey",
+        "o_orderkey",
+        F.spark_partition_id().alias("part"),
+        (F.monotonically_increasing_id() % (1 << 33)).alias("at"),
+    )
+    sizes = marked.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.part") < F.col("a.part"), "left").groupBy("a.part")
+    starts = before.agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("start"))
+    return marked.join(starts, "part").select(
+        "o_custkey", "o_orderkey", (F.col("start") + F.col("at") + 1).alias("place")
+    )
+
+
+@query("unique_fields", "SELECT DISTINCT o_custkey, o_orderstatus FROM orders")
+def _(spark, folder):
+    return grouping.distinct_fields(table(spark, folder, "orders"), "o_custkey", "o_orderstatus")
+
+
+@query(
+    "unique_rows",
+    """
+SELECT c_custkey, c_nationkey, c_mktsegment FROM (
+  SELECT *, row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey) AS rn FROM customer
+) WHERE rn = 1""",
+)
+def _(spark, folder):
+    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return grouping.unique(customers, ["c_nationkey", "c_mktsegment"], ["c_custkey"])
+
+
+@query("distinct_count", "SELECT l_returnflag, true AS close FROM lineitem GROUP BY l_returnflag")
+def _(spark, folder):
+    counted = table(spark, folder, "lineitem").groupBy("l_returnflag").agg(
+        grouping.distinct_count("l_orderkey").alias("estimate"),
+        F.count_distinct("l_orderkey").alias("exact"),
+    )
+    gap = F.abs(F.col("estimate") - F.col("exact"))
+    return counted.select("l_returnflag", (gap <= F.col("exact") * 0.03).alias("close"))
+
+
+@query(
+    "ordered_groups",
+    """
+SELECT o_orderkey, row_number() OVER w AS place, lag(o_orderkey) OVER w AS before
+FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
+)
+def _(spark, folder):
+    looked = grouping.ordered_groups(
+        table(spark, folder, "orders"),
+        ["o_custkey"],
+        ["o_orderdate", "o_orderkey"],
+        lambda w: {
+            "place": F.row_number().over(w).cast("bigint"),
+            "before": F.lag("o_orderkey").over(w),
+        },
+    )
+    return looked.select("o_orderkey", "place", "before")
+
+
+@query(
+    "group_buffer",
+    """
+SELECT o_custkey, o_orderkey, sum(o_orderkey) OVER w AS running FROM (
+  SELECT o_custkey, o_orderkey, o_orderdate FROM orders
+) WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING)""".replace(
+        "sum(o_orderkey) OVER w", "CAST(sum(o_orderkey) OVER w AS BIGINT)"
+    ),
+)
+def _(spark, folder):
+    def running(group: pd.DataFrame) -> pd.DataFrame:
+        return group.assign(running=group["o_orderkey"].cumsum())
+
+    return grouping.buffer(
+        table(spark, folder, "orders").select("o_custkey", "o_orderkey"),
+        ["o_custkey"],
+        running,
+        "o_custkey bigint, o_orderkey bigint, running bigint",
+        ["o_orderkey"],
+    )
+
+
+@query(
+    "custom_aggregate",
+    """
+SELECT l_returnflag, CAST(sum(l_quantity) AS BIGINT) AS s,
+       CAST(sum(l_quantity * l_quantity) AS BIGINT) AS squares, count(*) AS n
+FROM lineitem GROUP BY l_returnflag""",
+)
+def _(spark, folder):
+    state = T.StructType.fromDDL("l_returnflag string, s bigint, squares bigint, n bigint")
+
+    def partial(found: pd.DataFrame) -> pd.DataFrame:
+        whole = found["l_quantity"].astype("int64")
+        made = found.assign(s=whole, squares=whole * whole, n=1)
+        return made.groupby("l_returnflag", as_index=False, dropna=False)[["s", "squares", "n"]].sum()
+
+    def merge(states: pd.DataFrame) -> pd.DataFrame:
+        return states.groupby("l_returnflag", as_index=False, dropna=False)[["s", "squares", "n"]].sum()
+
+    lines = table(spark, folder, "lineitem").select("l_returnflag", "l_quantity")
+    return grouping.custom_aggregate(lines, ["l_returnflag"], partial, merge, state)
+
+
+@query(
+    "total_sort",
+    "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC",
+)
+def _(spark, folder):
+    return grouping.total_sort(
+        table(spark, folder, "orders").select("o_orderkey", "o_totalprice"),
+        "o_totalprice",
+        "o_orderkey",
+        reverse=True,
+    )
+
+
+# -- joins and set operations
+
+
+def _streams(spark, folder):
+    """Customers, their orders with a key missing here and there, and nations."""
+    customers = table(spark, folder, "customer").select(
+        F.when(F.col("c_custkey") % 50 != 0, F.col("c_custkey")).alias("ck"), "c_nationkey"
+    )
+    orders = table(spark, folder, "orders").select(
+        F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("ok"), "o_orderkey"
+    )
+    return customers, orders.where("ok % 3 <> 0 OR (ok IS NULL AND o_orderkey < 200)")
+
+
+STREAMS = """
+c AS (SELECT CASE WHEN c_custkey % 50 <> 0 THEN c_custkey END AS ck, c_nationkey FROM customer),
+o0 AS (SELECT CASE WHEN o_custkey % 7 <> 0 THEN o_custkey END AS ok, o_orderkey FROM orders),
+o AS (SELECT * FROM o0 WHERE ok % 3 <> 0 OR (ok IS NULL AND o_orderkey < 200))"""
+
+
+def _register_pair(how: str, sql_how: str):
+    @query(
+        f"co_group_{how}",
+        f"""
+WITH {STREAMS}
+SELECT ck, c_nationkey, ok, o_orderkey FROM c {sql_how} JOIN o ON c.ck IS NOT DISTINCT FROM o.ok""",
+    )
+    def _(spark, folder):
+        customers, orders = _streams(spark, folder)
+        return joins.co_group([(customers, ["ck"]), (orders, ["ok"])], how)
+
+    @query(
+        f"hash_join_{how}",
+        f"""
+WITH {STREAMS}
+SELECT ok, o_orderkey, ck, c_nationkey FROM o {sql_how} JOIN c ON c.ck IS NOT DISTINCT FROM o.ok""",
+    )
+    def _(spark, folder):
+        customers, orders = _streams(spark, folder)
+        return joins.hash_join([(orders, ["ok"]), (customers, ["ck"])], how)
+
+
+for _how, _sql in (("inner", "INNER"), ("left", "LEFT"), ("right", "RIGHT"), ("outer", "FULL")):
+    _register_pair(_how, _sql)
+
+
+# Three streams on one key: customers, orders, and suppliers by the same number.
+THREE = f"""
+WITH {STREAMS},
+s AS (SELECT s_suppkey AS sk, s_nationkey FROM supplier WHERE s_suppkey % 2 = 0),
+k AS (SELECT ck AS k FROM c UNION SELECT ok FROM o UNION SELECT sk FROM s)
+SELECT ck, c_nationkey, ok, o_orderkey, sk, s_nationkey FROM k
+LEFT JOIN c ON c.ck IS NOT DISTINCT FROM k.k
+LEFT JOIN o ON o.ok IS NOT DISTINCT FROM k.k
+LEFT JOIN s ON s.sk IS NOT DISTINCT FROM k.k
+WHERE """
+IN_C, IN_O, IN_S = "c_nationkey IS NOT NULL", "o_orderkey IS NOT NULL", "s_nationkey IS NOT NULL"
+
+
+def _three(spark, folder, joiner):
+    customers, orders = _streams(spark, folder)
+    suppliers = table(spark, folder, "supplier").where("s_suppkey % 2 = 0").select(
+        F.col("s_suppkey").alias("sk"), "s_nationkey"
+    )
+    return joins.co_group([(customers, ["ck"]), (orders, ["ok"]), (suppliers, ["sk"])], joiner)
+
+
+for _name, _joiner, _where in (
+    ("inner", "inner", f"{IN_C} AND {IN_O} AND {IN_S}"),
+    ("left", "left", f"{IN_C} AND {IN_O}"),
+    ("right", "right", f"{IN_O} AND {IN_S}"),
+    ("outer", "outer", "true"),
+    ("mixed", [False, True, False], IN_O),
+):
+    query(f"co_group_three_{_name}", THREE + _where)(
+        lambda spark, folder, joiner=_joiner: _three(spark, folder, joiner)
+    )
+
+
+@query(
+    "co_group_self",
+    """
+SELECT a.n_nationkey AS a, a.n_regionkey AS region, b.n_nationkey AS b, c.n_nationkey AS c
+FROM nation a JOIN nation b USING (n_regionkey) JOIN nation c USING (n_regionkey)""",
+)
+def _(spark, folder):
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
+    joined = joins.co_group(
+        [(nations, ["n_regionkey"])] * 3, declared=["a", "region", "b", "region_b", "c", "region_c"]
+    )
+    return joined.select("a", "region", "b", "c")
+
+
+@query(
+    "co_group_two_keys",
+    """
+SELECT l.l_orderkey, l.l_linenumber, m.l_linenumber AS other FROM lineitem l JOIN lineitem m
+ON l.l_orderkey = m.l_orderkey AND l.l_suppkey = m.l_suppkey""",
+)
+def _(spark, folder):
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
+    keys = ["l_orderkey", "l_suppkey"]
+    joined = joins.co_group(
+        [(lines, keys), (lines, keys)],
+        declared=["l_orderkey", "l_suppkey", "l_linenumber", "o2", "s2", "other"],
+    )
+    return joined.select("l_orderkey", "l_linenumber", "other")
+
+
+@query(
+    "co_group_custom_joiner",
+    """
+SELECT c_custkey, count(o_orderkey) AS n, coalesce(max(o_orderkey), -1) AS newest
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""",
+)
+def _(spark, folder):
+    def joiner(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        newest = right["o_orderkey"].max() if len(right) else -1
+        return left[["c_custkey"]].assign(n=len(right), newest=newest)
+
+    return joins.co_group_apply(
+        (table(spark, folder, "customer").select("c_custkey"), ["c_custkey"]),
+        (table(spark, folder, "orders").select("o_custkey", "o_orderkey"), ["o_custkey"]),
+        joiner,
+        "c_custkey bigint, n bigint, newest bigint",
+    )
+
+
+@query(
+    "merge_streams",
+    "SELECT c_nationkey AS nation, c_name AS name FROM customer UNION ALL SELECT s_nationkey, s_name FROM supplier",
+)
+def _(spark, folder):
+    return grouping.merge(
+        table(spark, folder, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_name").alias("name")),
+        table(spark, folder, "supplier").select(F.col("s_nationkey").alias("nation"), F.col("s_name").alias("name")),
+    )
+
+
+@query("union_distinct", "SELECT c_nationkey AS nation FROM customer UNION SELECT s_nationkey FROM supplier")
+def _(spark, folder):
+    return grouping.union_distinct(
+        table(spark, folder, "customer").select(F.col("c_nationkey").alias("nation")),
+        table(spark, folder, "supplier").select(F.col("s_nationkey").alias("nation")),
+    )
+
+
+# -- data quality
+
+
+def _order_rules():
+    return [
+        quality.none_null(["cust", "status"]),
+        quality.not_equals(["status"], ["P"]),
+        quality.matches(["cust", "status"], "[02468]\tO", negate=True),
+        quality.holds("cust > 10", quality.Level.VALID),
+    ]
+
+
+BROKEN = f"""
+WITH {GAPS},
+judged AS (
+  SELECT *, cust IS NULL OR status IS NULL AS b1, coalesce(status = 'P', false) AS b2,
+         regexp_matches(coalesce(CAST(cust AS VARCHAR), '') || chr(9) || coalesce(status, ''), '[02468]\tO') AS b3,
+         NOT coalesce(cust > 10, false) AS b4
+  FROM gaps
+)
+"""
+
+
+@query("trap_good_rows", BROKEN + "SELECT o_orderkey, cust, status FROM judged WHERE NOT (b1 OR b2 OR b3 OR b4)")
+def _(spark, folder):
+    good, _rejected = quality.trap(_with_gaps(spark, folder), _order_rules())
+    return good
+
+
+@query(
+    "trap_rejected_rows",
+    BROKEN
+    + """SELECT o_orderkey, cust, status, concat_ws(',',
+    CASE WHEN b1 THEN 'not_null' END, CASE WHEN b2 THEN 'not_equals' END,
+    CASE WHEN b3 THEN 'matches' END, CASE WHEN b4 THEN 'expression' END) AS broken
+FROM judged WHERE b1 OR b2 OR b3 OR b4""",
+)
+def _(spark, folder):
+    _good, rejected = quality.trap(_with_gaps(spark, folder), _order_rules())
+    return rejected.withColumn("broken", F.array_join("broken", ","))
+
+
+@query("assert_level_valid", BROKEN + "SELECT o_orderkey FROM judged WHERE NOT b4")
+def _(spark, folder):
+    good, _rejected = quality.trap(_with_gaps(spark, folder), _order_rules(), quality.Level.VALID)
+    return good.select("o_orderkey")
+
+
+@query("assert_level_none", "SELECT o_orderkey FROM orders")
+def _(spark, folder):
+    good, _rejected = quality.trap(_with_gaps(spark, folder), _order_rules(), quality.Level.NONE)
+    return good.select("o_orderkey")
+
+
+def _count_kept(spark, folder, name: str, rule: quality.Rule):
+    good, _rejected = quality.trap(table(spark, folder, name), [rule])
+    return good
+
+
+@query("assert_equals", "SELECT c_custkey FROM customer WHERE c_nationkey = 3 AND c_mktsegment = 'BUILDING'")
+def _(spark, folder):
+    rule = quality.equals(["c_nationkey", "c_mktsegment"], [3, "BUILDING"])
+    return _count_kept(spark, folder, "customer", rule).select("c_custkey")
+
+
+@query("assert_equals_all", "SELECT doc_id FROM labels WHERE quality = 0 AND toxic = 0")
+def _(spark, folder):
+    return _count_kept(spark, folder, "labels", quality.equals_all(["quality", "toxic"], 0)).select("doc_id")
+
+
+@query("assert_null", f"WITH {GAPS} SELECT o_orderkey FROM gaps WHERE cust IS NULL AND status IS NULL")
+def _(spark, folder):
+    good, _rejected = quality.trap(_with_gaps(spark, folder), [quality.all_null(["cust", "status"])])
+    return good.select("o_orderkey")
+
+
+@query(
+    "assert_matches_all",
+    "SELECT page_id FROM pages WHERE regexp_matches(url, 'example') AND regexp_matches(html, 'example')",
+)
+def _(spark, folder):
+    return _count_kept(spark, folder, "pages", quality.matches_all(["url", "html"], "example")).select("page_id")
+
+
+@query("assert_passes_all_rows", "SELECT l_orderkey, l_linenumber FROM lineitem")
+def _(spark, folder):
+    lines = quality.check_size(table(spark, folder, "lineitem"), "more_than", 10)
+    checked = quality.enforce(lines, [quality.holds("l_quantity > 0"), quality.none_null(["l_partkey"])])
+    return checked.select("l_orderkey", "l_linenumber")
+
+
+def _register_group_size(comparison: str, sign: str):
+    @query(
+        f"assert_group_size_{comparison}",
+        f"""
+SELECT o_custkey, count(*) AS group_size FROM orders GROUP BY o_custkey HAVING NOT (count(*) {sign} 10)""",
+    )
+    def _(spark, folder):
+        return quality.group_size_failures(table(spark, folder, "orders"), ["o_custkey"], comparison, 10)
+
+
+for _comparison, _sign in (("equals", "="), ("less_than", "<"), ("more_than", ">")):
+    _register_group_size(_comparison, _sign)
+
+
+@query(
+    "assert_group_size_pattern",
+    """
+SELECT o_custkey, count(*) AS group_size FROM orders WHERE regexp_full_match(CAST(o_custkey AS VARCHAR), '1.*')
+GROUP BY o_custkey HAVING NOT (count(*) < 10)""",
+)
+def _(spark, folder):
+    return quality.group_size_failures(
+        table(spark, folder, "orders"), ["o_custkey"], "less_than", 10, pattern="1.*"
+    )
+
+
+@query("aggregate_checked", "SELECT o_custkey, max(o_orderkey) AS newest FROM orders GROUP BY o_custkey")
+def _(spark, folder):
+    return quality.aggregate_checked(
+        table(spark, folder, "orders"), ["o_custkey"], {"newest": F.max("o_orderkey")}, "more_than", 0
+    )
