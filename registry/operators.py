@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,10 +16,10 @@ from tidemark.operators import grouping, joins, observing, quality, rows
 
 @query(
     "each_all",
-    "SELECT n_nationkey, n_name, n_regionkey, upper(n_name) AS loud FROM nation",
+    "SELECT s_suppkey, s_name, s_nationkey, s_acctbal, upper(s_name) AS loud FROM supplier",
 )
 def _(spark, folder):
-    return rows.each(table(spark, folder, "nation"), {"loud": F.upper("n_name")})
+    return rows.each(table(spark, folder, "supplier"), {"loud": F.upper("s_name")})
 
 
 @query("each_results", "SELECT o_orderkey * 2 AS double_key FROM orders")
@@ -66,9 +67,9 @@ def _(spark, folder):
     return rows.discard(table(spark, folder, "part"), "p_name", "p_type", "p_retailprice")
 
 
-@query("rename", "SELECT n_nationkey AS id, n_name AS name, n_regionkey FROM nation")
+@query("rename", "SELECT s_suppkey AS id, s_name AS name, s_nationkey, s_acctbal FROM supplier")
 def _(spark, folder):
-    return rows.rename(table(spark, folder, "nation"), {"n_nationkey": "id", "n_name": "name"})
+    return rows.rename(table(spark, folder, "supplier"), {"s_suppkey": "id", "s_name": "name"})
 
 
 @query(
@@ -110,15 +111,16 @@ def _(spark, folder):
     return coerce.coerce(found.where("number <> ''"), {"number": "int"}, safe=True)
 
 
-@query("identity", "SELECT r_regionkey AS id, CAST(r_regionkey AS VARCHAR) AS id_text FROM region")
+@query("identity", "SELECT p_partkey AS id, CAST(p_size AS VARCHAR) AS size_text FROM part")
 def _(spark, folder):
-    regions = table(spark, folder, "region").withColumn("again", F.col("r_regionkey"))
-    return rows.identity(regions, {"r_regionkey": "id", "again": "id_text"}, {"id_text": "string"})
+    return rows.identity(
+        table(spark, folder, "part"), {"p_partkey": "id", "p_size": "size_text"}, {"size_text": "string"}
+    )
 
 
-@query("insert", "SELECT r_regionkey, 7 AS seven, 'x' AS letter FROM region")
+@query("insert", "SELECT o_orderkey, 7 AS seven, 'x' AS letter FROM orders")
 def _(spark, folder):
-    return rows.insert(rows.retain(table(spark, folder, "region"), "r_regionkey"), {"seven": 7, "letter": "x"})
+    return rows.insert(rows.retain(table(spark, folder, "orders"), "o_orderkey"), {"seven": 7, "letter": "x"})
 
 
 @query(
@@ -583,8 +585,9 @@ def _(spark, folder):
         (F.monotonically_increasing_id() % (1 << 33)).alias("at"),
     )
     sizes = marked.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.part") < F.col("a.part"), "left").groupBy("a.part")
-    starts = before.agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("start"))
+    # One row per partition, so the running total over them is small.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     return marked.join(starts, "part").select(
         "o_custkey", "o_orderkey", (F.col("start") + F.col("at") + 1).alias("place")
     )
@@ -697,20 +700,20 @@ def _(spark, folder):
 
 
 def _streams(spark, folder):
-    """Customers, their orders with a key missing here and there, and nations."""
+    """Customers, and orders under a key that is five higher: both have keys
+    without a partner. One key is missing on both sides."""
     customers = table(spark, folder, "customer").select(
-        F.when(F.col("c_custkey") % 50 != 0, F.col("c_custkey")).alias("ck"), "c_nationkey"
+        F.nullif("c_custkey", F.lit(7)).alias("ck"), "c_nationkey"
     )
     orders = table(spark, folder, "orders").select(
-        F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("ok"), "o_orderkey"
+        F.nullif(F.col("o_custkey") + 5, F.lit(7)).alias("ok"), "o_orderkey"
     )
-    return customers, orders.where("ok % 3 <> 0 OR (ok IS NULL AND o_orderkey < 200)")
+    return customers, orders
 
 
 STREAMS = """
-c AS (SELECT CASE WHEN c_custkey % 50 <> 0 THEN c_custkey END AS ck, c_nationkey FROM customer),
-o0 AS (SELECT CASE WHEN o_custkey % 7 <> 0 THEN o_custkey END AS ok, o_orderkey FROM orders),
-o AS (SELECT * FROM o0 WHERE ok % 3 <> 0 OR (ok IS NULL AND o_orderkey < 200))"""
+c AS (SELECT nullif(c_custkey, 7) AS ck, c_nationkey FROM customer),
+o AS (SELECT nullif(o_custkey + 5, 7) AS ok, o_orderkey FROM orders)"""
 
 
 def _register_pair(how: str, sql_how: str):
@@ -742,7 +745,7 @@ for _how, _sql in (("inner", "INNER"), ("left", "LEFT"), ("right", "RIGHT"), ("o
 # Three streams on one key: customers, orders, and suppliers by the same number.
 THREE = f"""
 WITH {STREAMS},
-s AS (SELECT s_suppkey AS sk, s_nationkey FROM supplier WHERE s_suppkey % 2 = 0),
+s AS (SELECT s_suppkey AS sk, s_nationkey FROM supplier),
 k AS (SELECT ck AS k FROM c UNION SELECT ok FROM o UNION SELECT sk FROM s)
 SELECT ck, c_nationkey, ok, o_orderkey, sk, s_nationkey FROM k
 LEFT JOIN c ON c.ck IS NOT DISTINCT FROM k.k
@@ -754,9 +757,7 @@ IN_C, IN_O, IN_S = "c_nationkey IS NOT NULL", "o_orderkey IS NOT NULL", "s_natio
 
 def _three(spark, folder, joiner):
     customers, orders = _streams(spark, folder)
-    suppliers = table(spark, folder, "supplier").where("s_suppkey % 2 = 0").select(
-        F.col("s_suppkey").alias("sk"), "s_nationkey"
-    )
+    suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("sk"), "s_nationkey")
     return joins.co_group([(customers, ["ck"]), (orders, ["ok"]), (suppliers, ["sk"])], joiner)
 
 
@@ -775,31 +776,31 @@ for _name, _joiner, _where in (
 @query(
     "co_group_self",
     """
-SELECT a.n_nationkey AS a, a.n_regionkey AS region, b.n_nationkey AS b, c.n_nationkey AS c
-FROM nation a JOIN nation b USING (n_regionkey) JOIN nation c USING (n_regionkey)""",
+SELECT a.o_orderkey AS a, a.o_custkey AS cust, b.o_orderkey AS b, c.o_custkey AS cust_c
+FROM orders a JOIN orders b USING (o_orderkey) JOIN orders c USING (o_orderkey)""",
 )
 def _(spark, folder):
-    nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     joined = joins.co_group(
-        [(nations, ["n_regionkey"])] * 3, declared=["a", "region", "b", "region_b", "c", "region_c"]
+        [(orders, ["o_orderkey"])] * 3, declared=["a", "cust", "b", "cust_b", "c", "cust_c"]
     )
-    return joined.select("a", "region", "b", "c")
+    return joined.select("a", "cust", "b", "cust_c")
 
 
 @query(
     "co_group_two_keys",
     """
-SELECT l.l_orderkey, l.l_linenumber, m.l_linenumber AS other FROM lineitem l JOIN lineitem m
-ON l.l_orderkey = m.l_orderkey AND l.l_suppkey = m.l_suppkey""",
+SELECT l_orderkey, l_suppkey, l_linenumber, n FROM lineitem
+JOIN (SELECT l_orderkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL) USING (l_orderkey, l_suppkey)""",
 )
 def _(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
     keys = ["l_orderkey", "l_suppkey"]
     joined = joins.co_group(
-        [(lines, keys), (lines, keys)],
-        declared=["l_orderkey", "l_suppkey", "l_linenumber", "o2", "s2", "other"],
+        [(lines, keys), (grouping.count_by(lines, keys, "n"), keys)],
+        declared=["l_orderkey", "l_suppkey", "l_linenumber", "o2", "s2", "n"],
     )
-    return joined.select("l_orderkey", "l_linenumber", "other")
+    return joined.select("l_orderkey", "l_suppkey", "l_linenumber", "n")
 
 
 @query(

@@ -131,12 +131,15 @@ def _(spark, folder):
     return stored.select(F.hex("key").alias("key"), F.hex("value").alias("value"))
 
 
-@query("glob_source", "SELECT n_nationkey AS k FROM nation UNION ALL SELECT r_regionkey FROM region")
+@query("glob_source", "SELECT c_custkey AS k FROM customer UNION ALL SELECT s_suppkey FROM supplier")
 def _(spark, folder):
     root = place(spark, "glob")
-    files.write_table(table(spark, folder, "nation").select(F.col("n_nationkey").alias("k")), f"{root}/a1")
-    files.write_table(table(spark, folder, "region").select(F.col("r_regionkey").alias("k")), f"{root}/a2")
-    files.write_table(table(spark, folder, "region").select(F.col("r_regionkey").alias("k")), f"{root}/b1")
+    for name, source, key in (
+        ("a1", "customer", "c_custkey"),
+        ("a2", "supplier", "s_suppkey"),
+        ("b1", "supplier", "s_suppkey"),
+    ):
+        files.write_table(table(spark, folder, source).select(F.col(key).alias("k")), f"{root}/{name}")
     return files.read_table(spark, f"{root}/a*", pattern="*.parquet")
 
 
@@ -198,16 +201,14 @@ def _(spark, folder):
     )
 
 
-@query(
-    "sink_modes",
-    "SELECT n_nationkey AS k FROM nation UNION ALL SELECT r_regionkey FROM region",
-)
+@query("sink_modes", "SELECT c_custkey AS k FROM customer UNION ALL SELECT s_suppkey FROM supplier")
 def _(spark, folder):
     path = place(spark, "modes")
-    nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("k"))
-    files.write_table(table(spark, folder, "region").select(F.col("r_regionkey").alias("k")), path, "KEEP")
-    files.write_table(nations, path, "REPLACE")
-    files.write_table(table(spark, folder, "region").select(F.col("r_regionkey").alias("k")), path, "UPDATE")
+    customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("k"))
+    suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("k"))
+    files.write_table(suppliers, path, "KEEP")
+    files.write_table(customers, path, "REPLACE")
+    files.write_table(suppliers, path, "UPDATE")
     return files.read_table(spark, path)
 
 

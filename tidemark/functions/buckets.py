@@ -26,19 +26,29 @@ def hour_bucket(ts) -> Column:
     return _truncating_div(_col(ts), SECONDS_PER_HOUR)
 
 
+def day_bucket(hour) -> Column:
+    """Days since the epoch of an hour bucket."""
+    return _truncating_div(_col(hour), HOURS_PER_DAY)
+
+
+def _level(name: str, bucket: Column) -> Column:
+    return F.struct(F.lit(name).alias("granularity"), bucket.cast("int").alias("bucket"))
+
+
+def day_granularities(day) -> Column:
+    """Array of the week and month ``(granularity, bucket)`` pairs of a day bucket."""
+    day = _col(day)
+    return F.array(
+        _level("w", _truncating_div(day, DAYS_PER_WEEK)),
+        _level("m", _truncating_div(day, DAYS_PER_MONTH)),
+    )
+
+
 def granularities(hour) -> Column:
     """Array of the four ``(granularity, bucket)`` pairs of an hour bucket."""
     hour = _col(hour)
-    day = _truncating_div(hour, HOURS_PER_DAY)
-    levels = [
-        ("h", hour.cast("int")),
-        ("d", day),
-        ("w", _truncating_div(day, DAYS_PER_WEEK)),
-        ("m", _truncating_div(day, DAYS_PER_MONTH)),
-    ]
-    return F.array(
-        *[F.struct(F.lit(name).alias("granularity"), bucket.alias("bucket")) for name, bucket in levels]
-    )
+    day = day_bucket(hour)
+    return F.concat(F.array(_level("h", hour), _level("d", day)), day_granularities(day))
 
 
 def emit_granularities(df: DataFrame, hour: str = "hour") -> DataFrame:

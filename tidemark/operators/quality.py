@@ -28,6 +28,7 @@ class Rule:
     name: str
     passes: Column
     level: Level = Level.STRICT
+    fields: tuple[str, ...] = ()
 
     def ok(self) -> Column:
         return F.coalesce(self.passes, F.lit(False))
@@ -48,44 +49,44 @@ def _any(conditions) -> Column:
 def equals(fields: Sequence[str], values: Sequence, level: Level = Level.STRICT) -> Rule:
     """The fields together equal the values."""
     same = _all(F.col(f).eqNullSafe(F.lit(v)) for f, v in zip(fields, values, strict=True))
-    return Rule("equals", same, level)
+    return Rule("equals", same, level, tuple(fields))
 
 
 def not_equals(fields: Sequence[str], values: Sequence, level: Level = Level.STRICT) -> Rule:
     """The fields together differ from the values."""
-    return Rule("not_equals", ~equals(fields, values).passes, level)
+    return Rule("not_equals", ~equals(fields, values).passes, level, tuple(fields))
 
 
 def equals_all(fields: Sequence[str], value, level: Level = Level.STRICT) -> Rule:
     """Every field equals the one value."""
-    return Rule("equals_all", _all(F.col(f).eqNullSafe(F.lit(value)) for f in fields), level)
+    return Rule("equals_all", _all(F.col(f).eqNullSafe(F.lit(value)) for f in fields), level, tuple(fields))
 
 
 def all_null(fields: Sequence[str], level: Level = Level.STRICT) -> Rule:
     """Every field is null."""
-    return Rule("null", _all(F.col(f).isNull() for f in fields), level)
+    return Rule("null", _all(F.col(f).isNull() for f in fields), level, tuple(fields))
 
 
 def none_null(fields: Sequence[str], level: Level = Level.STRICT) -> Rule:
     """No field is null."""
-    return Rule("not_null", _all(F.col(f).isNotNull() for f in fields), level)
+    return Rule("not_null", _all(F.col(f).isNotNull() for f in fields), level, tuple(fields))
 
 
 def matches(fields: Sequence[str], pattern: str, negate: bool = False, level: Level = Level.STRICT) -> Rule:
     """The pattern is found in the tab-joined fields, or is not when negated."""
-    return Rule("matches", field_join(*fields).rlike(pattern) != F.lit(negate), level)
+    return Rule("matches", field_join(*fields).rlike(pattern) != F.lit(negate), level, tuple(fields))
 
 
 def matches_all(fields: Sequence[str], pattern: str, negate: bool = False, level: Level = Level.STRICT) -> Rule:
     """The pattern is found in every field, or in none when negated."""
     found = [F.coalesce(F.col(f).cast("string"), F.lit("")).rlike(pattern) for f in fields]
-    return Rule("matches_all", _all(one != F.lit(negate) for one in found), level)
+    return Rule("matches_all", _all(one != F.lit(negate) for one in found), level, tuple(fields))
 
 
-def holds(expression: str | Column, level: Level = Level.STRICT) -> Rule:
-    """A boolean expression is true."""
+def holds(expression: str | Column, level: Level = Level.STRICT, fields: Sequence[str] = ()) -> Rule:
+    """A boolean expression is true. ``fields`` are shown when it is not."""
     column = F.expr(expression) if isinstance(expression, str) else expression
-    return Rule("expression", column, level)
+    return Rule("expression", column, level, tuple(fields))
 
 
 def _active(rules: Sequence[Rule], level: Level) -> list[Rule]:
@@ -93,10 +94,16 @@ def _active(rules: Sequence[Rule], level: Level) -> list[Rule]:
 
 
 def enforce(df: DataFrame, rules: Sequence[Rule], level: Level = Level.STRICT) -> DataFrame:
-    """Pass all rows on; the job fails at the first row that breaks a rule."""
+    """Pass all rows on; the job fails at the first row that breaks a rule.
+
+    The message shows the rule's own fields only, so that no other column has to
+    be read for its sake.
+    """
     checked = df
     for rule in _active(rules, level):
-        problem = F.concat(F.lit(f"assertion {rule.name} failed: "), F.to_json(F.struct(*df.columns)))
+        problem = F.lit(f"assertion {rule.name} failed")
+        if rule.fields:
+            problem = F.concat(problem, F.lit(": "), F.to_json(F.struct(*rule.fields)))
         checked = checked.where(
             F.when(rule.ok(), F.lit(True)).otherwise(F.raise_error(problem).cast("boolean"))
         )

@@ -61,15 +61,40 @@ def page_view_batch_view(page_views: DataFrame) -> DataFrame:
     )
 
 
+def _roll_up(hourly: DataFrame, **merges: Column) -> DataFrame:
+    """Hourly rows and their merges at the longer levels.
+
+    Days are merged from hours, weeks and months from days, so a sketch is sent on
+    once per hour and twice per day instead of four times per hour; hour rows are
+    whole already and are not sent at all. The shuffle below the hourly rows is
+    the same in all branches and runs once.
+    """
+    names = list(merges)
+    merged = [merge.alias(name) for name, merge in merges.items()]
+    bare = hourly.select("url", "hour", *names)
+    daily = bare.groupBy("url", buckets.day_bucket("hour").alias("day")).agg(*merged)
+    longer = (
+        daily.select("url", F.inline(buckets.day_granularities("day")), *names)
+        .groupBy("url", "granularity", "bucket")
+        .agg(*merged)
+    )
+    return (
+        bare.select("url", F.lit("h").alias("granularity"), F.col("hour").alias("bucket"), *names)
+        .unionByName(
+            daily.select("url", F.lit("d").alias("granularity"), F.col("day").alias("bucket"), *names)
+        )
+        .unionByName(longer)
+    )
+
+
 def uniques_view(page_views: DataFrame) -> DataFrame:
     """Approximate distinct visitors per ``(url, granularity, bucket)``."""
     hourly = hourly_rollup(
         page_views, construct_sketch(schema.person_key("person")).alias("sketch")
     )
-    return (
-        buckets.emit_granularities(hourly)
-        .groupBy("url", "granularity", "bucket")
-        .agg(merge_sketches("sketch").alias("value"))
+    rows = _roll_up(hourly, sketch=F.hll_union_agg("sketch"))
+    return rows.select(
+        "url", "granularity", "bucket", F.hll_sketch_estimate("sketch").alias("value")
     )
 
 
@@ -80,10 +105,9 @@ def traffic_view(page_views: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("views"),
         construct_sketch(schema.person_key("person")).alias("sketch"),
     )
-    return (
-        buckets.emit_granularities(hourly)
-        .groupBy("url", "granularity", "bucket")
-        .agg(F.sum("views").alias("views"), merge_sketches("sketch").alias("visitors"))
+    rows = _roll_up(hourly, views=F.sum("views"), sketch=F.hll_union_agg("sketch"))
+    return rows.select(
+        "url", "granularity", "bucket", "views", F.hll_sketch_estimate("sketch").alias("visitors")
     )
 
 

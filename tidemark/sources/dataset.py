@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,9 +161,14 @@ class Dataset:
             .select(*self.spec.schema.names)
         )
 
+    def file_frame(self) -> DataFrame:
+        """``path, length`` of the data files, listed by Spark and not opened."""
+        listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        return listed.load(self.path).select("path", "length")
+
     def files(self) -> list[tuple[str, int]]:
         """Data files with their sizes."""
-        return self._fs.files(self.path)
+        return sorted((row["path"], row["length"]) for row in self.file_frame().collect())
 
     def is_empty(self) -> bool:
         return self.read().isEmpty()
@@ -291,11 +296,11 @@ class Dataset:
         execution sizes the new files, so a folder of any size is spread over as
         many tasks as it needs.
         """
-        by_folder: dict[str, list[str]] = {}
-        for full, size in self.files():
-            if size < target_bytes:
-                by_folder.setdefault(full.rsplit("/", 1)[0], []).append(full)
-        small = [f for files in by_folder.values() if len(files) > 1 for f in files]
+        below = self.file_frame().where(F.col("length") < target_bytes)
+        folder = F.regexp_replace("path", "/[^/]*$", "")
+        many = Window.partitionBy(folder)
+        found = below.select("path", F.count(F.lit(1)).over(many).alias("n")).where("n > 1")
+        small = sorted(row["path"] for row in found.collect())
         if not small:
             return 0
         # Shuffled rows are larger than their Parquet form, about three to one.
