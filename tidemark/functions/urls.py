@@ -22,6 +22,8 @@ _PLAIN = (
     r"^(?:https?|ftp)://[^/?#@:\[\x00-\x20]++"
     r"(?![^?#]*/\.)(?![^?#]*[\x00-\x20])(?:/[^?#]*+)?(?:[?#]|\z)"
 )
+# The host of an address whose authority is plain, whatever follows it.
+_PLAIN_HOST = r"^(?:https?|ftp)://[^/?#@:\[\x00-\x20]++(?:[/?#]|\z)"
 _EDGE_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+\z"
 _HAS_DOT_SEGMENT = r"(?:^|/)\.\.?(?:/|\z)"
 
@@ -165,8 +167,15 @@ def normalize_url(url) -> Column:
 def extract_domain(url) -> Column:
     """The authority (host, port and user info); null when malformed."""
     url = _col(url)
-    plain = F.substring_index(F.substring_index(_plain_base(url), "/", 3), "/", -1)
-    return F.when(_is_plain(url), plain).otherwise(url_parts(url)["authority"])
+    plain = F.split_part(_plain_base(url), F.lit("/"), F.lit(3))
+    return F.when(url.rlike(_PLAIN_HOST), plain).otherwise(url_parts(url)["authority"])
+
+
+def has_domain(url) -> Column:
+    """Whether ``extract_domain`` gives a value, at the cost of one match for a
+    plain address."""
+    url = _col(url)
+    return url.rlike(_PLAIN_HOST) | url_parts(url)["authority"].isNotNull()
 
 
 def strict_normalize_url(url) -> Column:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark import schema
+from tidemark.operators.observing import counter, observed
 from tidemark.sources.scratch import Scratch
 
 
@@ -136,16 +136,17 @@ def connected_components(
     """
     spark = edges.sparkSession
     scratch = scratch or Scratch(spark, "identity")
-    current = scratch.save(
+    links = (
         edges.where(~F.col("node1").eqNullSafe(F.col("node2")))
         .select(
             F.greatest("node1", "node2").alias("high"),
             F.least("node1", "node2").alias("low"),
         )
-        .distinct(),
-        "links",
+        .distinct()
     )
-    if current.isEmpty():
+    links, seen = counter(links, "links")
+    current = scratch.save(links, "links")
+    if observed(seen).get("rows", 0) == 0:
         return current.select(F.col("high").alias("id"), F.col("low").alias("root"))
     for turn in range(max_rounds):
         large_seen, large_moves = _moves(f"large-{turn}")
@@ -155,7 +156,7 @@ def connected_components(
         following = scratch.save(small, f"round-{turn}")
         scratch.drop(current)
         current = following
-        if large_seen.get["moves"] == 0 and small_seen.get["moves"] == 0:
+        if observed(large_seen)["moves"] == 0 and observed(small_seen)["moves"] == 0:
             return current.select(F.col("high").alias("id"), F.col("low").alias("root"))
     raise RuntimeError(f"identity links did not settle within {max_rounds} rounds")
 
@@ -189,5 +190,4 @@ __all__ = [
     "iterate_edges",
     "normalize_user_ids",
     "resolve_identities",
-    "schema",
 ]

@@ -113,10 +113,8 @@ def traffic_view(page_views: DataFrame) -> DataFrame:
 
 def domain_views(page_views: DataFrame) -> DataFrame:
     """``(domain, person, ts)``; views with a malformed URL are dropped."""
-    rows = extract_page_view_fields(page_views)
-    return rows.select(urls.extract_domain("url").alias("domain"), "person", "ts").where(
-        F.col("domain").isNotNull()
-    )
+    rows = extract_page_view_fields(page_views).where(urls.has_domain("url"))
+    return rows.select(urls.extract_domain("url").alias("domain"), "person", "ts")
 
 
 def analyze_visits(views: DataFrame, keys=("domain", "person"), legacy: bool = False) -> DataFrame:

@@ -17,6 +17,8 @@ CONF = {
     # Sketch aggregation stays hash based up to this many groups in a task.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Looking up the Python line of every column call slows down plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
