@@ -22,6 +22,8 @@ from tidemark.operators.grouping import _check_group_bound
 Stream = tuple[DataFrame, list[str]]
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Plans that know nothing about their size claim an absurd one.
+_NO_ESTIMATE = 1 << 62
 
 
 def _required(joiner: str | Sequence[bool], count: int) -> list[bool]:
@@ -157,11 +159,11 @@ def _flat(df: DataFrame) -> list[Column]:
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether a frame is proven small enough to send to every executor.
 
-    A plan estimate far over the limit settles it without reading. Otherwise the
-    rows are measured.
+    A plan estimate far over the limit settles it without reading. Otherwise, and
+    where the plan has no estimate, the rows are measured.
     """
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if estimate > 8 * limit:
+    if 8 * limit < estimate < _NO_ESTIMATE:
         return False
     return measured_bytes(df) <= limit
 
