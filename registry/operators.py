@@ -900,10 +900,10 @@ def _count_kept(spark, folder, name: str, rule: quality.Rule):
     return good
 
 
-@query("assert_equals", "SELECT c_custkey FROM customer WHERE c_nationkey = 3 AND c_mktsegment = 'BUILDING'")
+@query("assert_equals", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW'")
 def _(spark, folder):
-    rule = quality.equals(["c_nationkey", "c_mktsegment"], [3, "BUILDING"])
-    return _count_kept(spark, folder, "customer", rule).select("c_custkey")
+    rule = quality.equals(["o_orderstatus", "o_orderpriority"], ["F", "5-LOW"])
+    return _count_kept(spark, folder, "orders", rule).select("o_orderkey")
 
 
 @query("assert_equals_all", "SELECT doc_id FROM labels WHERE quality = 0 AND toxic = 0")

@@ -7,7 +7,7 @@ Two ways to the same result, the smallest id of every component:
 * ``connected_components`` alternates large-star and small-star rounds (Kiveris
   et al., 2014), which needs a logarithmic number of rounds in practice.
 
-No round builds an array per node: minima are aggregates with a map-side part,
+The rounds work on numbers, not on id structs. No round builds an array per node: minima are aggregates with a map-side part,
 and they meet the edges again in an inner join that adaptive execution can split
 on a hub node. Every round is written to the shared checkpoint folder.
 """
@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidemark import schema
 from tidemark.operators.observing import counter, observed
 from tidemark.sources.scratch import Scratch
 
@@ -125,6 +126,39 @@ def _moves(name: str) -> tuple[Observation, Column]:
     return Observation(name), F.coalesce(F.sum(F.col("moved").cast("long")), F.lit(0)).alias("moves")
 
 
+def _as_numbers(links: DataFrame, cookies: int, scratch: Scratch):
+    """Links between numbers that order as the ids do, and the way back.
+
+    Numbers sort, hash and shuffle far cheaper than id structs, which pays over
+    the rounds. User ids are numbers already. With cookies among the ids, all ids
+    are sorted once over the cluster, and their places are their numbers.
+    """
+    if cookies == 0:
+        coded = links.select(F.col("high.user_id").alias("high"), F.col("low.user_id").alias("low"))
+        return coded, lambda pairs: pairs.select(
+            schema.user_person("high").alias("id"), schema.user_person("low").alias("root")
+        )
+    ids = links.select(F.explode(F.array("high", "low")).alias("person")).distinct()
+    places = ids.repartitionByRange("person").sortWithinPartitions("person")
+    book = scratch.save(
+        places.select("person", F.monotonically_increasing_id().alias("number")), "numbers"
+    )
+
+    def looked_up(pairs: DataFrame, given: str, wanted: str, names: dict[str, str]) -> DataFrame:
+        for old, new in names.items():
+            page = book.select(F.col(given).alias(f"_{old}"), F.col(wanted).alias(f"_{new}_value"))
+            kept = [c for c in pairs.columns if c != old]
+            pairs = pairs.join(page, pairs[old] == page[f"_{old}"]).select(
+                *kept, F.col(f"_{new}_value").alias(new)
+            )
+        return pairs
+
+    coded = looked_up(links, "person", "number", {"high": "high", "low": "low"})
+    return scratch.save(coded, "numbered"), lambda pairs: looked_up(
+        pairs, "number", "person", {"high": "id", "low": "root"}
+    )
+
+
 def connected_components(
     edges: DataFrame, scratch: Scratch | None = None, max_rounds: int = 64
 ) -> DataFrame:
@@ -137,17 +171,20 @@ def connected_components(
     spark = edges.sparkSession
     scratch = scratch or Scratch(spark, "identity")
     links = (
-        edges.where(~F.col("node1").eqNullSafe(F.col("node2")))
+        edges.where(F.col("node1") != F.col("node2"))
         .select(
             F.greatest("node1", "node2").alias("high"),
             F.least("node1", "node2").alias("low"),
         )
         .distinct()
     )
-    links, seen = counter(links, "links")
-    current = scratch.save(links, "links")
-    if observed(seen).get("rows", 0) == 0:
-        return current.select(F.col("high").alias("id"), F.col("low").alias("root"))
+    has_cookie = (F.col("high.kind") == schema.COOKIE) | (F.col("low.kind") == schema.COOKIE)
+    links, seen = counter(links, "links", cookies=has_cookie)
+    stored = scratch.save(links, "links")
+    counts = observed(seen)
+    if counts.get("rows", 0) == 0:
+        return stored.select(F.col("high").alias("id"), F.col("low").alias("root"))
+    current, decode = _as_numbers(stored, counts["cookies"], scratch)
     for turn in range(max_rounds):
         large_seen, large_moves = _moves(f"large-{turn}")
         small_seen, small_moves = _moves(f"small-{turn}")
@@ -157,7 +194,7 @@ def connected_components(
         scratch.drop(current)
         current = following
         if observed(large_seen)["moves"] == 0 and observed(small_seen)["moves"] == 0:
-            return current.select(F.col("high").alias("id"), F.col("low").alias("root"))
+            return decode(current)
     raise RuntimeError(f"identity links did not settle within {max_rounds} rounds")
 
 
