@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from registry.base import query, table
 from tidemark.functions import coerce, dates, text
-from tidemark.operators import grouping, joins, observing, quality, rows
+from tidemark.operators import fields, grouping, joins, observing, quality, rows
 
 # -- row functions
 
@@ -963,3 +963,9 @@ def _(spark, folder):
     return quality.aggregate_checked(
         table(spark, folder, "orders"), ["o_custkey"], {"newest": F.max("o_orderkey")}, "more_than", 0
     )
+
+
+@query("select_by_position", "SELECT l_tax, l_orderkey AS line_of FROM lineitem")
+def _(spark, folder):
+    lines = table(spark, folder, "lineitem")
+    return fields.project(lines, [7, "l_orderkey"], ["l_tax", "line_of"])

@@ -93,41 +93,49 @@ def _opaque_parts(protocol: Column, body: Column) -> Column:
     return F.when(fine, _parts(protocol, _null_text(), F.lit(""), path))
 
 
-def _server_parts(protocol: Column, located: Column) -> Column:
-    def with_authority(authority: Column) -> Column:
-        many_at = F.size(F.split(authority, "@", -1)) > 2
-        path = _let(F.regexp_replace(located, r"^//[^/]*", ""), _clean_path)
-
-        def with_server(server: Column) -> Column:
-            bracketed = server.startswith("[")
-            port = F.when(bracketed, F.regexp_extract(server, r"^\[[^\]]*\]:?(.*)$", 1)).otherwise(
-                F.regexp_extract(server, r"^[^:]*:(.*)$", 1)
-            )
-            port_ok = _let(
-                port,
-                lambda text: (text == "")
-                | (
-                    text.rlike(r"^[+-]?[0-9]+\z")
-                    & (F.coalesce(text.try_cast("int"), F.lit(-2)) >= -1)
-                ),
-            )
-            literal_ok = ~bracketed | server.rlike(
-                r"^\[[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*(?:%[^\]]+)?\](?::.*)?\z"
-            )
-            host = F.when(bracketed, F.regexp_extract(server, r"^(\[[^\]]*\])", 1)).otherwise(
-                F.substring_index(server, ":", 1)
-            )
-            return F.when(port_ok & literal_ok, _parts(protocol, authority, host, path))
+def _host(authority: Column) -> Column:
+    """The host of an authority, null when host or port are malformed."""
 
-        # Two or more @ leave the address without a host.
-        return F.when(many_at, _parts(protocol, authority, F.lit(""), path)).otherwise(
-            _let(F.substring_index(authority, "@", -1), with_server)
+    def with_server(server: Column) -> Column:
+        bracketed = server.startswith("[")
+        port = F.when(bracketed, F.regexp_extract(server, r"^\[[^\]]*\]:?(.*)$", 1)).otherwise(
+            F.regexp_extract(server, r"^[^:]*:(.*)$", 1)
+        )
+        port_ok = _let(
+            port,
+            lambda text: (text == "")
+            | (text.rlike(r"^[+-]?[0-9]+\z") & (F.coalesce(text.try_cast("int"), F.lit(-2)) >= -1)),
         )
+        literal = r"^(\[[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*(?:%[^\]]+)?\])(?::.*)?\z"
+        host = F.when(
+            bracketed, F.when(server.rlike(literal), F.regexp_extract(server, literal, 1))
+        ).otherwise(F.substring_index(server, ":", 1))
+        return F.when(port_ok, host)
+
+    # Without an authority, or with two or more @ in it, the host is empty.
+    plain = F.size(F.split(authority, "@", -1)) <= 2
+    return F.when(
+        authority.isNotNull() & plain, _let(F.substring_index(authority, "@", -1), with_server)
+    ).otherwise(F.lit(""))
+
 
+def _server_parts(protocol: Column, located: Column) -> Column:
     has_authority = located.startswith("//") & ~located.startswith("////")
-    return F.when(
-        has_authority, _let(F.regexp_extract(located, r"^//([^/]*)", 1), with_authority)
-    ).otherwise(_parts(protocol, _null_text(), F.lit(""), _clean_path(located)))
+    authority = F.when(has_authority, F.regexp_extract(located, r"^//([^/]*)", 1))
+    path = F.when(has_authority, F.regexp_replace(located, r"^//[^/]*", "")).otherwise(located)
+
+    def with_host(found: Column) -> Column:
+        parts = _parts(protocol, found["authority"], found["host"], _clean_path(found["path"]))
+        return F.when(found["host"].isNotNull(), parts)
+
+    def with_pieces(pieces: Column) -> Column:
+        host = _host(pieces["authority"]).alias("host")
+        return _let(
+            F.struct(pieces["authority"].alias("authority"), pieces["path"].alias("path"), host),
+            with_host,
+        )
+
+    return _let(F.struct(authority.alias("authority"), path.alias("path")), with_pieces)
 
 
 def url_parts(url) -> Column:
