@@ -138,8 +138,9 @@ def read_delimited(
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Delimited text, one record per line.
 
-    Without ``names`` the header line gives them. A malformed line fails the job,
-    or with ``trap`` goes to a second frame as ``line``.
+    Without ``names`` the header line gives them, and blank lines are passed over
+    then. A malformed line fails the job, or with ``trap`` goes to a second frame
+    as ``line``.
     """
     paths = _paths(path)
     if names is None:
