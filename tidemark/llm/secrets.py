@@ -1,0 +1,171 @@
+"""Secrets in whole texts, told apart by how widely each candidate is owned.
+
+Base kinds are fixed patterns. The method looks at every candidate, also at long
+mixed tokens of no known kind, hashes it, and counts over the whole corpus how
+many owners and repositories have it: a value that several owners share was copied
+from somewhere (an example), one of a single owner looks like a live credential.
+Live tokens of no known kind are added as spans of kind ``live``.
+
+Only DataFrame functions are used. A null text is empty. Texts without spans have
+the digest of the empty text. A null owner or repository counts as one of its own
+kind. Repeated rows get rows of their own; an empty table gives an empty result;
+other columns are not looked at.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tidemark.llm import common
+
+# The patterns of the kinds.
+ASSIGN = (
+    r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+ACCESS = r"AKIA[A-Z0-9]{12,}"
+HEX = r"[0-9a-f]{32,}"
+#: 20 signs or more of a key's alphabet, with a letter and a digit among the first 20.
+LIVE = (
+    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,19}[0-9])(?=[0-9+/_-]{0,19}[A-Za-z])[A-Za-z0-9+/_-]{20,}"
+)
+KINDS = ("assign", "access", "hex", "live")
+
+
+def _hits(text: Column) -> list[Column]:
+    """For each kind: the text between its matches, the matches, the values in them.
+
+    A cheap test keeps the costly splitting from texts without a match. The
+    patterns with a least length give the same matches as the open ones after
+    which short matches are dropped, as a run is matched whole; an assignment's
+    short value, though, ends the match it is in, so it is dropped later.
+    """
+    tests = (
+        F.regexp_like(text, F.lit(ASSIGN)),
+        F.contains(text, F.lit("AKIA")),
+        F.regexp_like(text, F.lit(HEX)),
+        F.regexp_like(text, F.lit(LIVE)),
+    )
+    out = []
+    for kind, pattern, group, test in zip(KINDS, (ASSIGN, ACCESS, HEX, LIVE), (2, 0, 0, 0), tests, strict=True):
+        found = F.struct(
+            F.lit(kind).alias("kind"),
+            F.split(text, pattern, -1).alias("gaps"),
+            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"),
+            F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("values"),
+        )
+        out.append(F.when(test, found))
+    return out
+
+
+def candidates(documents: DataFrame, owner: Column, repository: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``documents`` and the candidates in them, with code-point offsets."""
+    room = common.scratch(documents.sparkSession, "secrets")
+    text = F.coalesce("text", F.lit(""))
+    found = documents.select(
+        F.monotonically_increasing_id().alias("row"),
+        "doc_id",
+        owner.alias("owner"),
+        repository.alias("repository"),
+        F.array_compact(F.array(*_hits(text))).alias("found"),
+    )
+    held = room.save(found, "found")
+    one = held.select("row", "owner", "repository", F.explode("found").alias("f"))
+    one = one.select("row", "owner", "repository", "f.kind", F.posexplode(F.arrays_zip("f.gaps", "f.hits", "f.values")))
+    order = Window.partitionBy("row", "kind").orderBy("pos")
+    size = F.coalesce(F.length("col.hits"), F.lit(0))
+    end = F.sum(F.length("col.gaps") + size).over(order)
+    spans = one.withColumns({"end": end, "start": end - size}).where(
+        F.col("col.hits").isNotNull() & ((F.col("kind") != "assign") | (F.length("col.values") >= 8))
+    )
+    return held.select("row", "doc_id"), spans.select(
+        "row",
+        "owner",
+        "repository",
+        "kind",
+        "start",
+        "end",
+        F.sha2(F.col("col.values"), 256).alias("hash"),
+    )
+
+
+def ownership(spans: DataFrame) -> DataFrame:
+    """``(hash, owners, repositories)`` of every candidate; each is counted once per repository first."""
+    none = F.lit("")
+    once = spans.select("hash", F.coalesce("owner", none).alias("o"), F.coalesce("repository", none).alias("r")).distinct()
+    by_owner = once.groupBy("hash", "o").agg(F.count("*").alias("n"))
+    return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
+
+
+def scan(documents: DataFrame, owner: Column, repository: Column, max_owners: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Rows with their id, and spans ``(row, kind, start, end, hash, owners, repositories, live)``."""
+    rows, spans = candidates(documents, owner, repository)
+    known = spans.join(ownership(spans), "hash")
+    return rows, known.withColumn("live", F.col("owners") <= max_owners).where(
+        "kind <> 'live' or live"
+    ).drop("owner", "repository")
+
+
+def _joined(spans: Column) -> Column:
+    listed = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return F.array_join(listed, ",")
+
+
+def report(documents: DataFrame, owner: Column, repository: Column, max_owners: int = 1) -> DataFrame:
+    """One row per document: counts by kind, the digest of base spans, all spans, live and shared ones."""
+    rows, spans = scan(documents, owner, repository, max_owners)
+    rank = F.array_position(F.array(*(F.lit(k) for k in KINDS)), F.col("kind"))
+    listed = spans.groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), "end", "kind", "live"))).alias("all")
+    )
+    every = F.coalesce("all", F.expr("cast(array() as array<struct<start:bigint,rank:bigint,end:bigint,kind:string,live:boolean>>)"))
+    base = F.filter(every, lambda s: s["kind"] != "live")
+
+    def count(test) -> Column:
+        return F.size(F.filter(every, test)).cast("long")
+
+    def of(kind: str) -> Column:
+        return count(lambda s: s["kind"] == kind)
+
+    return rows.join(listed, "row", "left").select(
+        "doc_id",
+        *(of(k).alias(f"n_{k}") for k in KINDS[:3]),
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(every).alias("spans"),
+        count(lambda s: s["live"]).alias("n_live"),
+        count(lambda s: ~s["live"]).alias("n_shared"),
+    )
+
+
+def redact(documents: DataFrame, owner: Column, repository: Column, max_owners: int = 1) -> DataFrame:
+    """``documents`` with every span replaced by ``[kind]``; ``n_chars`` follows the text.
+
+    Where spans overlap, the one that begins first covers the others. Documents
+    without spans stay as they are.
+    """
+    columns = documents.columns
+    marked = documents.withColumn("_key", F.xxhash64("text"))
+    rows, spans = scan(documents.withColumn("doc_id", F.struct("doc_id", F.xxhash64("text").alias("key"))), owner, repository, max_owners)
+    listed = (
+        spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("_all"))
+        .join(rows, "row")
+        .groupBy("doc_id").agg(F.first("_all").alias("_all"))
+        .select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.key").alias("_hash"), "_all")
+    )
+    joined = marked.join(
+        listed, marked["doc_id"].eqNullSafe(listed["_id"]) & (marked["_key"] == listed["_hash"]), "left"
+    )
+    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.substring("text", (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
+        out = F.concat(acc["out"], gap, F.when(s["start"] >= acc["at"], F.concat(F.lit("["), s["kind"], F.lit("]"))).otherwise(""))
+        return F.struct(out.alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
+
+    done = F.aggregate("_all", start, step)
+    text = F.when(F.col("_all").isNull(), F.col("text")).otherwise(
+        F.concat(done["out"], F.substring("text", (done["at"] + 1).cast("int"), F.lit(1 << 30)))
+    )
+    changed = joined.withColumn("text", text)
+    size = F.when(F.col("_all").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
+    return changed.withColumn("n_chars", size).select(*columns)
