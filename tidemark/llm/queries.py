@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, fingerprint, huffman, packing, secrets
+from tidemark.llm import common, credentials, fingerprint, huffman, neardup, ngrams, packing
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -41,7 +41,7 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
 def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     documents = common.table(spark, folder, "documents")
     owner, repository = owners()
-    return secrets.report(documents, owner, repository)
+    return credentials.report(documents, owner, repository)
 
 
 def owners():
@@ -52,3 +52,14 @@ def owners():
 @query("op10_simhash")
 def simhash(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.edited_fingerprints(common.table(spark, folder, "documents"), radius=3, every=20)
+
+
+@query("op3_minhash_forest")
+def minhash_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(common.table(spark, folder, "documents"))
+
+
+@query("op9_backoff_automaton")
+def backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    documents = common.table(spark, folder, "documents")
+    return ngrams.score(documents, common.fold("doc_id", 7) == 2, order=2)
