@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, credentials, fingerprint, huffman, neardup, ngrams, packing
+from tidemark.llm import common, credentials, fingerprint, huffman, neardup, ngrams, packing, toxicity
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +63,11 @@ def minhash_forest(spark: SparkSession, folder: str) -> DataFrame:
 def backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
     documents = common.table(spark, folder, "documents")
     return ngrams.score(documents, common.fold("doc_id", 7) == 2, order=2)
+
+
+@query("op2_toxicity")
+def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
+    documents = common.table(spark, folder, "documents")
+    held_out = common.fold("doc_id", 5) == 0
+    lexicon = toxicity.learn(documents, common.table(spark, folder, "labels"), ~held_out)
+    return toxicity.report(documents, lexicon, held_out)
