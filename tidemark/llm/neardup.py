@@ -14,8 +14,9 @@ Pairs are sieved by 128 one-bit signatures (at similarity 0.75 a pair is lost wi
 a chance of about 1e-8), then confirmed on the full sets. With 20 trees and a base
 depth of 3, a pair of similarity 0.75 meets in no tree with a chance of 2e-5.
 
-A null or empty text has an empty set and is linked with nothing. Repeated rows are
-copies of one document. Copies are represented by the smallest id among them, and
+A null or empty text has an empty set and is linked with nothing. A row without an id
+has no component, is kept, and is linked with nothing. Repeated rows are copies of one
+document. Copies are represented by the smallest id among them, and
 only such representatives are compared. An empty table gives an empty result; other
 columns are not looked at.
 """
@@ -236,7 +237,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     room = common.scratch(spark, "near-duplicates")
     sets = room.save(signatures(documents), "signatures")
-    copies = sets.where("n_shingles > 0").groupBy("key1", "key2").agg(
+    copies = sets.where("n_shingles > 0 and doc_id is not null").groupBy("key1", "key2").agg(
         F.min("doc_id").alias("id"), F.first(F.struct("bits1", "bits2", "high", "low")).alias("s")
     )
     trees = F.posexplode(F.arrays_zip("s.high", "s.low")).alias("tree", "at")
@@ -257,15 +258,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     leaders = copies.select("key1", "key2", "id").join(roots, "id", "left")
     leaders = leaders.select("key1", "key2", F.coalesce("root", "id").alias("root"))
     joined = sets.select("doc_id", "n_shingles", "key1", "key2").join(leaders, ["key1", "key2"], "left")
-    component = F.coalesce("root", "doc_id")
-    return joined.select(
-        "doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept")
-    )
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
+    kept = F.col("doc_id").isNull() | (F.col("doc_id") == component)
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
 def deduplicate(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents`` whose id is the smallest of its component; of repeated rows one."""
-    kept = near_duplicates(documents).where("kept or doc_id is null").select("doc_id").distinct()
-    ids = kept.withColumnRenamed("doc_id", "_kept")
-    chosen = documents.join(ids, documents["doc_id"].eqNullSafe(ids["_kept"]), "left_semi")
-    return chosen.dropDuplicates(["doc_id"])
+    """The rows of ``documents`` whose id is the smallest of its component; of one id one row.
+
+    Rows without an id stay as they are.
+    """
+    kept = near_duplicates(documents).where("kept and doc_id is not null").select("doc_id")
+    chosen = documents.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return chosen.unionByName(documents.where("doc_id is null"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, credentials, fingerprint, huffman, neardup, ngrams, packing, toxicity
+from tidemark.llm import common, credentials, fingerprint, huffman, mixing, nearest, neardup, ngrams, packing, toxicity, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +71,34 @@ def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
     held_out = common.fold("doc_id", 5) == 0
     lexicon = toxicity.learn(documents, common.table(spark, folder, "labels"), ~held_out)
     return toxicity.report(documents, lexicon, held_out)
+
+
+@query("op4_warc_derivatives")
+def warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    pages = common.table(spark, folder, "pages")
+    headers = F.create_map(F.lit("Content-Type"), F.lit("text/html"), F.lit("Page"), F.col("page_id").cast("string"))
+    date = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    responses = warc.responses_of(pages, "page_id", "url", "html", date, headers)
+    return warc.read_back(warc.derive(responses))
+
+
+def quality():
+    """Domains of the mixing queries are the labels of quality."""
+    return F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")
+
+
+WEIGHTS = {"high": 0.9, "low": 0.1}
+
+
+@query("op5_mixing")
+def mixing_rates(spark: SparkSession, folder: str) -> DataFrame:
+    documents = common.table(spark, folder, "documents")
+    mixed = mixing.mix(documents, common.table(spark, folder, "labels"), quality(), WEIGHTS)
+    domains = [F.coalesce(F.col("_domains")[d], F.lit(0.0)).alias(f"p_{d}") for d in WEIGHTS]
+    return mixed.select("doc_id", F.col("_tokens").cast("long").alias("n_tokens"), *domains, F.col("_rate").alias("rate"))
+
+
+@query("op6_projected_neighbours")
+def projected_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = common.table(spark, folder, "embeddings")
+    return nearest.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
