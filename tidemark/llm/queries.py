@@ -87,7 +87,7 @@ def quality():
     return F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")
 
 
-WEIGHTS = {"high": 0.9, "low": 0.1}
+WEIGHTS = {"high": 0.95, "low": 0.05}
 
 
 @query("op5_mixing")
