@@ -5,13 +5,13 @@ is a sorted order of all sets by their signature in that tree. Sets that share a
 prefix form a region. First, each set is compared with its neighbours in every
 order, those with the longest common prefix: in a small region these are all its
 members, in a crowded one the search goes as deep as the sets agree. What the
-neighbours leave open is settled exactly: for every region whose members are not
-yet in one component, the members outside its main component are compared with all
-others. No region is gathered in a task, and links inside a component that is known
-already are not looked for again.
+neighbours leave open is settled exactly: where a region's members are not yet in one
+component, the members outside its main component are compared with each other and
+with all of that component, in blocks. No region is gathered in a task, and links
+inside a component that is known already are not looked for again.
 
-Pairs are sieved by 128 one-bit signatures (at similarity 0.75 a pair is lost with
-a chance of about 1e-8), then confirmed on the full sets. With 20 trees and a base
+Neighbours are sieved by 128 one-bit signatures (at similarity 0.75 a pair is lost with
+a chance of about 5e-6), then confirmed on the full sets. With 20 trees and a base
 depth of 3, a pair of similarity 0.75 meets in no tree with a chance of 2e-5.
 
 A null or empty text has an empty set and is linked with nothing. A row without an id
@@ -43,7 +43,9 @@ VALUE_BITS = 21
 #: Neighbours in an order on one side.
 REACH = 2
 #: One-bit signatures in which a pair may differ.
-SIEVE = 38
+SIEVE = 34
+#: Sets of a block's side when components are settled, and shingles multiplied at a time.
+CHUNK, SLICE = 512, 8192
 #: Words whose hash a worker remembers.
 REMEMBERED = 300_000
 
@@ -91,11 +93,14 @@ def shingles(text: str | None) -> np.ndarray:
 def _signature(values: np.ndarray) -> np.ndarray:
     """Least hash of the set under each function."""
     _, times, plus = _seeds()
-    out = np.empty(len(times), dtype=np.uint64)
-    for k in range(len(times)):
-        x = values * times[k] + plus[k]
-        out[k] = (x ^ (x >> np.uint64(32))).min()
-    return out
+    least = None
+    for first in range(0, len(values), 256):
+        x = np.multiply.outer(times, values[first : first + 256])
+        x += plus[:, None]
+        x ^= x >> np.uint64(32)
+        own = x.min(axis=1)
+        least = own if least is None else np.minimum(least, own)
+    return least
 
 
 def _as_long(values: np.ndarray) -> np.ndarray:
@@ -205,11 +210,39 @@ def _components(links: DataFrame, room) -> DataFrame:
     return found.select(F.col("id.user_id").alias("id"), F.col("root.user_id").alias("root"))
 
 
-def _still_open(forest: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of different components that share a base prefix and pass the sieve.
-
-    In each region the members outside the largest component meet all members of
-    other components; pairs between two small components are met once.
+def _block_links(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Which sets of ``left`` and ``right`` have 100 * intersection >= 75 * union, as a matrix."""
+    values = np.unique(np.concatenate(left))
+    shared = np.intersect1d(values, np.unique(np.concatenate(right)), assume_unique=True)
+    both = np.zeros((len(left), len(right)), dtype=np.float32)
+    sides = []
+    for sets in (left, right):
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        every = np.concatenate(sets)
+        at = np.searchsorted(shared, every)
+        at[at == len(shared)] = 0
+        hit = shared[at] == every if len(shared) else np.zeros(len(every), dtype=bool)
+        order = np.argsort(at[hit], kind="stable")
+        sides.append((owner[hit][order], at[hit][order]))
+    for first in range(0, len(shared), SLICE):
+        grids = []
+        for (owner, at), count in zip(sides, both.shape, strict=True):
+            a, b = np.searchsorted(at, [first, first + SLICE])
+            grid = np.zeros((count, SLICE), dtype=np.float32)
+            grid[owner[a:b], at[a:b] - first] = 1
+            grids.append(grid)
+        both += grids[0] @ grids[1].T
+    sizes = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right])[None, :]
+    return 100 * both >= 75 * (sizes - both)
+
+
+def _settled(forest: DataFrame, roots: DataFrame, sets: DataFrame, room) -> DataFrame:
+    """Links ``(a, b)`` between different components that share a base prefix.
+
+    In each region with several components, the sets outside the largest one are
+    attached to it. All that is attached to a component is compared with each other
+    and with the whole component, in blocks of ``CHUNK`` sets by ``CHUNK`` that are
+    dealt over the cluster. One link per set and component it meets is enough.
     """
     known = forest.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     region = ["tree", "high"]
@@ -217,19 +250,44 @@ def _still_open(forest: DataFrame, roots: DataFrame) -> DataFrame:
     main = sized.groupBy(*region).agg(
         F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")
     ).where("roots > 1")
-    members = known.join(main, region).select(*region, "id", "root", "bits1", "bits2", "main")
-    outside = members.where("root <> main").select(
-        *region, *(F.col(c).alias(f"o_{c}") for c in ("id", "root", "bits1", "bits2"))
-    )
-    apart = F.bit_count(F.col("bits1").bitwiseXOR(F.col("o_bits1"))) + F.bit_count(
-        F.col("bits2").bitwiseXOR(F.col("o_bits2"))
-    )
-    met = members.join(outside, region).where(
-        (F.col("root") != F.col("o_root"))
-        & ((F.col("root") == F.col("main")) | (F.col("id") < F.col("o_id")))
-        & (apart <= SIEVE)
-    )
-    return met.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
+    outside = known.join(main, region).where("root <> main").select("main", "id", "root").distinct()
+    outside = room.save(outside, "outside")
+    mains = outside.select("main").distinct()
+    ids = known.select("id", "root").distinct()
+    inside = ids.join(mains, ids["root"] == mains["main"]).select("main", "id", "root")
+    left_sizes = outside.groupBy("main").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("lefts"))
+    right = room.save(outside.unionByName(inside), "right")
+    right_sizes = right.groupBy("main").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("rights"))
+    sizes = left_sizes.join(right_sizes, "main")
+    several = F.col("lefts") * F.col("rights") > 1
+    buckets = 4 * common.parts(forest.sparkSession)
+    key = F.when(several, F.xxhash64("main", "l", "r")).otherwise(F.pmod(F.xxhash64("main"), F.lit(buckets)))
+
+    def dealt(rows: DataFrame, own: str, other: str, mine: str, theirs: str) -> DataFrame:
+        placed = rows.join(sizes, "main").withColumns(
+            {mine: F.pmod(F.xxhash64("id"), F.col(own)).cast("int"), theirs: F.explode(F.sequence(F.lit(0), F.col(other) - 1))}
+        )
+        placed = placed.select(key.alias("key"), "main", "l", "r", "id", "root")
+        full = placed.join(sets.select(F.col("doc_id").alias("id"), "set"), "id")
+        return full.select(*(F.col(c).alias(c) for c in ("key", "main", "l", "r", "id", "root", "set"))).groupBy("key")
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        groups: dict[tuple, tuple[list, list]] = {}
+        for side, table in enumerate((left, right)):
+            for row in zip(*(table.column(c).to_pylist() for c in ("main", "l", "r", "id", "root", "set"))):
+                groups.setdefault(row[:3], ([], []))[side].append(row[3:])
+        for one, other in groups.values():
+            if one and other:
+                linked = _block_links(*([np.frombuffer(x[2], dtype="<u8") for x in side] for side in (one, other)))
+                for k, (a, root, _) in enumerate(one):
+                    met = {other[j][1]: other[j][0] for j in np.flatnonzero(linked[k]) if other[j][1] != root}
+                    found += [(a, b) for b in met.values()]
+        columns = list(zip(*found)) if found else [[], []]
+        return pa.table({"a": pa.array(columns[0], pa.int64()), "b": pa.array(columns[1], pa.int64())})
+
+    pairs = dealt(outside, "lefts", "rights", "l", "r").cogroup(dealt(right, "rights", "lefts", "r", "l"))
+    return pairs.applyInArrow(work, "a long, b long")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -251,8 +309,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     near = room.save(_neighbours(forest), "neighbours")
     links = room.save(_confirmed(near.select("a", "b"), full), "links")
     roots = room.save(_components(links, room), "roots")
-    rest = room.save(_still_open(forest, roots), "open")
-    more = room.save(_confirmed(rest, full), "more-links")
+    more = room.save(_settled(forest, roots, full, room), "more-links")
     if more.limit(1).count():
         roots = room.save(_components(links.unionByName(more), room), "all-roots")
     leaders = copies.select("key1", "key2", "id").join(roots, "id", "left")
