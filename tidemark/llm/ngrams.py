@@ -14,7 +14,7 @@ state after a token is the longest history that was seen.
 No worker holds the model. Documents are cut into blocks of bounded size. A block
 asks for the n-grams that occur in it, sends along how often its training documents
 have them, and gets back their counts over the corpus, from which it builds the part
-of the automaton that its own texts can reach. n-grams meet by a 64-bit hash, dealt
+of the automaton that its own texts can reach. n-grams meet by a hash, dealt
 evenly over slices, so frequent words make no hot key: each is one entry per block.
 
 A null text is empty and has one token, the end. Repeated rows count as often as they
@@ -32,9 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
+from tidemark.sources.fs import FileSystem
 
 #: Tokens after which a block ends.
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 700_000
 END = b""
 BLOCKS = (
     "kind string, block long, gram int, slice int, doc_id long, held_out boolean, ids binary, hashes binary, counts binary"
@@ -52,6 +53,8 @@ BLOCKS_ARROW = pa.schema(
         ("counts", pa.binary()),
     ]
 )
+#: Words meet by 64 bits, longer n-grams by 48: a rare collision moves a score by next to nothing.
+KEPT_BITS = np.uint64(0xFFFFFFFFFFFF0000)
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -88,7 +91,7 @@ def grams(ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, order: int):
         longer = np.zeros_like(current)
         longer[1:] = _mixed(current[:-1] * np.uint64(2 * size + 1) + own[1:])
         current = longer
-        yield current, place >= size - 1
+        yield current & KEPT_BITS, place >= size - 1
 
 
 def _blocks(documents: DataFrame, order: int, slices: int) -> DataFrame:
@@ -298,5 +301,8 @@ def score(documents: DataFrame, held_out, order: int = 2) -> DataFrame:
     bins = answers.where("block = -1").select(F.posexplode("words").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n"))
     mass = answers.where("block = -1").select(F.posexplode("tokens").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n"))
     model = Model(*([r["n"] for r in sorted(x.collect(), key=lambda r: r["bin"])] for x in (bins, mass)))
-    texts = blocks.where("kind = 'doc'").select("block", "doc_id", "held_out", "ids", "counts")
+    # The answers are stored, so what was asked is not needed any more.
+    FileSystem(spark, target).delete(f"{target}/kind=ask")
+    texts = spark.read.schema(BLOCKS).option("basePath", target).parquet(f"{target}/kind=doc")
+    texts = texts.where("kind = 'doc'").select("block", "doc_id", "held_out", "ids", "counts")
     return _scored(texts, answers.where("block >= 0"), model, order)
