@@ -189,7 +189,8 @@ class Model:
         words, tokens = words or [0] * (BINS + 2), tokens or [0] * BINS
         self.types, self.tokens = sum(words[:BINS]), sum(tokens)
         once, twice = words[BINS:]
-        self.discount = once / (once + 2 * twice) if once else 0.5
+        # Good and Turing's n1 / (n1 + 2 n2), kept off 0 and 1 where either is rare.
+        self.discount = (once + 1) / (once + 2 * twice + 2)
         used = [(n, t) for n, t in zip(words, tokens) if n]
         self.shares = np.array([t / self.tokens for _, t in used])
         self.rates = np.array([min(t / n / self.tokens, 0.999999) for n, t in used])
@@ -303,6 +304,5 @@ def score(documents: DataFrame, held_out, order: int = 2) -> DataFrame:
     model = Model(*([r["n"] for r in sorted(x.collect(), key=lambda r: r["bin"])] for x in (bins, mass)))
     # The answers are stored, so what was asked is not needed any more.
     FileSystem(spark, target).delete(f"{target}/kind=ask")
-    texts = spark.read.schema(BLOCKS).option("basePath", target).parquet(f"{target}/kind=doc")
-    texts = texts.where("kind = 'doc'").select("block", "doc_id", "held_out", "ids", "counts")
+    texts = spark.read.schema(BLOCKS).parquet(target).where("kind = 'doc'").select("block", "doc_id", "held_out", "ids", "counts")
     return _scored(texts, answers.where("block >= 0"), model, order)
