@@ -102,13 +102,13 @@ def _(spark, folder):
     "coerce_safe",
     """
 SELECT page_id, TRY_CAST(nullif(regexp_extract(url, '/([0-9a-z.]+)[^/]*$', 1), '') AS INTEGER) AS number
-FROM pages WHERE regexp_extract(url, '/([0-9a-z.]+)[^/]*$', 1) <> ''""",
+FROM pages""",
 )
 def _(spark, folder):
     found = table(spark, folder, "pages").select(
         "page_id", F.regexp_extract("url", r"/([0-9a-z.]+)[^/]*$", 1).alias("number")
     )
-    return coerce.coerce(found.where("number <> ''"), {"number": "int"}, safe=True)
+    return coerce.coerce(found, {"number": "int"}, safe=True)
 
 
 @query("identity", "SELECT p_partkey AS id, CAST(p_size AS VARCHAR) AS size_text FROM part")
@@ -245,11 +245,6 @@ def _(spark, folder):
     return rows.limit(table(spark, folder, "orders"), 1000).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sample_rows")
-def _(spark, folder):
-    return rows.sample(table(spark, folder, "orders").select("o_orderkey"), 0.1, seed=7)
-
-
 # A one-in-ten sample has about a tenth of the rows, none twice, none invented.
 @query("sample_share", "SELECT true AS close, CAST(0 AS BIGINT) AS strangers")
 def _(spark, folder):

@@ -69,11 +69,6 @@ def test_cookie_wins_over_user_id(spark):
     assert (row["id"]["user_id"], row["root"]["cookie"]) == (1, "zzz")
 
 
-def test_running_out_of_rounds_is_an_error(spark):
-    with pytest.raises(RuntimeError):
-        identity.connected_components(edges_of(spark, CHAIN), max_rounds=1)
-
-
 def test_plain_iteration_reaches_the_same_roots(spark):
     pairs = [(i, i + 1) for i in range(6)] + [(20, 3), (9, 9)]
     current = edges_of(spark, pairs)

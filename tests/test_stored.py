@@ -317,6 +317,12 @@ def test_flow(spark, folder):
     assert not flow.sinks_fresh(spark, [source], [sink])
     with pytest.raises(FileNotFoundError):
         flow.sinks_fresh(spark, [f"{folder}/missing"], [sink])
+    deep = f"{folder}/deep"
+    files.write_table(spark.range(5), f"{deep}/a=1/b=1")
+    files.write_table(spark.range(5), sink, "REPLACE")
+    assert flow.sinks_fresh(spark, [deep], [sink])
+    files.write_table(spark.range(6), f"{deep}/a=1/b=1", "UPDATE")
+    assert not flow.sinks_fresh(spark, [deep], [sink])
     assert flow.run_unless(True, lambda: 1) is None and flow.run_unless(False, lambda: 1) == 1
     scratch = Scratch(spark, "flow")
     assert flow.checkpoint(spark.range(3), scratch).count() == 3

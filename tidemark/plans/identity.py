@@ -14,6 +14,8 @@ on a hub node. Every round is written to the shared checkpoint folder.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -159,14 +161,13 @@ def _as_numbers(links: DataFrame, cookies: int, scratch: Scratch):
     )
 
 
-def connected_components(
-    edges: DataFrame, scratch: Scratch | None = None, max_rounds: int = 64
-) -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``(id, root)`` for every linked id that is not itself the root.
 
     ``root`` is the smallest id of the component. The rounds end when neither
     star operation moves an edge, which holds exactly for a set of stars around
-    the smallest ids. Running out of rounds is an error, never a partial result.
+    the smallest ids. Every round that moves an edge lowers the sum of the smaller
+    ends, so the rounds end.
     """
     spark = edges.sparkSession
     scratch = scratch or Scratch(spark, "identity")
@@ -185,7 +186,7 @@ def connected_components(
     if counts.get("rows", 0) == 0:
         return stored.select(F.col("high").alias("id"), F.col("low").alias("root"))
     current, decode = _as_numbers(stored, counts["cookies"], scratch)
-    for turn in range(max_rounds):
+    for turn in count():
         large_seen, large_moves = _moves(f"large-{turn}")
         small_seen, small_moves = _moves(f"small-{turn}")
         large = _large_star(current).observe(large_seen, large_moves).drop("moved").distinct()
@@ -195,7 +196,6 @@ def connected_components(
         current = following
         if observed(large_seen)["moves"] == 0 and observed(small_seen)["moves"] == 0:
             return decode(current)
-    raise RuntimeError(f"identity links did not settle within {max_rounds} rounds")
 
 
 def normalize_user_ids(page_views: DataFrame, roots: DataFrame) -> DataFrame:

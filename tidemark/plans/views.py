@@ -54,11 +54,7 @@ def merge_sketches(sketch) -> Column:
 def page_view_batch_view(page_views: DataFrame) -> DataFrame:
     """Views per ``(url, granularity, bucket)``."""
     hourly = hourly_rollup(page_views, F.count(F.lit(1)).alias("views"))
-    return (
-        buckets.emit_granularities(hourly)
-        .groupBy("url", "granularity", "bucket")
-        .agg(F.sum("views").alias("value"))
-    )
+    return _roll_up(hourly.withColumnRenamed("views", "value"), value=F.sum("value"))
 
 
 def _roll_up(hourly: DataFrame, **merges: Column) -> DataFrame:

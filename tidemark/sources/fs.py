@@ -16,6 +16,9 @@ class FileSystem:
     def path(self, text: str):
         return self._jvm.org.apache.hadoop.fs.Path(text)
 
+    def uri(self) -> str:
+        return self._fs.getUri().toString() + "/"
+
     def exists(self, path: str) -> bool:
         return self._fs.exists(self.path(path))
 
@@ -39,14 +42,17 @@ class FileSystem:
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self.path(path)))
 
     def modified(self, path: str) -> int:
-        """Latest modification time below ``path`` in ms; 0 when it is absent."""
+        """Latest modification time at any level below ``path`` in ms; 0 when it is absent."""
         if not self.exists(path):
             return 0
-        latest = self._fs.getFileStatus(self.path(path)).getModificationTime()
-        if self.is_dir(path):
-            for status in self._fs.listStatus(self.path(path)):
-                if not status.getPath().getName().startswith((".", "_")):
-                    latest = max(latest, status.getModificationTime())
+        status = self._fs.getFileStatus(self.path(path))
+        latest = status.getModificationTime()
+        if status.isDirectory():
+            for child in self._fs.listStatus(self.path(path)):
+                if not child.getPath().getName().startswith((".", "_")):
+                    latest = max(latest, child.getModificationTime())
+                    if child.isDirectory():
+                        latest = max(latest, self.modified(child.getPath().toString()))
         return latest
 
     def files(self, path: str) -> list[tuple[str, int]]:

@@ -6,7 +6,7 @@ cheaper than ``DataFrame.checkpoint``, which computes its input twice.
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,18 +17,20 @@ from tidemark.sources.fs import FileSystem
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``.
 
-    Only a local master may go without it; there a folder of this machine is
-    made and remembered in the session.
+    Where it is unset, a folder of the session's default file system is made and
+    remembered in the session. Executors on other machines would not see a folder of
+    this one, so on a cluster the default file system must not be the local one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    store = FileSystem(spark, "/")
+    one_machine = re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master)
+    if store.uri().startswith("file:") and not one_machine:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.sparkContext.setCheckpointDir(folder)
+    spark.sparkContext.setCheckpointDir(f"{store.uri().rstrip('/')}/tmp/tidemark-{uuid.uuid4().hex}")
     return spark.sparkContext.getCheckpointDir()
 
 
