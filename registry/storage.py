@@ -10,10 +10,10 @@ from tidemark import schema
 from tidemark.plans import batch
 from tidemark.sources import facts, files
 from tidemark.sources.dataset import Dataset
+from tidemark.sources.history import History
 from tidemark.sources.scratch import Scratch
 from tidemark.sources.serving import BOUNCE_VIEW, PAGE_VIEW_VIEW, UNIQUE_VIEW, VIEWS, SpeedViews
-from tidemark.sources.slices import Slice, TimeSliceStore, week_start
-from tidemark.sources.versions import VersionedStore
+from tidemark.sources.timeline import Timeline, week_of
 
 
 def place(spark, name: str) -> str:
@@ -370,12 +370,12 @@ SELECT 'newest' AS which, o_orderkey FROM orders WHERE o_orderkey % 4 = 3
 UNION ALL SELECT 'at most 2', o_orderkey FROM orders WHERE o_orderkey % 4 = 2""",
 )
 def _(spark, folder):
-    store = VersionedStore(spark, place(spark, "versions"))
+    store = History(spark, place(spark, "versions"))
     orders = table(spark, folder, "orders").select("o_orderkey")
     for version in range(4):
-        store.write(orders.where(F.col("o_orderkey") % 4 == version), version, keep=3)
+        store.add(orders.where(F.col("o_orderkey") % 4 == version), version, keep=3)
     newest = store.read().select(F.lit("newest").alias("which"), "o_orderkey")
-    older = store.read(store.newest(at_most=2)).select(F.lit("at most 2").alias("which"), "o_orderkey")
+    older = store.read(store.latest(up_to=2)).select(F.lit("at most 2").alias("which"), "o_orderkey")
     return newest.unionByName(older)
 
 
@@ -391,15 +391,13 @@ def _(spark, folder):
     events = table(spark, folder, "events").select(
         "event_id", F.unix_seconds(F.col("ts").cast("timestamp")).cast("int").alias("secs")
     )
-    store = TimeSliceStore.create(spark, place(spark, "slices"), events.schema)
-    first, last = events.agg(F.min("secs"), F.max("secs")).first()
-    weeks = range(week_start(first), last + 1, 7 * 24 * 3600)
-    for week in weeks:
-        rows = events.where(F.col("secs").between(week, week + 7 * 24 * 3600 - 1))
-        store.write(rows, Slice(week, week))
-        if week != weeks[-1]:
-            store.finish(Slice(week, week))
-    return store.read_finished().select("event_id", "week_start", "slice_start")
+    store = Timeline.create(spark, place(spark, "slices"), events.schema)
+    store.add(events, week_of(F.col("secs")))
+    weeks = store.slices()
+    last = weeks.agg(F.max("slice_start")).first()[0]
+    store.close(weeks.where(F.col("slice_start") < last))
+    place_of = [F.col(c).cast("int").alias(c) for c in ("week_start", "slice_start")]
+    return store.read_closed().select("event_id", *place_of)
 
 
 # -- served views

@@ -91,8 +91,8 @@ def test_one_iteration(spark, rows_of):
 def test_views_take_the_root(spark, seed_views, seed_equivs):
     found = identity.resolve_identities(seed_views, seed_equivs)
     assert found.columns == seed_views.columns
-    assert {r["person"]["user_id"] for r in found.collect()} == {1, 2}
-    assert found.count() == 8
+    assert {r["person"]["user_id"] for r in found.collect()} == {2, 4, 7, 8}
+    assert found.count() == 11
 
 
 def test_null_ids_are_not_linked(spark):

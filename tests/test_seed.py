@@ -6,24 +6,32 @@ from tidemark.sources import facts
 from tidemark.sources.scratch import Scratch, shared_folder
 from tidemark.sources.serving import BOUNCE_VIEW, PAGE_VIEW_VIEW, UNIQUE_VIEW
 
-POST = "http://foo.com/post"
 PAGE_VIEWS = {
-    ("1", "h", 0): 3, ("1", "h", 1): 1, ("2", "h", 1): 1, ("2", "h", 2): 1, ("3", "h", 0): 1, ("3", "h", 2): 1,
-    ("1", "d", 0): 4, ("2", "d", 0): 2, ("3", "d", 0): 2,
-    ("1", "w", 0): 4, ("2", "w", 0): 2, ("3", "w", 0): 2,
-    ("1", "m", 0): 4, ("2", "m", 0): 2, ("3", "m", 0): 2,
+    ("shop.example/cart", "h", 0): 3, ("shop.example/cart", "d", 0): 3,
+    ("shop.example/cart", "w", 0): 3, ("shop.example/cart", "m", 0): 3,
+    ("shop.example/list", "h", 0): 2, ("shop.example/list", "h", 694): 1,
+    ("shop.example/list", "d", 0): 2, ("shop.example/list", "d", 28): 1,
+    ("shop.example/list", "w", 0): 2, ("shop.example/list", "w", 4): 1,
+    ("shop.example/list", "m", 0): 2, ("shop.example/list", "m", 1): 1,
+    ("news.example/today", "h", 0): 1, ("news.example/today", "h", 1): 1,
+    ("news.example/today", "h", 25): 1, ("news.example/today", "h", 194): 1,
+    ("news.example/today", "d", 0): 2, ("news.example/today", "d", 1): 1, ("news.example/today", "d", 8): 1,
+    ("news.example/today", "w", 0): 3, ("news.example/today", "w", 1): 1,
+    ("news.example/today", "m", 0): 4,
 }
-VISITORS = {
-    ("1", "h", 0): 2, ("1", "h", 1): 1, ("2", "h", 1): 1, ("2", "h", 2): 1, ("3", "h", 0): 1, ("3", "h", 2): 1,
-    ("1", "d", 0): 2, ("2", "d", 0): 1, ("3", "d", 0): 2,
-    ("1", "w", 0): 2, ("2", "w", 0): 1, ("3", "w", 0): 2,
-    ("1", "m", 0): 2, ("2", "m", 0): 1, ("3", "m", 0): 2,
+# Users 10 and 4 are one visitor, and so are 12 and 8.
+VISITORS = PAGE_VIEWS | {
+    ("shop.example/cart", "h", 0): 2, ("shop.example/cart", "d", 0): 2,
+    ("shop.example/cart", "w", 0): 2, ("shop.example/cart", "m", 0): 2,
+    ("shop.example/list", "h", 0): 1, ("shop.example/list", "d", 0): 1,
+    ("shop.example/list", "w", 0): 1, ("shop.example/list", "m", 0): 1,
+    ("news.example/today", "w", 0): 2, ("news.example/today", "m", 0): 2,
 }
 
 
 def bucketed(df):
     return {
-        (r["url"].removeprefix(POST), r["granularity"], r["bucket"]): r["value"] for r in df.collect()
+        (r["url"].removeprefix("http://"), r["granularity"], r["bucket"]): r["value"] for r in df.collect()
     }
 
 
@@ -33,7 +41,7 @@ def resolved(seed_views, seed_equivs):
 
 def test_roots(seed_equivs):
     found = identity.connected_components(identity.edgify_equiv(seed_equivs))
-    assert {(r["id"]["user_id"], r["root"]["user_id"]) for r in found.collect()} == {(3, 1), (5, 1)}
+    assert {(r["id"]["user_id"], r["root"]["user_id"]) for r in found.collect()} == {(10, 4), (12, 8)}
 
 
 def test_views(seed_views, seed_equivs):
@@ -48,16 +56,24 @@ def test_views(seed_views, seed_equivs):
 def test_bounces(seed_views, seed_equivs):
     page_views = resolved(seed_views, seed_equivs)
     served = views.publishable_bounces(views.bounces_view(page_views)).collect()
-    assert [tuple(r) for r in served] == [("foo.com", "foo.com", 4, 0, 0.0)]
+    assert sorted(tuple(r) for r in served) == [
+        ("news.example", "news.example", 4, 4, 1.0),
+        ("shop.example", "shop.example", 4, 3, 0.75),
+    ]
     per_user = views.analyze_visits(views.domain_views(page_views)).collect()
-    assert {r["person"]["user_id"]: (r["visits"], r["bounces"]) for r in per_user} == {1: (3, 0), 2: (1, 0)}
+    assert {(r["domain"][:4], r["person"]["user_id"]): (r["visits"], r["bounces"]) for r in per_user} == {
+        ("shop", 4): (2, 1), ("shop", 8): (1, 1), ("shop", 2): (1, 1), ("news", 7): (2, 2), ("news", 8): (2, 2)
+    }
 
 
 def test_bounces_legacy(seed_views, seed_equivs):
     page_views = resolved(seed_views, seed_equivs)
     rows = views.publishable_bounces(views.bounces_view(page_views, legacy=True), legacy=True)
     assert rows.columns == ["key", "domain", "bounces", "total", "rate"]
-    assert [tuple(r) for r in rows.collect()] == [("foo.com", "foo.com", 8, 8, 1)]
+    assert sorted(tuple(r) for r in rows.collect()) == [
+        ("news.example", "news.example", 4, 4, 1),
+        ("shop.example", "shop.example", 6, 6, 1),
+    ]
 
 
 def fill(spark, places, seed_views, seed_equivs):
@@ -74,7 +90,7 @@ def test_batch(spark, folder, seed_views, seed_equivs):
     assert page_views.columns == schema.BUCKETED_VIEW_COLUMNS
     assert bucketed(page_views) == PAGE_VIEWS
     assert bucketed(served.read(UNIQUE_VIEW)) == VISITORS
-    assert {r["key"] for r in page_views.collect()} >= {f"{POST}1/h-0", f"{POST}3/m-0"}
+    assert {r["key"] for r in page_views.collect()} >= {"http://shop.example/cart/h-0", "http://news.example/today/m-0"}
     assert served.read(BOUNCE_VIEW).columns == schema.BOUNCE_VIEW_COLUMNS
     served.register()
     assert spark.sql("SELECT visits FROM bounce_view").first()["visits"] == 4
@@ -82,7 +98,7 @@ def test_batch(spark, folder, seed_views, seed_equivs):
     # The new data is gone into the master table, by kind.
     assert facts.open_new_data(spark, places.new_data).is_empty()
     master = facts.open_master(spark, places.master)
-    assert facts.read_arm(master, schema.PAGE_VIEW).count() == 8
+    assert facts.read_arm(master, schema.PAGE_VIEW).count() == 11
     assert facts.read_arm(master, schema.EQUIV).columns == schema.EQUIVS.names
 
 

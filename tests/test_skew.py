@@ -76,3 +76,25 @@ def test_busy_key_on_either_side_of_an_outer_join(spark, joiner, hot_side):
         assert len(rows) == plain.count()
         assert sum(r["k"] == 7 and r["w"] == 14 for r in rows) == 20_001
         assert "skew=true" in final_plan(joined)
+
+
+@pytest.mark.parametrize("joiner", ["inner", "left", "right", "outer"])
+@pytest.mark.parametrize("place", [0, 1, 2])
+def test_busy_key_in_three_streams(spark, joiner, place):
+    with small_thresholds(spark):
+        few = [
+            spark.range(5, 30_000).select(F.col("id").alias(f"k{i}"), (F.col("id") * i).alias(f"w{i}"))
+            for i in (1, 2)
+        ]
+        streams = [(few[0], ["k1"]), (few[1], ["k2"])]
+        streams.insert(place, (hot(spark), ["k"]))
+        joined = joins.co_group(streams, joiner)
+        rows = joined.collect()
+        assert sum(r["k"] == 7 and r["w1"] == 7 and r["w2"] == 14 for r in rows) == 20_001
+        keys = hot(spark).groupBy("k").count().collect()
+        size = {r["k"]: r["count"] for r in keys}
+        needed = {"inner": (0, 1, 2), "left": (0, 1), "right": (1, 2), "outer": ()}[joiner]
+        every = set(size) | set(range(5, 30_000))
+        there = [k for k in every if all((k in size) if i == place else 5 <= k < 30_000 for i in needed)]
+        assert len(rows) == sum(size.get(k, 1) for k in there)
+        assert "skew=true" in final_plan(joined)

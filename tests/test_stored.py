@@ -10,11 +10,11 @@ from tidemark.plans import flow
 from tidemark.sources import facts, files
 from tidemark.sources.dataset import Dataset
 from tidemark.sources.fs import FileSystem
+from tidemark.sources.history import History
 from tidemark.sources.scratch import Scratch
 from tidemark.sources.serving import VIEWS, BatchViews, SpeedViews
-from tidemark.sources.slices import WEEK_SECONDS as W
-from tidemark.sources.slices import Slice, TimeSliceStore, week_start
-from tidemark.sources.versions import VersionedStore
+from tidemark.sources.timeline import WEEK_SECONDS as W
+from tidemark.sources.timeline import Timeline
 
 ROWS = T.StructType([T.StructField("a", T.LongType()), T.StructField("p", T.IntegerType())])
 
@@ -169,6 +169,7 @@ def test_a_change_dies_before_or_after_its_journal(spark, folder, rows_of, monke
             d.replace_files(numbers(spark, 4, p=3), gone)
     d = Dataset.open(spark, f"{folder}/d")
     assert rows_of(d.read()) == rows_of(numbers(spark))
+    d.drop_stages()
     # After: it is finished on opening, even from half way.
     with monkeypatch.context() as m:
         m.setattr(Dataset, "_roll_forward", die)
@@ -200,76 +201,108 @@ def test_facts_outside_the_kinds_are_refused(spark, folder):
 # -- versions and slices
 
 
-def test_versions(spark, folder):
-    store = VersionedStore(spark, f"{folder}/v")
-    assert store.newest() is None and store.newest_path() is None
-    with pytest.raises(FileNotFoundError):
+def test_history(spark, folder):
+    store = History(spark, f"{folder}/v")
+    assert store.latest() is None and store.numbers() == []
+    with pytest.raises(FileNotFoundError, match="empty"):
         store.read()
-    for v in (5, 7, 9):
-        store.write(spark.range(v), v, keep=-1)
-    assert store.versions() == [9, 7, 5]
-    assert (store.newest(), store.newest(8), store.newest(4)) == (9, 7, None)
+    for number in (5, 7, 9):
+        store.add(spark.range(number), number, keep=None)
+    assert (store.latest(), store.latest(8), store.latest(4)) == (9, 7, None)
     assert store.read().count() == 9 and store.read(5).count() == 5
     with pytest.raises(FileExistsError):
-        store.create(7)
-    # An unfinished version does not count, and its leftovers go.
-    path = store.create(11)
-    FileSystem(spark, folder).mkdirs(path)
-    assert store.newest() == 9
-    store.succeed(path)
-    assert store.newest() == 11
-    store.fail(path)
-    assert store.versions() == [9, 7, 5]
-    with pytest.raises(ValueError):
-        store.succeed(f"{folder}/elsewhere/3")
+        store.add(spark.range(1), 7)
+    # What fails is not listed, and leaves no folder.
+    names = FileSystem(spark, folder).list(f"{folder}/v")
+    with pytest.raises(KeyError):
+        with store.adding(11) as (_, path):
+            spark.range(3).write.parquet(path)
+            assert store.latest() == 9
+            raise KeyError
+    with pytest.raises(FileNotFoundError, match="nothing was written"):
+        with store.adding(11):
+            pass
+    assert FileSystem(spark, folder).list(f"{folder}/v") == names
+    store.trim(-1)
+    assert store.numbers() == [5, 7, 9]
+    store.trim(2)
+    assert store.numbers() == [7, 9]
+    store.forget([7, 100])
+    assert store.add(spark.range(1)) > 9 and len(store.numbers()) == 2
     with pytest.raises(FileNotFoundError):
-        store.succeed(store.version_path(33))
-    store.cleanup(-1)
-    assert len(store.versions()) == 3
-    store.cleanup(2)
-    assert store.versions() == [9, 7]
-    assert store.write(spark.range(1)) > 9 and len(store.versions()) == 3
-    # A success flag alone also marks a version.
-    spark.range(2).write.parquet(store.version_path(8))
-    assert store.has_version(8)
-
-
-def test_slices(spark, folder, rows_of):
-    schema = T.StructType([T.StructField("a", T.LongType())])
-    store = TimeSliceStore.create(spark, f"{folder}/s", schema)
+        store.read(7)
+
+
+def test_timeline(spark, folder, rows_of):
+    line = Timeline.create(spark, f"{folder}/s", T.StructType([T.StructField("a", T.LongType())]))
     rows = spark.range(4).select(F.col("id").alias("a"))
-    one, two, three = Slice(W, W), Slice(W, W + 60), Slice(2 * W, 2 * W)
-    assert (store.min_week_start(), store.max_slice_start()) == (None, None)
-    store.write(rows, one)
-    assert store.unfinished_slices() == [one]
-    with pytest.raises(ValueError, match="not finished"):
-        store.read(one)
-    store.finish(one)
-    assert store.read(one).count() == 4
-    for late in (one, Slice(0, 5)):
-        with pytest.raises(ValueError, match="exists"):
-            store.write(rows, late)
-    for wrong in (Slice(W + 1, W + 70), Slice(W, 2 * W), Slice(2 * W, W + 80)):
-        with pytest.raises(ValueError):
-            store.write(rows, wrong)
-    store.write(rows, two)
-    store.finish(three)
-    assert store.finished_slices() == [one, three] and store.unfinished_slices() == [two]
-    assert (store.min_week_start(), store.max_week_start()) == (W, 2 * W)
-    assert (store.min_slice_start(), store.max_slice_start(), store.max_slice_start(W)) == (W, 2 * W, W)
-    assert store.slice_starts(W) == [W] and store.is_finished(three) and not store.is_finished(two)
-    assert store.read(three).count() == 0 and store.read_finished().count() == 4
-    assert week_start(W + 61) == W
-
-    newer = TimeSliceStore.create(spark, f"{folder}/n", schema)
-    newer.write(rows, Slice(3 * W, 3 * W))
-    newer.finish(Slice(3 * W, 3 * W))
-    opened = TimeSliceStore.open(spark, f"{folder}/s")
-    opened.copy_append(newer)
-    assert opened.max_slice_start() == 3 * W and opened.read_finished().count() == 8
-    with pytest.raises(ValueError, match="not newer"):
-        opened.absorb(newer)
-    assert isinstance(opened.consolidate(), int)
+    assert line.span() == (None, None) and line.read_closed().count() == 0
+    # One pass fills several slices, in two weeks.
+    line.add(rows, F.when(F.col("a") < 2, W).when(F.col("a") < 3, W + 60).otherwise(2 * W))
+    assert sorted(map(tuple, line.slices().collect())) == [(W, W, False), (W, W + 60, False), (2 * W, 2 * W, False)]
+    with pytest.raises(ValueError, match="not closed"):
+        line.read(W)
+    line.close([W, 2 * W + 5])
+    assert line.span() == (W, 2 * W + 5) and line.span(W) == (W, W) and line.span(0) == (None, None)
+    assert rows_of(line.read(W)) == [(0, W, W), (1, W, W)] == rows_of(line.read_closed())
+    assert line.read(2 * W + 5).count() == 0
+    line.close(line.slices().where("slice_start = 2 * 604800"))
+    assert rows_of(line.read_closed().select("a")) == [(0,), (1,), (3,)]
+    for late in (W, 0, 2 * W + 5, F.lit(None)):
+        with pytest.raises(Exception, match="no open slice"):
+            line.add(rows, late)
+
+    newer = Timeline.create(spark, f"{folder}/n", T.StructType([T.StructField("a", T.LongType())]))
+    newer.add(rows, 3 * W)
+    newer.close([3 * W])
+    opened = Timeline.open(spark, f"{folder}/s")
+    opened.extend(newer)
+    assert opened.span()[1] == 3 * W and opened.read_closed().count() == 7
+    for move in (False, True):
+        with pytest.raises(ValueError, match="not newer"):
+            opened.extend(newer, move)
+    # Compaction of one slice leaves the others.
+    before = {p for p, _ in opened.rows.files() if f"slice_start={3 * W}" not in p}
+    opened.consolidate(3 * W)
+    assert {p for p, _ in opened.rows.files() if f"slice_start={3 * W}" not in p} == before
+    assert opened.read(3 * W).count() == 4
+
+
+def test_control_characters_and_blank_lines_under_a_header(spark, folder, rows_of):
+    spark.createDataFrame([("a\u0001b",), ("1\u0001x\ty",), ("2\u0001",)], "value string").coalesce(1).write.text(f"{folder}/c")
+    found = files.read_delimited(spark, f"{folder}/c", delimiter="\u0001")
+    assert rows_of(found) == [("1", "x\ty"), ("2", None)]
+    df = spark.createDataFrame([("x\u0001y", "z"), ("q", None)], "k string, v string")
+    files.write_delimited(df, f"{folder}/h", header=True, parts=2)
+    assert rows_of(files.read_delimited(spark, f"{folder}/h")) == rows_of(df)
+    spark.createDataFrame([("k\tv",), ("",), ("1\t2",)], "value string").coalesce(1).write.text(f"{folder}/b")
+    good, bad = files.read_delimited(spark, f"{folder}/b", trap=True)
+    assert rows_of(good) == [("1", "2")] and rows_of(bad) == [("",)]
+
+
+def test_many_quotes(spark, folder, rows_of):
+    value = 'a,""' * 10_000
+    lines = [f'"{value}",t', 'x,"y,z"', 'p,q', 'u,"a\u0001,\u0002b",c\u0001']
+    spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(f"{folder}/q")
+    found = files.read_delimited(spark, f"{folder}/q", ["k", "v"], ",", '"')
+    assert rows_of(found) == sorted(
+        [("a,\"" * 10_000, "t"), ("x", "y,z"), ("p", "q"), ("u", '"a\u0001,\u0002b",c\u0001')], key=repr
+    )
+
+
+def test_opening_leaves_a_running_change_alone(spark, folder, monkeypatch):
+    stored = Dataset.create(spark, f"{folder}/d", ROWS, ["p"])
+    gone = Dataset.create(spark, f"{folder}/e", ROWS, ["p"])
+    gone.append(numbers(spark))
+    write = Dataset._write
+
+    def write_and_open(self, df, path, mode):
+        write(self, df, path, mode)
+        Dataset.open(spark, f"{folder}/d")
+
+    monkeypatch.setattr(Dataset, "_write", write_and_open)
+    stored.replace_files(gone.read(), [f for f, _ in gone.files()])
+    assert stored.read().count() == 10 and gone.is_empty()
 
 
 # -- served views and flows
@@ -289,7 +322,7 @@ def test_served_views(spark, folder):
             assert served.read(VIEWS[0]).count() == n - 1  # not live yet
         served.replace()
         assert all(served.read(view).count() == n for view in VIEWS)
-    assert len(VersionedStore(spark, f"{folder}/views/{VIEWS[1]}").versions()) == 2
+    assert len(History(spark, f"{folder}/views/{VIEWS[1]}").numbers()) == 2
     with pytest.raises(ValueError):
         served.publish("other", spark.range(1))
 

@@ -175,30 +175,19 @@ def ordered_groups(
     return df.select("*", *[value.alias(name) for name, value in results(window).items()])
 
 
-def _check_group_bound(df: DataFrame, keys: list[str], bound: int) -> None:
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    biggest = sizes.agg(F.max("n").alias("n")).first()["n"] or 0
-    if biggest > bound:
-        raise ValueError(
-            f"a group of {keys} has {biggest} rows, more than {bound}; "
-            "use custom_aggregate or ordered_groups, which never hold a whole group"
-        )
-
-
 def buffer(
     df: DataFrame,
     keys: list[str],
     function: Callable[[pd.DataFrame], pd.DataFrame],
     schema: T.StructType | str,
     order: list[str] | None = None,
-    max_group_rows: int = 1_000_000,
 ) -> DataFrame:
     """Hand every whole group to a pandas function that may return any rows.
 
-    For logic that no window and no partial aggregate can express. The group
-    sizes are counted first, and a group over ``max_group_rows`` is refused.
+    For logic that no window and no partial aggregate can express. The
+    function sees its group whole, so a group must fit into the memory of one task;
+    ``custom_aggregate`` and ``ordered_groups`` never hold one.
     """
-    _check_group_bound(df, keys, max_group_rows)
     order = list(order or [])
 
     def run(group: pd.DataFrame) -> pd.DataFrame:

@@ -4,7 +4,8 @@ Outer streams are handled by presence: one aggregate finds which streams hold
 each key, a stream that may be absent gets one empty row for every key it lacks,
 and then all streams meet in inner joins. Adaptive execution can split either
 side of an inner join on a busy key, which it cannot do for the optional side of
-an outer join.
+an outer join. From the third stream on the joined rows are shuffled once more,
+so that a busy key is split in every join.
 """
 
 from __future__ import annotations
@@ -17,14 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.grouping import _check_group_bound
-
 Stream = tuple[DataFrame, list[str]]
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-# Plans that know nothing about their size claim an absurd one.
-_NO_ESTIMATE = 1 << 62
-
 
 def _required(joiner: str | Sequence[bool], count: int) -> list[bool]:
     """Which streams must hold a key for it to come out."""
@@ -78,17 +73,23 @@ def _output_names(streams: Sequence[Stream], declared: list[str] | None) -> list
     return names
 
 
-def _on(left: DataFrame, right: DataFrame, width: int) -> tuple[DataFrame, Column]:
+def _on(left: DataFrame, right: DataFrame, width: int, turn: int) -> tuple[DataFrame, Column]:
     renamed = right.withColumnsRenamed({n: f"{n}_r" for n in _key_names(width)})
     condition = reduce(
         lambda a, b: a & b,
         [left[n].eqNullSafe(renamed[f"{n}_r"]) for n in _key_names(width)],
     )
+    if turn > 1:
+        # A key of another shape puts an exchange between two joins on the same key,
+        # without which adaptive execution splits neither of them.
+        mine = F.struct(F.lit(turn).alias("turn"), *[left[n].alias(n) for n in _key_names(width)])
+        theirs = F.struct(F.lit(turn).alias("turn"), *[renamed[f"{n}_r"].alias(n) for n in _key_names(width)])
+        condition = mine.eqNullSafe(theirs)
     return renamed, condition
 
 
-def _join(left: DataFrame, right: DataFrame, width: int, how: str) -> DataFrame:
-    renamed, condition = _on(left, right, width)
+def _join(left: DataFrame, right: DataFrame, width: int, how: str, turn: int = 1) -> DataFrame:
+    renamed, condition = _on(left, right, width, turn)
     return left.join(renamed, condition, how).drop(*[f"{n}_r" for n in _key_names(width)])
 
 
@@ -133,64 +134,29 @@ def co_group(
     staged, fields, width = _staged(streams)
     if not all(required):
         staged = _with_absences(staged, required, width)
-    joined = reduce(lambda a, b: _join(a, b, width, "inner"), staged)
+    joined = staged[0]
+    for turn, right in enumerate(staged[1:], start=1):
+        joined = _join(joined, right, width, "inner", turn)
     own = [c for group in fields for c in group]
     return joined.select(*[F.col(c).alias(n) for c, n in zip(own, names)])
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows as text, by one aggregate over them."""
-    row = F.length(F.to_csv(F.struct(*_flat(df)))) if _flat(df) else F.lit(0)
-    size = df.agg(F.sum(F.coalesce(row, F.lit(0)) + 8 * len(df.columns)).alias("n")).first()["n"]
-    return int(size or 0)
-
-
-def _flat(df: DataFrame) -> list[Column]:
-    return [
-        F.to_json(F.struct(F.col(f.name))).alias(f.name)
-        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
-        else F.hex(F.col(f.name)).alias(f.name)
-        if isinstance(f.dataType, T.BinaryType)
-        else F.col(f.name)
-        for f in df.schema.fields
-    ]
-
-
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether a frame is proven small enough to send to every executor.
-
-    A plan estimate far over the limit settles it without reading. Otherwise, and
-    where the plan has no estimate, the rows are measured.
-    """
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if 8 * limit < estimate < _NO_ESTIMATE:
-        return False
-    return measured_bytes(df) <= limit
-
-
-def hash_join(
-    streams: Sequence[Stream],
-    joiner: str = "inner",
-    declared: list[str] | None = None,
-    limit: int = BROADCAST_BYTES,
-) -> DataFrame:
+def hash_join(streams: Sequence[Stream], joiner: str = "inner", declared: list[str] | None = None) -> DataFrame:
     """Join where every stream but the first is meant to be small.
 
-    Each right stream is measured and broadcast if it is under ``limit`` bytes;
-    a bigger one is joined by shuffling, with the same result. The first stream
-    is then neither shuffled nor grouped. Right and outer joins, which must know
-    the keys of the first stream, go through ``co_group``.
+    Adaptive execution sends a right stream to all executors if its measured size is
+    under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; a bigger one is joined by
+    shuffling, with the same result. Right and outer joins, which must know the keys
+    of the first stream, go through ``co_group``.
     """
     if joiner not in ("inner", "left"):
         return co_group(streams, joiner, declared)
-    if not all(fits_broadcast(df, limit) for df, _ in streams[1:]):
-        return co_group(streams, joiner, declared)
     names = _output_names(streams, declared)
     staged, fields, width = _staged(streams)
     joined = staged[0]
     for i, right in enumerate(staged[1:], start=1):
         how = "left" if joiner == "left" and i == len(staged) - 1 else "inner"
-        joined = _join(joined, F.broadcast(right), width, how)
+        joined = _join(joined, right, width, how, i)
     own = [c for group in fields for c in group]
     return joined.select(*[F.col(c).alias(n) for c, n in zip(own, names)])
 
@@ -200,12 +166,10 @@ def co_group_apply(
     right: Stream,
     function: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: T.StructType | str,
-    max_group_rows: int = 1_000_000,
 ) -> DataFrame:
     """A joiner of one's own over two streams: a pandas function gets both sides
-    of every key. Group sizes are counted first; a larger group is refused."""
-    for df, keys in (left, right):
-        _check_group_bound(df, keys, max_group_rows)
+    of every key at once, so a key must fit into the memory of one task; joins that need
+    no whole group go through ``co_group``."""
     return (
         left[0]
         .groupBy(*left[1])

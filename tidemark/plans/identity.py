@@ -7,20 +7,19 @@ Two ways to the same result, the smallest id of every component:
 * ``connected_components`` alternates large-star and small-star rounds (Kiveris
   et al., 2014), which needs a logarithmic number of rounds in practice.
 
-The rounds work on numbers, not on id structs. No round builds an array per node: minima are aggregates with a map-side part,
-and they meet the edges again in an inner join that adaptive execution can split
-on a hub node. Every round is written to the shared checkpoint folder.
+The rounds work on numbers, not on id structs. No round builds an array per node:
+minima are aggregates with a map-side part, and they meet the edges again in an inner join that adaptive execution can split
+on a hub node. Every half round is written to the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schema
-from tidemark.operators.observing import counter, observed
 from tidemark.sources.scratch import Scratch
 
 
@@ -124,18 +123,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def _moves(name: str) -> tuple[Observation, Column]:
-    return Observation(name), F.coalesce(F.sum(F.col("moved").cast("long")), F.lit(0)).alias("moves")
+def _once(rows: DataFrame) -> DataFrame:
+    """Each edge once, with a mark if any of its rows moved."""
+    return rows.groupBy("high", "low").agg(F.bool_or("moved").alias("moved"))
 
 
-def _as_numbers(links: DataFrame, cookies: int, scratch: Scratch):
+def _as_numbers(links: DataFrame, cookies: bool, scratch: Scratch):
     """Links between numbers that order as the ids do, and the way back.
 
     Numbers sort, hash and shuffle far cheaper than id structs, which pays over
     the rounds. User ids are numbers already. With cookies among the ids, all ids
     are sorted once over the cluster, and their places are their numbers.
     """
-    if cookies == 0:
+    if not cookies:
         coded = links.select(F.col("high.user_id").alias("high"), F.col("low.user_id").alias("low"))
         return coded, lambda pairs: pairs.select(
             schema.user_person("high").alias("id"), schema.user_person("low").alias("root")
@@ -180,22 +180,20 @@ def connected_components(edges: DataFrame, scratch: Scratch | None = None) -> Da
         .distinct()
     )
     has_cookie = (F.col("high.kind") == schema.COOKIE) | (F.col("low.kind") == schema.COOKIE)
-    links, seen = counter(links, "links", cookies=has_cookie)
     stored = scratch.save(links, "links")
-    counts = observed(seen)
-    if counts.get("rows", 0) == 0:
+    kinds = stored.agg(F.bool_or(has_cookie).alias("cookies")).first()
+    if kinds["cookies"] is None:
         return stored.select(F.col("high").alias("id"), F.col("low").alias("root"))
-    current, decode = _as_numbers(stored, counts["cookies"], scratch)
+    current, decode = _as_numbers(stored, kinds["cookies"], scratch)
     for turn in count():
-        large_seen, large_moves = _moves(f"large-{turn}")
-        small_seen, small_moves = _moves(f"small-{turn}")
-        large = _large_star(current).observe(large_seen, large_moves).drop("moved").distinct()
-        small = _small_star(large).observe(small_seen, small_moves).drop("moved").distinct()
-        following = scratch.save(small, f"round-{turn}")
+        large = scratch.save(_once(_large_star(current)), f"large-{turn}")
+        small = scratch.save(_once(_small_star(large)), f"small-{turn}")
+        moved = any(half.agg(F.bool_or("moved")).first()[0] for half in (large, small))
+        scratch.drop(large)
         scratch.drop(current)
-        current = following
-        if observed(large_seen)["moves"] == 0 and observed(small_seen)["moves"] == 0:
-            return decode(current)
+        current = small
+        if not moved:
+            return decode(current.select("high", "low"))
 
 
 def normalize_user_ids(page_views: DataFrame, roots: DataFrame) -> DataFrame:

@@ -117,10 +117,10 @@ def analyze_visits(views: DataFrame, keys=("domain", "person"), legacy: bool = F
     """``visits`` and ``bounces`` per group of ``keys``, from a column ``ts``.
 
     A visit ends with a silence of more than 900 s; a bounce is a visit with one
-    view. No task ever holds all rows of a group, however busy its visitor is:
-    views are first counted per second, which combines on the map side; then days
-    are cut into stretches (at most 86,400 rows each); then the stretches of a
-    group are joined across midnight (at most 96 a day).
+    view. No task ever holds all rows of a group, however busy its visitor is: two
+    views in the same 900 s are always one visit, so views are first counted per
+    900 s, which combines on the map side; then the counts of a group, at most 96 a
+    day, are joined into visits by one window.
 
     ``legacy`` counts every view as a visit and as a bounce.
     """
@@ -129,16 +129,9 @@ def analyze_visits(views: DataFrame, keys=("domain", "person"), legacy: bool = F
         return views.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("visits"), F.count(F.lit(1)).alias("bounces")
         )
-    day = F.floor(F.col("ts") / F.lit(SECONDS_PER_DAY)).cast("int")
-    seconds = views.groupBy(*keys, day.alias("_day"), "ts").agg(F.count(F.lit(1)).alias("_n"))
-
-    in_day = Window.partitionBy(*keys, "_day").orderBy("ts")
-    opens = F.col("ts").cast("long") - F.lag("ts").over(in_day) > VISIT_GAP_SECONDS
-    stretches = (
-        seconds.withColumn("_opens", F.coalesce(opens, F.lit(False)).cast("int"))
-        .withColumn("_stretch", F.sum("_opens").over(in_day))
-        .groupBy(*keys, "_day", "_stretch")
-        .agg(F.min("ts").alias("_from"), F.max("ts").alias("_to"), F.sum("_n").alias("_n"))
+    stretch = F.floor(F.col("ts") / F.lit(VISIT_GAP_SECONDS))
+    stretches = views.groupBy(*keys, stretch.alias("_stretch")).agg(
+        F.min("ts").alias("_from"), F.max("ts").alias("_to"), F.count(F.lit(1)).alias("_n")
     )
 
     in_group = Window.partitionBy(*keys).orderBy("_from")

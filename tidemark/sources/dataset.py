@@ -233,11 +233,14 @@ class Dataset:
         return self._fs._fs.getUri().equals(other._fs._fs.getUri())
 
     def _move_in(self, full: str, from_root: str, name: str | None = None) -> None:
+        target = self._home(full, from_root, name or f"moved-{uuid.uuid4().hex}.parquet")
+        self._fs.mkdirs(target.rpartition("/")[0])
+        self._fs.rename(full, target)
+
+    def _home(self, full: str, from_root: str, name: str) -> str:
+        """Where a file from below another folder belongs here."""
         base = self._fs._fs.makeQualified(self._fs.path(from_root)).toString()
-        relative = full[len(base):].strip("/")
-        folder = "/".join([self.path, *relative.split("/")[:-1]])
-        self._fs.mkdirs(folder)
-        self._fs.rename(full, f"{folder}/{name or 'moved-' + uuid.uuid4().hex + '.parquet'}")
+        return "/".join([self.path, *full[len(base):].strip("/").split("/")[:-1], name])
 
     # -- snapshots
 
@@ -261,6 +264,8 @@ class Dataset:
         dataset, as one change."""
         stage = f"{self.path}/_stage-{uuid.uuid4().hex}"
         self._write(self._checked(rows), f"{stage}/data", "errorifexists")
+        if not self._fs.exists(f"{stage}/data/_SUCCESS"):
+            raise FileNotFoundError(f"the staged rows at {stage} are gone, nothing was changed")
         new = [f for f, _ in self._fs.files(f"{stage}/data")]
         journal = {"new": new, "gone": list(gone)}
         self._fs.write_text(f"{stage}/journal.next", json.dumps(journal))
@@ -271,32 +276,49 @@ class Dataset:
         journal = json.loads(self._fs.read_text(f"{stage}/journal.json"))
         mark = stage.rsplit("-", 1)[1]
         for i, full in enumerate(journal["new"]):
+            name = f"staged-{mark}-{i}.parquet"
             if self._fs.exists(full):
-                self._move_in(full, f"{stage}/data", f"staged-{mark}-{i}.parquet")
+                self._move_in(full, f"{stage}/data", name)
+            elif not self._fs.exists(self._home(full, f"{stage}/data", name)):
+                raise FileNotFoundError(f"{full} is neither staged nor in place, nothing was deleted")
         for full in journal["gone"]:
             self._fs.delete(full)
         self._fs.delete(stage)
 
     def recover(self) -> None:
-        """Finish committed changes and drop uncommitted ones."""
+        """Finish committed changes. Stages without a journal may belong to a running
+        writer and stay; ``drop_stages`` removes them."""
         for name in self._fs.list(self.path):
             if name.startswith("_stage-"):
                 stage = f"{self.path}/{name}"
                 if self._fs.exists(f"{stage}/journal.json"):
                     self._roll_forward(stage)
-                else:
-                    self._fs.delete(stage)
+
+    def drop_stages(self) -> None:
+        """Delete what writers that failed have left. No writer may be running."""
+        self.recover()
+        for name in self._fs.list(self.path):
+            if name.startswith("_stage-"):
+                self._fs.delete(f"{self.path}/{name}")
 
     # -- upkeep
 
-    def consolidate(self, target_bytes: int = TARGET_FILE_BYTES) -> int:
+    def consolidate(
+        self, target_bytes: int = TARGET_FILE_BYTES, part: dict[str, object] | None = None
+    ) -> int:
         """Merge small files; returns how many were merged.
 
-        Folders with more than one file below the target are rewritten. Adaptive
+        Folders with more than one file below half the target are rewritten, all or
+        those of one ``part``, given by values of leading partition columns. Adaptive
         execution sizes the new files, so a folder of any size is spread over as
         many tasks as it needs.
         """
-        below = self.file_frame().where(F.col("length") < target_bytes)
+        below = self.file_frame().where(F.col("length") < target_bytes / 2)
+        if part:
+            if tuple(part) != self.spec.partitions[: len(part)]:
+                raise ValueError(f"{list(part)} do not lead the partitions {self.spec.partitions}")
+            inside = "/" + "/".join(f"{name}={value}" for name, value in part.items()) + "/"
+            below = below.where(F.contains("path", F.lit(inside)))
         folder = F.regexp_replace("path", "/[^/]*$", "")
         many = Window.partitionBy(folder)
         found = below.select("path", F.count(F.lit(1)).over(many).alias("n")).where("n > 1")

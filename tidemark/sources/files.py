@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,13 +53,48 @@ def write_lines(
     writer.text(path)
 
 
-def _split_pattern(delimiter: str, quote: str | None) -> str:
-    plain = re.escape(delimiter)
+def _spare_characters(*texts: str) -> list[str]:
+    """Four control characters that none of the texts holds."""
+    taken = set("".join(texts)) | set("\t\n\r")
+    return [chr(code) for code in range(1, 32) if chr(code) not in taken][:4]
+
+
+def _split_fields(line: Column, delimiter: str, quote: str | None, limit: int) -> Column:
+    """Parts of a line, at most ``limit`` of them, or all for -1.
+
+    A delimiter counts only where an even number of quotes follows. The line is cut at
+    its quotes, the delimiters that count are marked in every second run, and the runs
+    are put together and cut at the marks; this takes time in proportion to the line.
+    The mark and the escape are control characters; where the line holds them itself
+    they are escaped first and restored at the end.
+    """
+    plain = F.split(line, re.escape(delimiter), limit)
     if not quote:
         return plain
-    q = re.escape(quote)
-    # A delimiter counts only where an even number of quotes follows.
-    return f"{plain}(?=(?:[^{q}]*{q}[^{q}]*{q})*[^{q}]*\\z)"
+    mark, escape, one, two = _spare_characters(delimiter, quote)
+
+    def swap(value: Column, *pairs: tuple[str, str]) -> Column:
+        for old, new in pairs:
+            value = F.replace(value, F.lit(old), F.lit(new))
+        return value
+
+    runs = F.split(swap(line, (escape, escape + one), (mark, escape + two)), re.escape(quote), -1)
+
+    def marked(run: Column, place: Column) -> Column:
+        return F.when((F.size(runs) - place) % 2 == 1, swap(run, (delimiter, mark))).otherwise(run)
+
+    fields = F.split(F.array_join(F.transform(runs, marked), quote), mark, limit)
+    restored = F.transform(
+        fields, lambda f: swap(f, (mark, delimiter), (escape + two, mark), (escape + one, escape))
+    )
+    return F.when(F.contains(line, F.lit(quote)), restored).otherwise(plain)
+
+
+def _without_quotes(value: Column, quote: str) -> Column:
+    """The inside of a value in quotes; other values as they are."""
+    width = len(quote)
+    whole = (F.length(value) >= 2 * width) & F.startswith(value, F.lit(quote)) & F.endswith(value, F.lit(quote))
+    return F.when(whole, F.substring(value, F.lit(width + 1), F.length(value) - 2 * width)).otherwise(value)
 
 
 def parse_delimited(
@@ -77,15 +114,13 @@ def parse_delimited(
     is null when ``safe``, otherwise the line is malformed.
     """
     line = F.col(line) if isinstance(line, str) else line
-    parts = F.split(line, _split_pattern(delimiter, quote), len(names))
+    parts = _split_fields(line, delimiter, quote, len(names))
     well_formed = F.size(parts) == len(names) if strict else F.lit(True)
     columns = []
     for i, name in enumerate(names):
         value = F.get(parts, F.lit(i))
         if quote:
-            q = re.escape(quote)
-            value = F.regexp_replace(value, rf"(?s)\A{q}(.*){q}\z", "$1")
-            value = F.replace(value, F.lit(quote * 2), F.lit(quote))
+            value = F.replace(_without_quotes(value, quote), F.lit(quote * 2), F.lit(quote))
         value = F.when(value != "", value)
         if types:
             typed = coerce_column(value, T.StringType(), types[i], safe=True)
@@ -96,17 +131,25 @@ def parse_delimited(
     return columns, well_formed
 
 
-# A separator no line holds, so that the CSV source hands over whole lines while
-# it takes care of the header of every file.
-_NO_SEPARATOR = "\u0001"
+def _after_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines but the first of every file. A task reads a block of a file in one go, so
+    the first line is where a block at place 0 begins."""
+    block = None
+    for rows in batches:
+        blocks = list(zip(rows["path"], rows["start"]))
+        begins = [now != before for now, before in zip(blocks, [block, *blocks])]
+        block = blocks[-1] if blocks else block
+        yield rows.loc[~((rows["start"] == 0) & begins), ["value"]]
 
 
 def _whole_lines(spark: SparkSession, paths: list[str], header: bool) -> DataFrame:
+    lines = spark.read.text(paths)
     if not header:
-        return spark.read.text(paths)
-    return spark.read.csv(
-        paths, schema="value string", sep=_NO_SEPARATOR, quote="", header=True, enforceSchema=True
+        return lines
+    placed = lines.select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
     )
+    return placed.mapInPandas(_after_headers, "value string")
 
 
 def header_names(
@@ -114,10 +157,9 @@ def header_names(
 ) -> list[str]:
     """Field names from the first line of a file."""
     starts = spark.read.text(_paths(path)).where(F.col("_metadata.file_block_start") == 0)
-    names = F.split("value", _split_pattern(delimiter, quote), -1)
+    names = _split_fields(F.col("value"), delimiter, quote, -1)
     if quote:
-        q = re.escape(quote)
-        names = F.transform(names, lambda n: F.regexp_replace(n, rf"(?s)\A{q}(.*){q}\z", "$1"))
+        names = F.transform(names, lambda n: _without_quotes(n, quote))
     row = starts.select(names.alias("names")).first()
     if row is None:
         raise ValueError(f"no header, {path} is empty")
@@ -138,8 +180,7 @@ def read_delimited(
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Delimited text, one record per line.
 
-    Without ``names`` the header line gives them, and blank lines are passed over
-    then. A malformed line fails the job, or with ``trap`` goes to a second frame
+    Without ``names`` the header line gives them. A malformed line fails the job, or with ``trap`` goes to a second frame
     as ``line``.
     """
     paths = _paths(path)
@@ -179,24 +220,17 @@ def write_delimited(
                 F.contains(value, F.lit(delimiter)), F.concat(F.lit(quote), doubled, F.lit(quote))
             ).otherwise(doubled)
         values.append(value)
-    lines = df.select(F.concat_ws(delimiter, *values).alias(delimiter.join(df.columns)))
+    lines = df.select(F.concat_ws(delimiter, *values).alias("value"))
     if parts:
         lines = lines.repartition(parts)
-    writer = lines.write.mode(SINK_MODES[mode])
+    if header:
+        first = pd.DataFrame({"value": [delimiter.join(df.columns)]})
+        # Every task writes one file, so a header before its lines is one per file.
+        lines = lines.mapInPandas(lambda batches: chain([first], batches), "value string")
+    writer = lines.write.mode(SINK_MODES[mode]).option("maxRecordsPerFile", 0)
     if COMPRESSION[compression]:
         writer = writer.option("compression", COMPRESSION[compression])
-    if header:
-        writer.csv(
-            path,
-            sep=_NO_SEPARATOR,
-            quote="",
-            header=True,
-            emptyValue="",
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-        )
-    else:
-        writer.text(path)
+    writer.text(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "KEEP", codec: str | None = None) -> None:

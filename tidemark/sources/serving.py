@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.sources.fs import FileSystem
-from tidemark.sources.versions import VersionedStore
+from tidemark.sources.history import History
 
 # The names of the views, and the pair of speed view sets.
 PAGE_VIEW_VIEW = "page-view"
@@ -27,10 +27,10 @@ class BatchViews:
         self.keep = keep
         self._fs = FileSystem(spark, root)
 
-    def _store(self, view: str) -> VersionedStore:
+    def _store(self, view: str) -> History:
         if view not in VIEWS:
             raise ValueError(f"unknown view {view!r}")
-        return VersionedStore(self.spark, f"{self.root}/{view}")
+        return History(self.spark, f"{self.root}/{view}")
 
     def _pointer(self, view: str, which: str) -> str:
         return f"{self.root}/{view}/_{which}"
@@ -41,7 +41,7 @@ class BatchViews:
 
     def publish(self, view: str, rows: DataFrame) -> int:
         """Write the next version of a view; readers do not see it yet."""
-        version = self._store(view).write(rows, keep=-1)
+        version = self._store(view).add(rows, keep=None)
         self._fs.replace_text(self._pointer(view, "next"), str(version))
         return version
 
@@ -58,15 +58,14 @@ class BatchViews:
         if missing:
             raise RuntimeError(f"views without a new version: {missing}")
         for view, version in coming.items():
-            if not self._store(view).has_version(version):
+            if version not in self._store(view).numbers():
                 raise RuntimeError(f"{view}: version {version} is not finished")
         for view, version in coming.items():
             self._fs.replace_text(self._pointer(view, "live"), str(version))
         for view in VIEWS:
             store = self._store(view)
-            older = [v for v in store.versions() if v < coming[view]]
-            for version in older[max(self.keep - 1, 0):]:
-                store.delete(version)
+            older = [v for v in store.numbers() if v < coming[view]]
+            store.forget(older[: max(len(older) - max(self.keep - 1, 0), 0)])
         return coming
 
     def read(self, view: str) -> DataFrame:
