@@ -145,8 +145,10 @@ def _counts(ids: DataFrame, symbols: int) -> np.ndarray:
 
     def work(batches):
         total = np.zeros(symbols, dtype=np.int64)
-        for (data,) in common.rows(batches, "ids"):
-            total += np.bincount(np.frombuffer(data, dtype="<u4"), minlength=symbols)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                held = b"".join(batch.column("ids").slice(start, 512).to_pylist())
+                total += np.bincount(np.frombuffer(held, dtype="<u4"), minlength=symbols)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 

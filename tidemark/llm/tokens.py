@@ -96,15 +96,12 @@ class Encoder:
             self.known.clear()
         pieces = [self._pieces(t) for t in texts]
         found = [p and list(map(self.known.get, p)) for p in pieces]
-        wanted = {
-            x for p, f in zip(pieces, found, strict=True) if f and None in f for x, y in zip(p, f) if y is None
-        }
-        self._learn(wanted)
-        find = self.known.__getitem__
-        return [
-            self._ids([t])[0] if p is None else b"".join(map(find, p) if None in f else f)
-            for t, p, f in zip(texts, pieces, found, strict=True)
-        ]
+        gaps = [[k for k, y in enumerate(f) if y is None] if f else () for f in found]
+        self._learn({p[k] for p, own in zip(pieces, gaps, strict=True) for k in own})
+        for p, f, own in zip(pieces, found, gaps, strict=True):
+            for k in own:
+                f[k] = self.known[p[k]]
+        return [self._ids([t])[0] if f is None else b"".join(f) for t, f in zip(texts, found, strict=True)]
 
 
 @functools.lru_cache(maxsize=2)
