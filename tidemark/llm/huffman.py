@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
-from tidemark.llm.tokens import encoded
+from tidemark.llm.tokens import encoded, forget
 
 #: Ids between two checkpoints.
 STRIDE = 256
@@ -123,36 +123,50 @@ def unpack_bits(payload: bytes, checkpoints: np.ndarray, counts: np.ndarray, tab
     return out
 
 
-def _ids(documents: DataFrame, tokenizer: str, end: int) -> DataFrame:
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+def _width(symbols: int) -> str:
+    return "<u2" if symbols <= 1 << 16 else "<u4"
+
+
+IDS = pa.schema(
+    [("doc_id", pa.int64()), ("ids", pa.binary()), ("seen", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))]
+)
+
+
+def _ids(documents: DataFrame, tokenizer: str, end: int, symbols: int) -> DataFrame:
+    """The ids of each document, and a row without ids for each task: how often it saw which id."""
 
     def work(batches):
+        total = np.zeros(symbols, dtype=np.int64)
+
+        def flush(held):
+            keys, parts = zip(*held)
+            every = np.frombuffer(b"".join(parts), dtype="<u4")
+            total[:] += np.bincount(every, minlength=symbols)
+            data = every.astype(_width(symbols)).tobytes()
+            ends = np.cumsum([len(x) for x in parts]) * len(data) // (4 * len(every))
+            ids = [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+            return common.batch_of(IDS, [keys, ids, [None] * len(ids), [None] * len(ids)])
+
         held, size = [], 0
         for key, ids in encoded(common.rows(batches, "doc_id", "text"), tokenizer, True, end):
             held.append((key, ids))
             size += len(ids)
-            if size > 8 << 20:
-                yield common.batch_of(schema, list(zip(*held)))
+            if size > 4 << 20:
+                yield flush(held)
                 held, size = [], 0
         if held:
-            yield common.batch_of(schema, list(zip(*held)))
+            yield flush(held)
+        used = np.flatnonzero(total)
+        yield common.batch_of(IDS, [[None], [None], [used], [total[used]]])
 
-    return documents.select("doc_id", "text").mapInArrow(work, "doc_id long, ids binary")
+    columns = "doc_id long, ids binary, seen array<int>, counts array<long>"
+    return documents.select("doc_id", "text").mapInArrow(work, columns)
 
 
 def _counts(ids: DataFrame, symbols: int) -> np.ndarray:
     """How often each id occurs; at most ``symbols`` rows reach the driver."""
-
-    def work(batches):
-        total = np.zeros(symbols, dtype=np.int64)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                held = b"".join(batch.column("ids").slice(start, 512).to_pylist())
-                total += np.bincount(np.frombuffer(held, dtype="<u4"), minlength=symbols)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
-
-    found = ids.select("ids").mapInArrow(work, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    pairs = ids.select(F.explode(F.arrays_zip("seen", "counts")).alias("p"))
+    found = pairs.groupBy(F.col("p.seen").alias("id")).agg(F.sum("p.counts").alias("n"))
     out = np.zeros(symbols, dtype=np.int64)
     for row in found.collect():
         out[row["id"]] = row["n"]
@@ -165,11 +179,11 @@ BLOCKS = "shard int, block int, doc_ids array<long>, sizes array<long>, checkpoi
 
 def _coded(ids: DataFrame, lengths: np.ndarray) -> DataFrame:
     """Each document's bits and the bit offsets of its checkpoints."""
-    codes = canonical_codes(lengths)
+    codes, width = canonical_codes(lengths), _width(len(lengths))
 
     def flush(keys, held):
-        sizes = np.array([len(x) // 4 for x in held])
-        every = np.frombuffer(b"".join(held), dtype="<u4")
+        every = np.frombuffer(b"".join(held), dtype=width)
+        sizes = np.array([len(x) for x in held]) // every.itemsize
         first = np.cumsum(sizes) - sizes
         payload, starts, edges = pack_bits(every, first, lengths, codes)
         bits = [payload[a:b] for a, b in zip(edges[:-1], edges[1:])]
@@ -179,18 +193,20 @@ def _coded(ids: DataFrame, lengths: np.ndarray) -> DataFrame:
         return common.batch_of(CODED, [keys, sizes, bits, marks])
 
     def work(batches):
+        forget()
         keys, held, size = [], [], 0
         for key, data in common.rows(batches, "doc_id", "ids"):
             keys.append(key)
             held.append(data)
             size += len(data)
-            if size > 2 << 20:
+            if size > 1 << 20:
                 yield flush(keys, held)
                 keys, held, size = [], [], 0
         if held:
             yield flush(keys, held)
 
-    return ids.mapInArrow(work, "doc_id long, n long, bits binary, marks binary")
+    documents = ids.where("ids is not null").select("doc_id", "ids")
+    return documents.mapInArrow(work, "doc_id long, n long, bits binary, marks binary")
 
 
 def _blocks(coded: DataFrame) -> DataFrame:
@@ -234,7 +250,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end: int, symbols:
     spark = documents.sparkSession
     room = common.scratch(spark, "huffman")
     target = room.path("ids")
-    _ids(documents, tokenizer, end).write.option("compression", "zstd").parquet(target)
+    _ids(documents, tokenizer, end, symbols).write.option("compression", "zstd").parquet(target)
     ids = spark.read.parquet(target)
     lengths = code_lengths(_counts(ids, symbols), longest)
     code = [(int(s), int(lengths[s])) for s in np.flatnonzero(lengths)]

@@ -33,7 +33,7 @@ SPACED = re.compile(
     rb" ?[a-zA-Z]++(?![0-9\x80-\xff])| ?[^ \t-\r]++|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]++"
 )
 #: Pieces remembered by a worker; beyond it the memory is emptied.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
 #: Bytes of text worked on at a time.
 CHUNK = 2 << 20
 
@@ -109,6 +109,11 @@ def encoder(path: str, spaces: bool) -> Encoder:
     return Encoder(path, spaces)
 
 
+def forget() -> None:
+    """Free what this worker remembers, for tasks that encode nothing."""
+    encoder.cache_clear()
+
+
 def encoded(
     documents: Iterable[tuple[int, str | None]], path: str, spaces: bool, end: int
 ) -> Iterator[tuple[int, bytes]]:
