@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common, credentials, mixing, neardup, packing, toxicity
-from tidemark.llm.queries import WEIGHTS, owners, quality
+from tidemark.llm.queries import MAX_OWNERS, WEIGHTS, owners, quality
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with what looks like a secret replaced in their texts."""
-    return credentials.redact(docs, *owners())
+    return credentials.redact(docs, *owners(), MAX_OWNERS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -311,6 +311,22 @@ def test_secrets(spark, nothing, clashing):
     assert same.columns == clashing.columns and same.count() == clashing.count()
 
 
+def test_copies_of_a_document_do_not_share_its_secrets(spark):
+    key, other = "k9Zq4WmN7rT2vX8bYc3D", "Q7Zq4WmN7rT2vX8bYc3e"
+    copied = f"{'some words ' * 9} token = \"{key}\" {key} {'more words ' * 9}"
+    texts = [(k, f"src{k}", copied) for k in range(4)] + [(9, "src9", "Edited far off. " + copied)]
+    texts += [(20 + k, f"src{k}", f"{'xyz'[k] * 70} {other} is widely known") for k in range(3)]
+    frame = spark.createDataFrame([(k, t, "en", s, None) for k, s, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    owner, repository = F.col("source"), F.concat_ws("/", "source", "lang")
+    found = {r["doc_id"]: r for r in credentials.report(frame, owner, repository, 2).collect()}
+    assert all((found[k]["n_live"], found[k]["n_shared"]) == (3, 0) for k in (0, 1, 2, 3, 9))
+    assert all(found[k]["spans"] == "" for k in (20, 21, 22))
+    strict = {r["doc_id"]: r["n_live"] for r in credentials.report(frame, owner, repository).collect()}
+    assert strict == {k: 3 * (k < 10) for k in strict}
+    _, spans = credentials.scan(frame, owner, repository)
+    assert {(r["owners"], r["repositories"]) for r in spans.collect()} == {(1, 1)}
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_ngram_scores(spark, odd_texts, order):
     common.find_package(spark)

@@ -2,9 +2,12 @@
 
 Base kinds are fixed patterns. The method looks at every candidate, also at long
 mixed tokens of no known kind, hashes it, and counts over the whole corpus how
-many owners and repositories have it: a value that several owners share was copied
-from somewhere (an example), one of a single owner looks like a live credential.
-Live tokens of no known kind are added as spans of kind ``live``.
+many independent owners and repositories have it. Owners are counted over distinct
+contexts, the text around a candidate: all copies of one context, be it a copy of the
+whole text or a near copy, count for one owner, the first by name, so a document that
+was copied into other sources does not make its secrets examples. A value that more
+than ``max_owners`` independent owners have is a shared example, any other looks like
+a live credential. Live tokens of no known kind are added as spans of kind ``live``.
 
 Only DataFrame functions are used. A null text is empty. Texts without spans have
 the digest of the empty text. A null owner or repository counts as one of its own
@@ -30,6 +33,8 @@ LIVE = (
     r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,19}[0-9])(?=[0-9+/_-]{0,19}[A-Za-z])[A-Za-z0-9+/_-]{20,}"
 )
 KINDS = ("assign", "access", "hex", "live")
+#: Signs on either side of a match that make its context, and the most neighbouring matches they can reach over.
+AROUND, NEIGHBOURS = 64, 10
 
 
 def _hits(text: Column) -> list[Column]:
@@ -75,7 +80,7 @@ def candidates(documents: DataFrame, owner: Column, repository: Column) -> tuple
     order = Window.partitionBy("row", "kind").orderBy("pos")
     size = F.coalesce(F.length("col.hits"), F.lit(0))
     end = F.sum(F.length("col.gaps") + size).over(order)
-    spans = one.withColumns({"end": end, "start": end - size}).where(
+    spans = one.withColumns({"end": end, "start": end - size, "context": _context(order)}).where(
         F.col("col.hits").isNotNull() & ((F.col("kind") != "assign") | (F.length("col.values") >= 8))
     )
     return held.select("row", "doc_id"), spans.select(
@@ -85,14 +90,32 @@ def candidates(documents: DataFrame, owner: Column, repository: Column) -> tuple
         "kind",
         "start",
         "end",
+        "context",
         F.sha2(F.col("col.values"), 256).alias("hash"),
     )
 
 
+def _context(order) -> Column:
+    """Digest of the text around the match of a row, also where other matches stand in it."""
+
+    def ends(text: Column) -> Column:
+        short = F.concat(F.left(text, F.lit(AROUND)), F.right(text, F.lit(AROUND)))
+        return F.when(F.length(text) > 2 * AROUND, short).otherwise(text)
+
+    gap = ends(F.col("col.gaps"))
+    piece = F.concat(gap, ends(F.coalesce(F.col("col.hits"), F.lit(""))))
+    before = F.array_join(F.collect_list(piece).over(order.rowsBetween(-NEIGHBOURS, -1)), "")
+    after = F.array_join(F.collect_list(piece).over(order.rowsBetween(1, NEIGHBOURS)), "")
+    around = (F.right(F.concat(before, gap), F.lit(AROUND)), F.left(after, F.lit(AROUND)))
+    return F.sha2(F.to_json(F.struct(*(c.alias(n) for c, n in zip(around, "ba", strict=True)))), 256)
+
+
 def ownership(spans: DataFrame) -> DataFrame:
-    """``(hash, owners, repositories)`` of every candidate; each is counted once per repository first."""
+    """``(hash, owners, repositories)`` of every candidate; each context is counted for one repository of one owner."""
     none = F.lit("")
-    once = spans.select("hash", F.coalesce("owner", none).alias("o"), F.coalesce("repository", none).alias("r")).distinct()
+    holder = F.struct(F.coalesce("owner", none).alias("o"), F.coalesce("repository", none).alias("r"))
+    first = spans.groupBy("hash", "context").agg(F.min(holder).alias("holder"))
+    once = first.select("hash", "holder.o", "holder.r").distinct()
     by_owner = once.groupBy("hash", "o").agg(F.count("*").alias("n"))
     return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
 
@@ -103,7 +126,7 @@ def scan(documents: DataFrame, owner: Column, repository: Column, max_owners: in
     known = spans.join(ownership(spans), "hash")
     return rows, known.withColumn("live", F.col("owners") <= max_owners).where(
         "kind <> 'live' or live"
-    ).drop("owner", "repository")
+    ).drop("owner", "repository", "context")
 
 
 def _joined(spans: Column) -> Column:
