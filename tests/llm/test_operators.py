@@ -327,6 +327,14 @@ def test_copies_of_a_document_do_not_share_its_secrets(spark):
     assert {(r["owners"], r["repositories"]) for r in spans.collect()} == {(1, 1)}
 
 
+def test_live_tokens_may_have_their_digit_or_letter_late(spark):
+    late = {1: "kqZqxWmNprTuvXabYczDe7", 2: "72" * 14 + "x", 3: "q" * 200_000 + "7"}
+    texts = [(k, f"see {t} here") for k, t in late.items()] + [(4, "see " + "q" * 200_000), (5, "see " + "72" * 14)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in credentials.report(frame, F.lit("a"), F.lit("a/en")).collect()}
+    assert found == {k: f"live:4:{4 + len(t)}" for k, t in late.items()} | {4: "", 5: ""}
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_ngram_scores(spark, odd_texts, order):
     common.find_package(spark)

@@ -28,9 +28,9 @@ ASSIGN = (
 )
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-#: 20 signs or more of a key's alphabet, with a letter and a digit among the first 20.
+#: 20 signs or more of a key's alphabet, with a letter and a digit anywhere; possessive, so each token is read once a test.
 LIVE = (
-    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,19}[0-9])(?=[0-9+/_-]{0,19}[A-Za-z])[A-Za-z0-9+/_-]{20,}"
+    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}"
 )
 KINDS = ("assign", "access", "hex", "live")
 #: Signs on either side of a match that make its context, and the most neighbouring matches they can reach over.
