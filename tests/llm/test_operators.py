@@ -117,6 +117,19 @@ def test_toxicity(spark, nothing, clashing):
     assert not bare.weights and toxicity.reject(documents, bare).count() == 400
 
 
+def test_rare_toxic_entries_are_weighed_beside_any_number_of_common_ones(spark):
+    common.find_package(spark)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    plain = " ".join(f"{a}{b}{c}x" for a in letters for b in letters for c in letters)
+    rows = [(k, f"{plain} own{letters[k]}{' zugwort' * (k < 6)}") for k in range(20)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k < 10)) for k in range(20)], "doc_id long, toxic int")
+    weights = toxicity.learn(documents, labels, F.lit(True)).weights
+    odds = math.log(6.5 / 4.5) - math.log(0.5 / 10.5)
+    assert set(weights) == {" zugwo", " zugwor", " zugwort "} | {" zugwort"[: k + 1] for k in range(4, 8)}
+    assert all(abs(w - odds) < 1e-9 for w in weights.values())
+
+
 def test_exception_phrases_spare_an_entry():
     lexicon = toxicity.Lexicon({" trash": 3.0}, ("trash can",))
     automaton = lexicon.automaton()

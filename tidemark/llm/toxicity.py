@@ -35,8 +35,8 @@ from tidemark.llm import common
 
 #: Labelled documents of a class that the lexicon is learned from.
 SAMPLE = 4000
-#: Entries of the lexicon, and the candidates they are chosen from.
-ENTRIES, CANDIDATES = 4000, 30_000
+#: Entries of the lexicon, and counts that a worker holds before it hands them on.
+ENTRIES, HELD = 4000, 200_000
 #: Letters of the beginnings of words; documents that must have an entry; least z of its log odds.
 SHORTEST, LONGEST, LEAST, SURE = 3, 7, 4, 2.0
 
@@ -127,20 +127,32 @@ def _chosen(documents: DataFrame, labels: DataFrame, usable: Column) -> DataFram
     return joined.groupBy(F.xxhash64("text"), F.length("text"), "toxic").agg(F.first("text").alias("text")).select("text", "toxic")
 
 
-def _frequencies(sample: DataFrame, wanted: frozenset[str] | None = None) -> DataFrame:
+def _frequencies(sample: DataFrame) -> DataFrame:
     schema = pa.schema([("entry", pa.string()), ("n", pa.int64())])
 
     def work(batches):
         seen: Counter[str] = Counter()
         for (text,) in common.rows(batches, "text"):
-            found = beginnings(folded(text))
-            seen.update(found if wanted is None else found & wanted)
+            seen.update(beginnings(folded(text)))
+            if len(seen) >= HELD:
+                yield common.batch_of(schema, [list(seen), list(seen.values())])
+                seen.clear()
         yield common.batch_of(schema, [list(seen), list(seen.values())])
 
     counted = sample.select("text").mapInArrow(work, "entry string, n long")
     return counted.groupBy("entry").agg(F.sum("n").alias("n"))
 
 
+def _weighed(sample: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """``(entry, n, odds)`` of every entry whose log odds are large and sure enough."""
+    often = _frequencies(sample.where("toxic = 1")).where(F.col("n") >= LEAST)
+    other = _frequencies(sample.where("toxic = 0")).withColumnRenamed("n", "m")
+    n, m = F.col("n"), F.coalesce("m", F.lit(0))
+    odds = F.log((n + 0.5) / (toxic - n + 0.5)) - F.log((m + 0.5) / (clean - m + 0.5))
+    z = F.col("odds") / F.sqrt(1 / (n + 0.5) + 1 / (m + 0.5))
+    return often.join(other, "entry", "left").withColumn("odds", odds).where((z >= SURE) & (F.col("odds") > 2)).select("entry", "n", "odds")
+
+
 def _fit(x: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, ...]:
     """Logistic regression by Newton's method, moved to the share of class 1 in the corpus."""
     scale = np.maximum(x.std(axis=0), 1e-6)
@@ -159,8 +171,8 @@ def _fit(x: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, ...]:
 def learn(documents: DataFrame, labels: DataFrame, usable: Column, exceptions=EXCEPTIONS) -> Lexicon:
     """The lexicon from the labelled documents for which ``usable`` holds.
 
-    What reaches the driver is bounded: class sizes, candidates, and the features of
-    the sample.
+    What reaches the driver is bounded: class sizes, the ``ENTRIES`` best entries, and the
+    features of the sample.
     """
     room = common.scratch(documents.sparkSession, "toxicity")
     sample = room.save(_chosen(documents, labels, usable), "sample")
@@ -170,18 +182,9 @@ def learn(documents: DataFrame, labels: DataFrame, usable: Column, exceptions=EX
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return Lexicon(exceptions=exceptions)
-    often = _frequencies(sample.where("toxic = 1")).where(F.col("n") >= LEAST)
-    often = {r["entry"]: r["n"] for r in often.orderBy(F.desc("n"), "entry").limit(CANDIDATES).collect()}
-    other = _frequencies(sample.where("toxic = 0"), frozenset(often)).collect()
-    there = {r["entry"]: r["n"] for r in other}
-    weights = {}
-    for entry, n in often.items():
-        m = there.get(entry, 0)
-        odds = math.log((n + 0.5) / (toxic - n + 0.5)) - math.log((m + 0.5) / (clean - m + 0.5))
-        if odds / math.sqrt(1 / (n + 0.5) + 1 / (m + 0.5)) >= SURE and odds > 2:
-            weights[entry] = odds
-    best = sorted(weights, key=lambda e: (-weights[e] * math.sqrt(often[e]), e))[:ENTRIES]
-    lexicon = Lexicon({e: weights[e] for e in best}, exceptions)
+    weight = F.col("odds") * F.sqrt("n")
+    best = _weighed(sample, toxic, clean).orderBy(F.desc(weight), "entry").limit(ENTRIES).collect()
+    lexicon = Lexicon({r["entry"]: r["odds"] for r in best}, exceptions)
     if not best:
         return lexicon
     schema = pa.schema([("a", pa.float64()), ("b", pa.float64()), ("c", pa.float64()), ("toxic", pa.int32())])
