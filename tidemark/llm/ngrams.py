@@ -1,4 +1,4 @@
-"""Language-model scores by a weighted backoff automaton over word n-grams.
+"""Language-model scores of word n-grams, with the weights of a backoff automaton.
 
 The model is smoothed by interpolation: a history ``h`` seen ``c`` times gives
 ``P(w|h) = (1 - l(c)) * n(hw) / c + l(c) * P(w|h')`` with ``h'`` one word shorter;
@@ -6,15 +6,14 @@ The model is smoothed by interpolation: a history ``h`` seen ``c`` times gives
 corpus. Single words are discounted by Good and Turing's rule, which gives their
 unseen mass to one unknown word. It sums to 1 over the known words and the unknown.
 
-As an automaton: states are the n-grams seen in training, an arc for ``w`` carries
-``log10 P(w|h)``, and a state without an arc for ``w`` has a failure arc of weight
-``log10 l(c)`` to its shorter history. A text is read once from left to right; the
-state after a token is the longest history that was seen.
+In a backoff automaton the states would be the n-grams seen in training, an arc for
+``w`` would carry ``log10 P(w|h)``, and a state without one would fail to its shorter
+history. None is built here and no state is carried: one pass over all tokens for each
+length of n-gram looks the counts up by hash and interpolates, which gives the same sums.
 
 No worker holds the model. Documents are cut into blocks of bounded size. A block
 asks for the n-grams that occur in it, sends along how often its training documents
-have them, and gets back their counts over the corpus, from which it builds the part
-of the automaton that its own texts can reach. n-grams meet by a hash, dealt
+have them, and gets back their counts over the corpus. n-grams meet by a hash, dealt
 evenly over slices, so frequent words make no hot key: each is one entry per block.
 
 A null text is empty and has one token, the end. Repeated rows count as often as they
@@ -216,8 +215,8 @@ def traverse(ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, counts: lis
     """Log probability of every token, and of each word of the vocabulary its count.
 
     ``counts[m]`` belongs to the distinct n-grams of ``m + 1`` words in rising order
-    of their hashes. For every token, the arc of the longest history is taken; where
-    it is missing, failure arcs lead to shorter ones.
+    of their hashes. Every token gets the interpolated chance after its longest
+    history; a history that was not seen leaves that of the shorter one.
     """
     shorter, log, ahead = None, None, None
     for size, (keys, exist) in enumerate(grams(ids, sizes, hashes, len(counts)), 1):
