@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, credentials, fingerprint, huffman, mixing, nearest, neardup, ngrams, packing, toxicity, warc
+from tidemark.llm import common, credentials, fingerprint, huffman, lexical, mixing, nearest, neardup, ngrams, packing, toxicity, warc
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +106,8 @@ def mixing_rates(spark: SparkSession, folder: str) -> DataFrame:
 def projected_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = common.table(spark, folder, "embeddings")
     return nearest.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+@query("op11_ranked_search", lexical.ORACLE)
+def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(common.table(spark, folder, "documents"), common.table(spark, folder, "benchmark"), k=20)
