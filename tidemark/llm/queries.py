@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, credentials, fingerprint, huffman, lexical, mixing, nearest, neardup, ngrams, packing, toxicity, warc
+from tidemark.llm import common, credentials, fingerprint, huffman, lexical, mixing, nearest, neardup, ngrams, packing, toxicity, warc, whitening
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +111,8 @@ def projected_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_ranked_search", lexical.ORACLE)
 def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.search(common.table(spark, folder, "documents"), common.table(spark, folder, "benchmark"), k=20)
+
+
+@query("op12_whitened_embeddings")
+def whitened_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(common.table(spark, folder, "embeddings"), k=16)
