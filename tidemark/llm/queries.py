@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, credentials, fingerprint, huffman, lexical, mixing, nearest, neardup, ngrams, packing, toxicity, warc, whitening
+from tidemark.llm import common, credentials, fingerprint, huffman, lexical, linecrf, mixing, nearest, neardup, ngrams, packing, toxicity, warc, whitening
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -116,3 +116,9 @@ def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_whitened_embeddings")
 def whitened_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(common.table(spark, folder, "embeddings"), k=16)
+
+
+@query("op13_line_rules")
+def line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    documents = common.table(spark, folder, "documents")
+    return linecrf.report(documents, linecrf.learn(documents, common.table(spark, folder, "labels")))
