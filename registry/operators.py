@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -170,6 +174,48 @@ def _(spark, folder):
     )
 
 
+# A function over batches: no row for a null or a key without small divisors, else up to four.
+@query(
+    "row_function",
+    """
+SELECT o_orderkey, o_orderstatus, divisor, CAST(k // divisor AS BIGINT) AS quotient
+FROM (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey END AS k FROM orders),
+     (VALUES (2), (3), (5), (7)) AS t(divisor)
+WHERE k % divisor = 0""",
+)
+def _(spark, folder):
+    def divisors(batch: pa.RecordBatch):
+        known = batch.column("k").is_valid().to_numpy(zero_copy_only=False)
+        keys = batch.column("k").fill_null(1).to_numpy()
+        for divisor in (2, 3, 5, 7):
+            places = np.flatnonzero(known & (keys % divisor == 0))
+            yield places, pa.record_batch(
+                {"divisor": np.full(len(places), divisor, dtype=np.int32), "quotient": keys[places] // divisor}
+            )
+
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderkey")).alias("k")
+    )
+    found = rows.each_row(orders, divisors, "divisor int, quotient bigint", arguments=["k"])
+    return found.select("o_orderkey", "o_orderstatus", "divisor", "quotient")
+
+
+# A function over single rows, whose results take the place of its argument.
+@query(
+    "row_function_swap",
+    """
+SELECT p_partkey, p_size, part, CAST(length(part) AS INTEGER) AS width
+FROM (SELECT p_partkey, p_size, unnest(string_split(p_name, ' ')) AS part FROM part) WHERE length(part) > 4""",
+)
+def _(spark, folder):
+    def long_words(text: str | None):
+        return [(word, len(word)) for word in (text or "").split(" ") if len(word) > 4]
+
+    results = "part string, width int"
+    parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_size")
+    return rows.each_row(parts, rows.row_function(long_words, results), results, "SWAP", ["p_name"])
+
+
 @query("expression_function", "SELECT l_orderkey, l_linenumber, l_partkey + l_suppkey AS total FROM lineitem")
 def _(spark, folder):
     return table(spark, folder, "lineitem").select(
@@ -443,6 +489,74 @@ def _(spark, folder):
     )
 
 
+@query(
+    "date_formatter_zone",
+    "SELECT event_id, strftime(ts + INTERVAL 9 HOUR, '%d.%m.%Y %H:%M') AS datetime FROM events",
+)
+def _(spark, folder):
+    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    return table(spark, folder, "events").select(
+        "event_id", dates.date_format(millis, "dd.MM.yyyy HH:mm", "Asia/Tokyo").alias("datetime")
+    )
+
+
+# Names of the months and days, Monday first, in German and French.
+GERMAN_MONTHS = "Januar Februar März April Mai Juni Juli August September Oktober November Dezember".split()
+FRENCH_MONTHS = "janvier février mars avril mai juin juillet août septembre octobre novembre décembre".split()
+FRENCH_DAYS = "lundi mardi mercredi jeudi vendredi samedi dimanche".split()
+
+
+def _case(number: str, names: list[str]) -> str:
+    return f"CASE {number} " + " ".join(f"WHEN {n} THEN '{name}'" for n, name in enumerate(names, 1)) + " END"
+
+
+def _spelled(number, names: list[str]):
+    return F.element_at(F.array(*[F.lit(n) for n in names]), number)
+
+
+@query(
+    "date_formatter_locale",
+    f"""
+SELECT o_orderkey, day(o_orderdate) || '. ' || {_case("month(o_orderdate)", GERMAN_MONTHS)} || ' ' || year(o_orderdate) AS german,
+       {_case("isodow(o_orderdate)", FRENCH_DAYS)} || ' ' || day(o_orderdate) || ' '
+       || {_case("month(o_orderdate)", FRENCH_MONTHS)} || ' ' || year(o_orderdate) AS french
+FROM orders""",
+)
+def _(spark, folder):
+    millis = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
+        dates.date_format(millis, "d. MMMM yyyy", locale="de").alias("german"),
+        dates.date_format(millis, "EEEE d MMMM yyyy", locale="fr").alias("french"),
+    )
+
+
+# Tokyo is nine hours ahead all year round. Weeks start on Monday in Germany, and the
+# first one of a year has four days of it: the rules of ISO.
+@query(
+    "date_parser_locale",
+    """
+SELECT o_orderkey, epoch_ms(o_orderdate) AS german, epoch_ms(o_orderdate) - 9 * 3600000 AS french,
+       CAST(weekofyear(o_orderdate) AS INTEGER) AS week, CAST(dayofweek(o_orderdate) + 1 AS INTEGER) AS weekday
+FROM orders""",
+)
+def _(spark, folder):
+    day, month, year = F.dayofmonth("o_orderdate"), F.month("o_orderdate"), F.year("o_orderdate")
+    texts = table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.concat(day, F.lit(". "), _spelled(month, GERMAN_MONTHS), F.lit(" "), year).alias("de"),
+        F.concat_ws(" ", _spelled(F.weekday("o_orderdate") + 1, FRENCH_DAYS), day, _spelled(month, FRENCH_MONTHS), year).alias("fr"),
+    )
+    week, weekday = dates.date_parse_fields("de", "d. MMMM yyyy", ["WEEK_OF_YEAR", "DAY_OF_WEEK"], locale="de-DE")
+    return texts.select(
+        "o_orderkey",
+        dates.date_parse("de", "d. MMMM yyyy", locale="de").alias("german"),
+        dates.date_parse("fr", "EEEE d MMMM yyyy", "Asia/Tokyo", locale="fr").alias("french"),
+        week.alias("week"),
+        weekday.alias("weekday"),
+    )
+
+
 # -- grouping
 
 
@@ -644,10 +758,14 @@ SELECT o_custkey, o_orderkey, sum(o_orderkey) OVER w AS running FROM (
     ),
 )
 def _(spark, folder):
-    def running(group: pd.DataFrame) -> pd.DataFrame:
-        return group.assign(running=group["o_orderkey"].cumsum())
+    def running(_key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        so_far = 0
+        for frame in frames:
+            made = frame.assign(running=frame["o_orderkey"].cumsum() + so_far)
+            so_far = made["running"].iloc[-1]
+            yield made
 
-    return grouping.buffer(
+    return grouping.stream_buffer(
         table(spark, folder, "orders").select("o_custkey", "o_orderkey"),
         ["o_custkey"],
         running,
@@ -805,11 +923,13 @@ SELECT c_custkey, count(o_orderkey) AS n, coalesce(max(o_orderkey), -1) AS newes
 FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""",
 )
 def _(spark, folder):
-    def joiner(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        newest = right["o_orderkey"].max() if len(right) else -1
-        return left[["c_custkey"]].assign(n=len(right), newest=newest)
+    def joiner(customers: pd.DataFrame, orders: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, newest = 0, -1
+        for frame in orders:
+            n, newest = n + len(frame), max(newest, frame["o_orderkey"].max())
+        yield customers.assign(n=n, newest=newest)
 
-    return joins.co_group_apply(
+    return joins.co_group_stream(
         (table(spark, folder, "customer").select("c_custkey"), ["c_custkey"]),
         (table(spark, folder, "orders").select("o_custkey", "o_orderkey"), ["o_custkey"]),
         joiner,
@@ -817,6 +937,33 @@ def _(spark, folder):
     )
 
 
+# There are few nations, each with many orders; orders are looked at one by one, so that
+# eight tasks can share a nation.
+@query(
+    "co_group_split_joiner",
+    """
+SELECT c_nationkey, o_orderkey, n.n_name AS nation
+FROM (SELECT c_nationkey, o_orderkey FROM customer JOIN orders ON o_custkey = c_custkey)
+JOIN nation n ON n.n_nationkey = c_nationkey WHERE o_orderkey % 10 = n_regionkey""",
+)
+def _(spark, folder):
+    def joiner(nations: pd.DataFrame, orders: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for nation in nations.itertuples():
+            for frame in orders:
+                own = frame[frame["o_orderkey"] % 10 == nation.n_regionkey]
+                yield own.assign(nation=nation.n_name)[["c_nationkey", "o_orderkey", "nation"]]
+
+    customers, orders = table(spark, folder, "customer"), table(spark, folder, "orders")
+    placed = customers.join(orders, F.col("c_custkey") == F.col("o_custkey")).select("c_nationkey", "o_orderkey")
+    return joins.co_group_stream(
+        (table(spark, folder, "nation").select("n_nationkey", "n_regionkey", "n_name"), ["n_nationkey"]),
+        (placed, ["c_nationkey"]),
+        joiner,
+        "c_nationkey int, o_orderkey bigint, nation string",
+        splits=8,
+    )
+
+
 @query(
     "merge_streams",
     "SELECT c_nationkey AS nation, c_name AS name FROM customer UNION ALL SELECT s_nationkey, s_name FROM supplier",

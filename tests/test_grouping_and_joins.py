@@ -81,10 +81,101 @@ def test_custom_aggregate(spark):
         F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("k"),
         F.col("id").cast("double").alias("v"),
     )
-    mine = by_key(g.custom_aggregate(df, ["k"], partial, merge, STATE, held_keys=50, fan_out=4))
+    mine = by_key(g.custom_aggregate(df, ["k"], partial, merge, STATE, held_keys=50, fan_in=4))
     assert mine == by_key(df.groupBy("k").agg(F.sum("v").alias("s"), F.count("v").alias("n")))
 
 
+def busiest_merge(spark, tasks):
+    """The most states of one key that met in one call of the merge function, below a fan-in of 4."""
+
+    def partial(rows):
+        return rows.groupby("k", as_index=False).agg(n=("v", "size")).assign(met=1)
+
+    def merge(states):
+        made = states.groupby("k", as_index=False).agg(n=("n", "sum"), here=("n", "size"), met=("met", "max"))
+        return made.assign(met=made[["here", "met"]].max(axis=1))[["k", "n", "met"]]
+
+    state = T.StructType.fromDDL("k long, n long, met long")
+    df = spark.range(0, 6400, 1, tasks).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("v"))
+    row = g.custom_aggregate(df, ["k"], partial, merge, state, fan_in=4).first()
+    assert row["n"] == 6400
+    return row["met"]
+
+
+def test_custom_aggregate_merges_no_more_when_there_are_more_tasks(spark):
+    assert g.partitions_of(spark.range(0, 10, 1, 7)) == 7
+    assert g.partitions_of(spark.range(10).repartition(9, "id").where("id > 3")) == 9
+    # Parts of a key rarely share a task, and small ones are not put together.
+    wanted = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        found = [busiest_merge(spark, tasks) for tasks in (16, 32, 64)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(found) <= 8
+
+
+def test_custom_aggregate_of_everything_and_of_null_keys(spark):
+    state = T.StructType.fromDDL("n long")
+
+    def partial(rows):
+        return pd.DataFrame({"n": [len(rows)]})
+
+    def merge(states):
+        return pd.DataFrame({"n": [states["n"].sum()]})
+
+    assert g.custom_aggregate(spark.range(0, 1000, 1, 9), [], partial, merge, state, fan_in=3).collect() == [(1000,)]
+    assert g.custom_aggregate(spark.range(0), [], partial, merge, state).count() == 0
+    keyed = T.StructType.fromDDL("k long, j string, n long")
+    df = spark.range(0, 3000, 1, 10).selectExpr("nullif(id % 50, 3) AS k", "nullif(string(id % 2), '1') AS j")
+
+    def count(rows):
+        return rows.groupby(["k", "j"], as_index=False, dropna=False).size().rename(columns={"size": "n"})
+
+    def add(states):
+        return states.groupby(["k", "j"], as_index=False, dropna=False)["n"].sum()
+
+    made = g.custom_aggregate(df, ["k", "j"], count, add, keyed, held_keys=7, fan_in=2)
+    want = df.groupBy("k", "j").count().collect()
+    assert sorted(map(tuple, made.collect()), key=repr) == sorted(map(tuple, want), key=repr)
+
+
+def test_stream_buffer_reads_a_big_group_bit_by_bit(spark):
+    """One group of two million rows, a thousand at a time, in order, with state between them."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+    def steps(key, frames):
+        last, most, rows = -1, 0, 0
+        for frame in frames:
+            assert frame["v"].is_monotonic_increasing and frame["v"].iloc[0] == last + 1
+            last, most, rows = frame["v"].iloc[-1], max(most, len(frame)), rows + len(frame)
+        yield pd.DataFrame({"k": [key[0]], "rows": [rows], "most": [most], "last": [last]})
+
+    try:
+        rows = spark.range(0, 2_000_000, 1, 8).selectExpr("1 AS k", "1999999 - id AS v")
+        made = g.stream_buffer(rows, ["k"], steps, "k int, rows long, most long, last long", ["v"])
+        assert made.collect() == [(1, 2_000_000, 1000, 1_999_999)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_stream_buffer_groups_nulls_sorts_once_and_need_not_read_on(spark, values, rows_of):
+    def first(key, frames):
+        yield next(frames).head(1).assign(k=key[0])
+
+    made = g.stream_buffer(values, ["k"], first, values.schema, ["v"])
+    assert rows_of(made) == sorted([("x", None), ("y", -2.0), (None, 3.0)], key=repr)
+    plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Sort [") == 1 and plan.count("Exchange") == 1
+    assert g.stream_buffer(values.where("false"), ["k"], first, values.schema).count() == 0
+    nothing = g.stream_buffer(values, ["k"], lambda key, frames: [], values.schema)
+    assert nothing.count() == 0
+
+
 def test_buffer(values, rows_of):
     first = g.buffer(values, ["k"], lambda rows: rows.head(1), values.schema, ["v"])
     assert rows_of(first) == sorted([("x", None), ("y", -2.0), (None, 3.0)], key=repr)
@@ -173,3 +264,58 @@ def test_custom_joiner(spark, rows_of):
     left, right = frames(spark, [A, B])
     rows = j.co_group_apply(left, right, widths, "k double, l int, r int")
     assert {(r["l"], r["r"]) for r in rows.collect()} == {(2, 1), (1, 1), (1, 0), (0, 2)}
+
+
+def test_streamed_joiner(spark, rows_of):
+    def widths(held, frames):
+        frames = list(frames)
+        key = (held["k0"] if len(held) else frames[0]["k1"]).iloc[0]
+        yield pd.DataFrame({"k": [key], "l": [len(held)], "r": [sum(map(len, frames))]})
+
+    left, right = frames(spark, [A, B])
+    rows = j.co_group_stream(left, right, widths, "k double, l int, r int").collect()
+    assert {(None if r["k"] != r["k"] else r["k"], r["l"], r["r"]) for r in rows} == {
+        (1, 2, 1), (None, 1, 1), (2, 1, 0), (3, 0, 2)
+    }
+
+
+def test_streamed_joiner_keeps_types_and_names_of_both_sides(spark, rows_of):
+    """Fields of the same names, nulls, and whole numbers that must not turn into floats."""
+    left = spark.createDataFrame([(1, 2**60 + 1, "a"), (1, None, None), (2, 5, "c")], "k int, v bigint, s string")
+    right = spark.createDataFrame([(1, "z", 7), (1, "y", None), (4, "w", 3)], "k int, s string, n int")
+
+    def pairs(held, frames):
+        for frame in frames:
+            yield held.rename(columns={"s": "ls"}).merge(frame, on="k", how="right")[["k", "v", "ls", "s", "n"]]
+
+    schema = "k int, v bigint, ls string, s string, n int"
+    want = left.withColumnRenamed("s", "ls").join(right, "k", "right").select("k", "v", "ls", "s", "n")
+    got = j.co_group_stream((left, ["k"]), (right, ["k"]), pairs, schema, order=["s"])
+    assert rows_of(got) == rows_of(want)
+    assert j.co_group_stream((left.where("false"), ["k"]), (right.where("false"), ["k"]), pairs, schema).count() == 0
+
+
+@pytest.mark.parametrize("splits", [1, 16])
+def test_streamed_joiner_on_a_hot_key(spark, splits):
+    """A key with a third of a million rows is streamed by one task, or shared by several."""
+    right = spark.range(0, 1_000_000, 1, 8).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS v").where("k IN (7, 8, 10)")
+    left = spark.createDataFrame([(7, "hot"), (8, "cold")], "k long, name string")
+
+    def count(held, frames):
+        from pyspark import TaskContext
+
+        rows = sum(map(len, frames))
+        yield held.assign(rows=rows, task=TaskContext.get().partitionId())[["name", "rows", "task"]]
+
+    wanted = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        made = j.co_group_stream((left, ["k"]), (right, ["k"]), count, "name string, rows long, task int", splits=splits)
+        found = made.toPandas().groupby("name").agg(rows=("rows", "sum"), tasks=("task", "nunique"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found.loc["hot", "rows"] == 333_335 and found.loc["cold", "rows"] == 1
+    assert found.loc["hot", "tasks"] == 1 if splits == 1 else found.loc["hot", "tasks"] > 4

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +86,60 @@ def test_coerce(spark, rows_of):
     assert rows_of(coerce.coerce(numbers.limit(1), {"x": "string"})) == [("2.9",)]
     with pytest.raises(ValueError):
         coerce.coerce(numbers, {"x": "decimal"})
+
+
+@pytest.fixture
+def repeats():
+    def function(batch):
+        """As many results as ``n`` says, none for null."""
+        times = batch.column("n").to_pylist()
+        places = [i for i, n in enumerate(times) for _ in range(n or 0)]
+        turn = [t for n in times for t in range(n or 0)]
+        yield places, pa.table({"turn": pa.array(turn, pa.int64())})
+
+    return function
+
+
+def test_row_function_gives_any_number_of_rows(spark, rows_of, repeats):
+    df = spark.createDataFrame([(1, "a", None), (2, None, 0), (3, "c", 1), (4, "d", 3), (4, "d", 3)], "k int, s string, n int")
+    every = rows.each_row(df, repeats, "turn bigint", arguments=["n"])
+    assert every.columns == ["k", "s", "n", "turn"]
+    want = [(3, "c", 1, 0)] + [(4, "d", 3, t) for t in range(3)] * 2
+    assert rows_of(every) == sorted(want, key=repr)
+    assert rows_of(rows.each_row(df, repeats, "turn bigint", "RESULTS")) == sorted([(w[3],) for w in want], key=repr)
+    assert rows.each_row(df, repeats, "turn int", "SWAP", ["n"]).columns == ["k", "s", "turn"]
+    assert rows_of(rows.each_row(df, repeats, "turn int", ["turn", "k"], ["n"])) == sorted([(w[3], w[0]) for w in want], key=repr)
+    assert rows.each_row(df.where("false"), repeats, "turn bigint").count() == 0
+
+
+def test_row_function_replaces_in_place(spark, rows_of):
+    df = spark.createDataFrame([(1, "b a", 2.5), (2, None, None), (3, "", 1.0)], "k int, s string, x double")
+    words = rows.row_function(lambda s: [(w,) for w in (s or "").split()], "s string")
+    assert rows_of(rows.each_row(df, words, "s string", "REPLACE", ["s"])) == [(1, "a", 2.5), (1, "b", 2.5)]
+
+
+def test_row_function_refuses_clashing_names(df, repeats):
+    for output in ("ALL", ["k", "s"]):
+        with pytest.raises(ValueError, match="twice"):
+            rows.each_row(df, repeats, "s bigint", output, ["n"])
+    with pytest.raises(ValueError, match="no field to replace"):
+        rows.each_row(df, repeats, "turn bigint", "REPLACE", ["n"])
+    with pytest.raises(ValueError, match="no such fields"):
+        rows.each_row(df, repeats, "turn bigint", ["nothing"], ["n"])
+    with pytest.raises(ValueError, match="no such fields"):
+        rows.each_row(df, repeats, "turn bigint", arguments=["nothing"])
+    with pytest.raises(ValueError, match="twice"):
+        rows.each_row(df.select("k", "k", "n"), repeats, "turn bigint", arguments=["n"])
+
+
+def test_row_function_hands_many_results_on_in_parts(spark):
+    many = rows.row_function(lambda n: ((i,) for i in range(n)), "i bigint", at_once=1000)
+    sizes = [made.num_rows for _, made in many(pa.record_batch({"n": [2500, 0, 1]}))]
+    assert sizes == [1000, 1000, 501]
+    assert rows.each_row(spark.range(3).selectExpr("id * 100000 AS n"), many, "i bigint").count() == 300_000
+
+
+def test_row_function_reads_only_what_it_needs(spark, repeats):
+    wide = spark.range(5).selectExpr("id AS n", "id * 2 AS k", "uuid() AS unused")
+    plan = rows.each_row(wide, repeats, "turn bigint", ["k", "turn"], ["n"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "unused" not in plan

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, text
+from tidemark.operators import quality
 
 
 @pytest.fixture(scope="module")
@@ -117,3 +118,58 @@ def test_date_zones_and_bad_text(spark):
         df.select(dates.date_parse("s", "yyyy")).collect()
     with pytest.raises(ValueError):
         dates.calendar_field("s", "ERA")
+
+
+def test_dates_in_a_language(spark, rows_of):
+    texts = ["3. März 2024", "3. Maerz 2024", '3. "März, 2024', "31. Februar 2024", "3. März 2024\nx", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, s string")
+    millis = dates.date_parse("s", "d. MMMM yyyy", locale="de", safe=True)
+    assert one(df, millis) == {0: 1709424000000} | dict.fromkeys(range(1, 7))
+    there = dates.date_parse("s", "d. MMMM yyyy", "Asia/Tokyo", locale="de", safe=True)
+    assert one(df, there)[0] == 1709424000000 - 9 * 3_600_000
+    with pytest.raises(Exception, match="unable to parse date: 3. Maerz 2024"):
+        df.where("n < 2").select(dates.date_parse("s", "d. MMMM yyyy", locale="de")).collect()
+    good, rejected = quality.trap(df, [quality.Rule("date", millis.isNotNull())])
+    assert rows_of(good.select("n")) == [(0,)]
+    assert rows_of(rejected.select("n", "s")) == sorted(list(enumerate(texts))[1:], key=repr)
+
+
+def test_names_of_days_are_read(spark):
+    texts = ["mardi 5 mars 2024", "Mar. 5 mars 2024", "lundi 5 mars 2024", "5 mars 2024", "mardis 5 mars 2024", "mardi 5 mars"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, s string")
+    day = 1709596800000
+    found = one(df, dates.date_parse("s", "EEEE d MMMM yyyy", locale="fr", safe=True))
+    assert found == {0: day, 1: day, 2: day, 3: None, 4: None, 5: None}
+    english = dates.date_parse(F.lit("5 Mar 2024 (Tue) E"), "d MMM yyyy (EEE) 'E'", locale="en", safe=True)
+    assert spark.range(1).select(english).first()[0] == day
+
+
+def test_dates_are_written_in_a_language(spark):
+    noon = F.lit(1709467200000)
+    row = spark.range(1).select(
+        dates.date_format(noon, "EEEE, d. MMM yyyy HH:mm", locale="de"),
+        dates.date_format(noon, "d MMMM yyyy HH:mm", "Asia/Tokyo", "fr"),
+        dates.date_format(noon, "MMMM 'o''clock' h a", "America/New_York", "en"),
+        dates.date_format(F.lit(None).cast("long"), "MMMM yyyy", locale="es"),
+    )
+    assert tuple(row.first()) == ("Sonntag, 3. März 2024 12:00", "3 mars 2024 21:00", "March o'clock 7 AM", "enero 1970")
+
+
+@pytest.mark.parametrize("locale", ["de-DE", "en-US", "fr", "ar-EG", "pt"])
+def test_weeks_follow_the_locale(spark, locale):
+    """Against the JVM's own calendar, around turns of years and months."""
+    java = spark._jvm.java.util
+    calendar = java.Calendar.getInstance(java.TimeZone.getTimeZone("UTC"), java.Locale.forLanguageTag(locale))
+    days = [d for y in range(2010, 2020) for m in (1, 3, 12) for d in _days(y, m)]
+    df = spark.createDataFrame([(d,) for d in days], "ms long")
+    rules = dates.week_rules(locale)
+    fields = ["WEEK_OF_YEAR", "WEEK_OF_MONTH", "DAY_OF_WEEK"]
+    rows = df.select("ms", *[dates.calendar_field("ms", f, rules).alias(f) for f in fields]).collect()
+    for row in rows:
+        calendar.setTimeInMillis(row["ms"])
+        assert [row[f] for f in fields] == [calendar.get(getattr(java.Calendar, f)) for f in fields], row
+
+
+def _days(year, month):
+    first = datetime.datetime(year, month, 1, tzinfo=datetime.UTC) - datetime.timedelta(days=9)
+    return [int((first + datetime.timedelta(days=k)).timestamp() * 1000) for k in range(0, 20)]

@@ -5,7 +5,8 @@ Null counts as zero in sums and averages, and null keys form a group.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import pandas as pd
@@ -184,9 +185,9 @@ def buffer(
 ) -> DataFrame:
     """Hand every whole group to a pandas function that may return any rows.
 
-    For logic that no window and no partial aggregate can express. The
-    function sees its group whole, so a group must fit into the memory of one task;
-    ``custom_aggregate`` and ``ordered_groups`` never hold one.
+    For logic that no window and no partial aggregate can express and that needs its
+    group as one frame, which must fit into the memory of a task; ``stream_buffer`` reads a
+    group of any size bit by bit, ``custom_aggregate`` and ``ordered_groups`` never hold one.
     """
     order = list(order or [])
 
@@ -198,6 +199,43 @@ def buffer(
     return df.groupBy(*keys).applyInPandas(run, schema)
 
 
+def stream_buffer(
+    df: DataFrame,
+    keys: list[str],
+    function: Callable[[tuple, Iterator[pd.DataFrame]], Iterable[pd.DataFrame]],
+    schema: T.StructType | str,
+    order: list[str] | None = None,
+) -> DataFrame:
+    """Hand every group to a function as a stream of frames, which may return any frames.
+
+    The function gets the key's values and an iterator over the rows of the group in
+    ``order`` (nulls first), ``spark.sql.execution.arrow.maxRecordsPerBatch`` at a time; what it
+    keeps between frames is its own state. It is called once per group and need not read
+    to the end. Rows are sorted in the JVM, which spills, so a group may be larger
+    than the memory of a task. A group is still read by one task: what can be merged
+    from parts belongs in ``custom_aggregate``. Null keys form a group.
+    """
+    sort = [F.asc_nulls_first(c) for c in [*keys, *(order or [])]]
+    spread = df.repartition(*[F.col(k) for k in keys]) if keys else df.coalesce(1)
+
+    def run(key: tuple, rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from function(key, rows)
+
+    # The groups arrive sorted already, so grouping adds neither a shuffle nor a sort.
+    return spread.sortWithinPartitions(*sort).groupBy(*keys).applyInPandas(run, schema)
+
+
+def partitions_of(df: DataFrame) -> int | None:
+    """Number of tasks that will make the rows of ``df``, known without running anything.
+
+    None where only running would tell, as for a union of shuffled frames. Adaptive execution may
+    merge the partitions of a shuffle into fewer."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return plan.initialPlan().outputPartitioning().numPartitions() or None
+    return plan.outputPartitioning().numPartitions() or df.rdd.getNumPartitions()
+
+
 def custom_aggregate(
     df: DataFrame,
     keys: list[str],
@@ -205,7 +243,7 @@ def custom_aggregate(
     merge_partials: Callable[[pd.DataFrame], pd.DataFrame],
     state: T.StructType,
     held_keys: int = 10_000,
-    fan_out: int = 64,
+    fan_in: int = 64,
 ) -> DataFrame:
     """An aggregate of one's own, computed in mergeable steps.
 
@@ -213,11 +251,15 @@ def custom_aggregate(
     ``merge_partials`` does the same for state rows; both get and return frames
     with the key columns. ``state`` lists all state columns, keys included.
 
-    States are built where the rows are, up to ``held_keys`` at a time. They are
-    then merged in two steps, first spread over ``fan_out`` parts of each key, so
-    that one busy key does not meet in one task.
+    States are built where the rows are, up to ``held_keys`` at a time. They are then
+    merged up a tree: a level brings together the states that ``fan_in`` neighbouring
+    tasks have for a key, and there are as many levels as it takes to get from the
+    number of tasks to one, so no task merges more states of a busy key the more
+    tasks there are. States come sorted by key and are merged by the batch: functions are
+    called per batch, not per key, and hold a batch and ``held_keys`` states at most.
     """
     names = state.names
+    every = T.StructType([*state.fields, T.StructField("_part", T.LongType())])
 
     def build(batches):
         held: pd.DataFrame | None = None
@@ -234,13 +276,38 @@ def custom_aggregate(
         if held is not None:
             yield held
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        return merge_partials(rows)[names]
-
-    def fold_part(rows: pd.DataFrame) -> pd.DataFrame:
-        return merge_partials(rows.drop(columns="_part"))[names]
+    def fold(batches):
+        """Input is sorted by key, so of the keys of a batch only the last one can go on."""
+        held: pd.DataFrame | None = None
+        for rows in batches:
+            if rows.empty:
+                continue
+            rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
+            merged = merge_partials(rows[names])[names]
+            if keys:
+                parts = rows.groupby(keys, as_index=False, dropna=False, sort=False)["_part"].min()
+                merged = merged.merge(parts, on=keys, how="left")
+                last = _has_key(merged, parts.iloc[-1], keys)
+            else:
+                merged = merged.assign(_part=rows["_part"].min())
+                last = pd.Series(True, index=merged.index)
+            yield merged[~last]
+            held = merged[last]
+        if held is not None:
+            yield held
 
-    states = df.mapInPandas(build, state)
-    spread = states.withColumn("_part", F.spark_partition_id() % fan_out)
-    halfway = spread.groupBy(*keys, "_part").applyInPandas(fold_part, state)
-    return halfway.groupBy(*keys).applyInPandas(fold, state)
+    made = df.mapInPandas(build, state).withColumn("_part", F.spark_partition_id().cast("long"))
+    tasks = partitions_of(df) or 1 << 20
+    for _ in range(max(1, math.ceil(math.log(max(tasks, 2), fan_in)))):
+        dealt = made.withColumn("_part", F.floor(F.col("_part") / fan_in))
+        spread = dealt.repartition(*keys, "_part")
+        made = (spread.sortWithinPartitions(*keys) if keys else spread).mapInPandas(fold, every)
+    return made.drop("_part")
+
+
+def _has_key(rows: pd.DataFrame, key: pd.Series, keys: list[str]) -> pd.Series:
+    """Which rows have the key, null equal to null."""
+    same = pd.Series(True, index=rows.index)
+    for name in keys:
+        same &= rows[name].isna() if pd.isna(key[name]) else rows[name] == key[name]
+    return same

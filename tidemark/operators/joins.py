@@ -10,15 +10,19 @@ so that a busy key is split in every join.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
+from itertools import chain
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 Stream = tuple[DataFrame, list[str]]
+_WHOLE = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype()}
 
 
 def _required(joiner: str | Sequence[bool], count: int) -> list[bool]:
@@ -168,11 +172,79 @@ def co_group_apply(
     schema: T.StructType | str,
 ) -> DataFrame:
     """A joiner of one's own over two streams: a pandas function gets both sides
-    of every key at once, so a key must fit into the memory of one task; joins that need
-    no whole group go through ``co_group``."""
+    of every key at once, so a key must fit into the memory of one task. ``co_group_stream``
+    holds only one side; joins that need no function go through ``co_group``."""
     return (
         left[0]
         .groupBy(*left[1])
         .cogroup(right[0].groupBy(*right[1]))
         .applyInPandas(function, schema)
     )
+
+
+def co_group_stream(
+    held: Stream,
+    streamed: Stream,
+    function: Callable[[pd.DataFrame, Iterator[pd.DataFrame]], Iterable[pd.DataFrame]],
+    schema: T.StructType | str,
+    order: Sequence[str] = (),
+    splits: int = 1,
+) -> DataFrame:
+    """A joiner of one's own over two streams of which only the first is held.
+
+    Both streams go through one shuffle, as one frame in which every row says whose it is,
+    sorted by key, with the held rows of a key first. For each key of either stream the
+    function gets the held rows as one frame (empty if there are none) and an iterator over
+    the streamed ones, in ``order`` (nulls first) and ``spark.sql.execution.arrow.maxRecordsPerBatch``
+    at a time. So the held rows of a key must fit into the memory of a task, and the streamed
+    rows may be any number: hold the smaller stream. Null keys match each other. Whole
+    numbers come as pandas' nullable types, so nulls do not turn them into floats.
+
+    A joiner that looks at each streamed row on its own can let ``splits`` tasks share a
+    key: streamed rows are dealt out by a hash of their fields, and held rows go to all
+    parts. The function is then called once per part, and ``splits`` times for a key that has no
+    streamed rows.
+    """
+    (both_held, both_streamed), fields, width = _staged([held, streamed])
+    keys = _key_names(width)
+    types = [{f.name: f.dataType for f in df.schema} for df in (held[0], streamed[0])]
+    frames = [to_arrow_schema(df.schema) for df in (held[0], streamed[0])]
+    if splits > 1:
+        parts = F.array(*[F.lit(i) for i in range(splits)])
+        both_held = both_held.withColumn("_part", F.explode(parts))
+        both_streamed = both_streamed.withColumn("_part", F.pmod(F.xxhash64(*fields[1]), F.lit(splits)).cast("int"))
+        keys = [*keys, "_part"]
+
+    def tagged(df: DataFrame, place: int) -> DataFrame:
+        """The rows with the fields of the other stream empty."""
+        other = [
+            F.lit(None).cast(t).alias(n) for n, t in zip(fields[1 - place], types[1 - place].values(), strict=True)
+        ]
+        return df.select("*", F.lit(place).alias("_stream"), *other)
+
+    union = tagged(both_held, 0).unionByName(tagged(both_streamed, 1))
+    place_of = dict(zip(streamed[0].columns, fields[1], strict=True))
+    sort = [F.asc_nulls_first(c) for c in [*keys, "_stream", *[place_of[c] for c in order]]]
+    result = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(result)
+
+    def frame(batch: pa.RecordBatch, place: int) -> pd.DataFrame:
+        columns = [batch.column(n).cast(f.type) for n, f in zip(fields[place], frames[place], strict=True)]
+        return pa.RecordBatch.from_arrays(columns, schema=frames[place]).to_pandas(types_mapper=_WHOLE.get)
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, rest = [], iter(())
+        for batch in rows:
+            own = batch.column("_stream").to_numpy()
+            cut = int((own == 0).sum())  # held rows come first
+            if cut:
+                first.append(frame(batch.slice(0, cut), 0))
+            if cut < batch.num_rows:
+                rest = chain([batch.slice(cut)], rows)
+                break
+        together = pd.concat(first, ignore_index=True) if first else frames[0].empty_table().to_pandas(types_mapper=_WHOLE.get)
+        for made in function(together, (frame(b, 1) for b in rest)):
+            yield pa.RecordBatch.from_pandas(made[result.names], schema=arrow, preserve_index=False)
+
+    spread = union.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*sort)
+    return spread.groupBy(*keys).applyInArrow(run, result)

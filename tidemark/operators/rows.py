@@ -6,10 +6,14 @@ condition (null) removes nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def each(
@@ -44,6 +48,103 @@ def each(
     return everything.select(*output)
 
 
+#: A row function: gets a batch of argument fields and gives, as often as it likes, the result
+#: fields of some rows and beside each the place in the batch of the row it was made from.
+RowFunction = Callable[[pa.RecordBatch], Iterable[tuple[Iterable[int], "pa.RecordBatch | pa.Table"]]]
+
+
+def row_function(function: Callable[..., Iterable[tuple]], results: T.StructType | str, at_once: int = 4096) -> RowFunction:
+    """A ``RowFunction`` from a plain one, which gets the arguments of one row and gives any number
+    of tuples; results are handed on ``at_once`` rows at a time, so a row may give very many."""
+    schema = to_arrow_schema(_struct(results))
+
+    def run(batch: pa.RecordBatch):
+        places, made = [], []
+
+        def handed_on():
+            columns = zip(*made) if made else [()] * len(schema)
+            arrays = [pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)]
+            return list(places), pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+        values = zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)))
+        for place, row in enumerate(values):
+            for result in function(*row):
+                places.append(place)
+                made.append(result)
+                if len(made) >= at_once:
+                    yield handed_on()
+                    places, made = [], []
+        yield handed_on()
+
+    return run
+
+
+def _struct(fields: T.StructType | str) -> T.StructType:
+    return fields if isinstance(fields, T.StructType) else T.StructType.fromDDL(fields)
+
+
+def each_row(
+    df: DataFrame,
+    function: RowFunction,
+    results: T.StructType | str,
+    output: str | list[str] = "ALL",
+    arguments: list[str] | None = None,
+) -> DataFrame:
+    """Apply a function of one's own that gives 0 to n rows for each row.
+
+    The function sees batches of the ``arguments`` (all fields by default), as Arrow
+    columns. ``results`` declares its fields. ``output`` chooses what comes out as in
+    ``each``; other fields of a row are repeated beside each of its results. Only
+    fields that are read or come out are sent to the function's process.
+    """
+    made = _struct(results)
+    twice = {c for c in df.columns if df.columns.count(c) > 1}
+    if twice:
+        raise ValueError(f"field names appear twice: {sorted(twice)}")
+    arguments = list(df.columns if arguments is None else arguments)
+    own = {f.name: f for f in df.schema}
+    missing = set(arguments) - set(own)
+    if missing:
+        raise ValueError(f"no such fields: {sorted(missing)}")
+    if output == "RESULTS":
+        names = made.names
+    elif output == "REPLACE":
+        if set(made.names) - set(own):
+            raise ValueError(f"no field to replace: {sorted(set(made.names) - set(own))}")
+        names = list(own)
+    elif output == "SWAP":
+        names = [c for c in own if c not in arguments] + made.names
+    else:
+        names = [*own, *made.names] if output == "ALL" else list(output)
+        if set(names) - set(own) - set(made.names):
+            raise ValueError(f"no such fields: {sorted(set(names) - set(own) - set(made.names))}")
+    clash = set(made.names) & set(own) if output not in ("RESULTS", "REPLACE", "SWAP") else ()
+    if clash or len(set(names)) < len(names):
+        raise ValueError(f"field names appear twice: {sorted(clash) or names}")
+    given = {f.name: f for f in made}
+    schema = T.StructType([given.get(n) or own[n] for n in names])
+    arrow = to_arrow_schema(schema)
+    carried = [n for n in names if n not in given]
+
+    def run(batches):
+        for batch in batches:
+            for places, rows in function(batch.select(arguments)):
+                places = pa.array(places, pa.int64())
+                if not len(places):
+                    continue
+                taken = batch.select(carried).take(places) if carried else None
+                if rows.num_rows != len(places):
+                    raise ValueError(f"{len(places)} places for {rows.num_rows} rows")
+                columns = [rows.column(n) if n in given else taken.column(n) for n in names]
+                whole = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+                yield pa.RecordBatch.from_arrays(
+                    [c.cast(f.type) for c, f in zip(whole, arrow, strict=True)], schema=arrow
+                )
+
+    needed = [c for c in own if c in arguments or c in carried]
+    return df.select(*needed).mapInArrow(run, schema)
+
+
 def retain(df: DataFrame, *fields: str) -> DataFrame:
     """Keep the named fields only."""
     return df.select(*fields)
