@@ -5,8 +5,8 @@ the leading eigenvectors of the covariance of the distinct integer vectors, foun
 a covariance matrix: a block of ``WIDTH`` times as many directions as wanted goes
 through a Chebyshev polynomial of the covariance, whose recurrence needs one product
 ``X'(XQ)`` of the centred vectors per step. Each product is one Spark job over blocks of
-vectors; tasks return sums of the size of ``Q``, which meet in groups of ``FAN_IN``
-before the driver adds them. The polynomial is bounded on the unwanted spectrum and grows
+vectors; tasks return sums of the size of ``Q``. The driver adds them; those of more than
+``FAN_IN`` tasks meet in groups of that many first. The polynomial is bounded on the unwanted spectrum and grows
 fast above it. QR and a Rayleigh-Ritz step follow, until the residual of every
 wanted pair is at most ``TOLERANCE`` times the largest eigenvalue, or has stopped falling
 below ``SETTLED`` (the limit of double precision); an iteration that does neither within
@@ -46,8 +46,8 @@ TOLERANCE, SETTLED = 1e-13, 1e-10
 ROUNDS, DEGREE = 200, 24
 #: Vectors and bytes of a stored block.
 ROWS, BYTES = 4096, 4 << 20
-#: Partial sums added by one task.
-FAN_IN = 64
+#: Partial sums added in one place.
+FAN_IN = 128
 RESULT = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
 
 
@@ -158,8 +158,11 @@ def over_vectors(blocks: DataFrame, mean: np.ndarray, figures: Callable[[np.ndar
     def merged(table: pa.Table) -> pa.Table:
         return pa.table({"data": [sum(np.frombuffer(x.as_py()) for x in table["data"]).tobytes()]})
 
-    parts = blocks.select("length", "width", "data").mapInArrow(partial, "slot int, data binary")
-    return sum(np.frombuffer(r["data"]) for r in parts.groupBy("slot").applyInArrow(merged, "data binary").collect())
+    rows = blocks.select("length", "width", "data")
+    parts = rows.mapInArrow(partial, "slot int, data binary")
+    if rows.rdd.getNumPartitions() > FAN_IN:
+        parts = parts.groupBy("slot").applyInArrow(merged, "data binary")
+    return sum(np.frombuffer(r["data"]) for r in parts.collect())
 
 
 class Covariance:
