@@ -151,7 +151,7 @@ def test_stream_buffer_reads_a_big_group_bit_by_bit(spark):
     def steps(key, frames):
         last, most, rows = -1, 0, 0
         for frame in frames:
-            assert frame["v"].is_monotonic_increasing and frame["v"].iloc[0] == last + 1
+            assert list(frame.index) == list(range(len(frame))) and frame["v"].is_monotonic_increasing and frame["v"].iloc[0] == last + 1
             last, most, rows = frame["v"].iloc[-1], max(most, len(frame)), rows + len(frame)
         yield pd.DataFrame({"k": [key[0]], "rows": [rows], "most": [most], "last": [last]})
 
@@ -176,6 +176,27 @@ def test_stream_buffer_groups_nulls_sorts_once_and_need_not_read_on(spark, value
     assert nothing.count() == 0
 
 
+def test_key_runs():
+    keys = pd.DataFrame({"a": [1.0, 1.0, None, None, 2.0], "b": ["x", "x", "x", None, None]})
+    assert list(g.key_runs(keys)) == [((1.0, "x"), 0, 2), ((None, "x"), 2, 3), ((None, None), 3, 4), ((2.0, None), 4, 5)]
+    whole = pd.DataFrame({"a": pd.array([2**60, 2**60 + 1, None, None], "Int64")})
+    assert list(g.key_runs(whole)) == [((2**60,), 0, 1), ((2**60 + 1,), 1, 2), ((None,), 2, 4)]
+    assert list(g.key_runs(pd.DataFrame(index=range(3)))) == [((), 0, 3)]
+    assert list(g.key_runs(keys.head(0))) == []
+
+
+def test_stream_buffer_over_many_groups(spark):
+    """Groups that begin and end anywhere in a batch, of keys of two kinds."""
+    rows = spark.range(0, 30_000, 1, 8).selectExpr("id % 7001 AS k", "string(id % 2) AS j", "id AS v")
+
+    def count(key, frames):
+        frames = list(frames)
+        yield pd.DataFrame({"k": [key[0]], "j": [key[1]], "n": [sum(map(len, frames))]})
+
+    made = g.stream_buffer(rows, ["k", "j"], count, "k long, j string, n long")
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, rows.groupBy("k", "j").count().collect()))
+
+
 def test_buffer(values, rows_of):
     first = g.buffer(values, ["k"], lambda rows: rows.head(1), values.schema, ["v"])
     assert rows_of(first) == sorted([("x", None), ("y", -2.0), (None, 3.0)], key=repr)

@@ -8,7 +8,10 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
+from itertools import groupby
+from operator import itemgetter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -209,20 +212,67 @@ def stream_buffer(
     """Hand every group to a function as a stream of frames, which may return any frames.
 
     The function gets the key's values and an iterator over the rows of the group in
-    ``order`` (nulls first), ``spark.sql.execution.arrow.maxRecordsPerBatch`` at a time; what it
-    keeps between frames is its own state. It is called once per group and need not read
-    to the end. Rows are sorted in the JVM, which spills, so a group may be larger
-    than the memory of a task. A group is still read by one task: what can be merged
-    from parts belongs in ``custom_aggregate``. Null keys form a group.
+    ``order`` (nulls first), ``spark.sql.execution.arrow.maxRecordsPerBatch`` at a time at most;
+    what it keeps between frames is its own state. It is called once per group and need not
+    read to the end. Rows are sorted in the JVM, which spills, and reach Python as one stream per
+    partition, so a group may be larger than the memory of a task, and many small groups
+    cost little. A group is still read by one task: what can be merged from parts belongs in
+    ``custom_aggregate``. Null keys form a group.
     """
     sort = [F.asc_nulls_first(c) for c in [*keys, *(order or [])]]
-    spread = df.repartition(*[F.col(k) for k in keys]) if keys else df.coalesce(1)
 
-    def run(key: tuple, rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from function(key, rows)
-
-    # The groups arrive sorted already, so grouping adds neither a shuffle nor a sort.
-    return spread.sortWithinPartitions(*sort).groupBy(*keys).applyInPandas(run, schema)
+    def made(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        runs = ((key, frame.iloc[a:b]) for frame in frames for key, a, b in key_runs(frame[keys]))
+        for key, own in groupby(runs, itemgetter(0)):
+            yield from function(key, (rows.reset_index(drop=True) for _, rows in own))
+
+    spread = dealt_by_key(df, keys)
+    spread = spread.sortWithinPartitions(*sort) if sort else spread
+    return spread.mapInPandas(lambda frames: gathered(made(frames)), schema)
+
+
+def dealt_by_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a key in one partition, of as many as the session says. A function of one's own takes
+    longer than its bytes suggest, so small partitions are not put together as they would be else."""
+    if not keys:
+        return df.coalesce(1)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *[F.col(k) for k in keys])
+
+
+def gathered(frames: Iterable[pd.DataFrame], rows: int = 4096) -> Iterator[pd.DataFrame]:
+    """The same rows in fewer frames: small neighbours of equal types put together."""
+    held: list[pd.DataFrame] = []
+    size = 0
+    for frame in frames:
+        if held and (size + len(frame) > rows or not frame.dtypes.equals(held[0].dtypes)):
+            yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
+            held, size = [], 0
+        if len(frame):
+            held.append(frame)
+            size += len(frame)
+    if held:
+        yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
+
+
+def key_runs(keys: pd.DataFrame) -> Iterator[tuple[tuple, int, int]]:
+    """``(key, start, end)`` of each run of equal rows, null equal to null. Keys can be compared."""
+    size = len(keys)
+    if not size:
+        return
+    changes = np.zeros(size - 1, dtype=bool)
+    columns = [(keys.iloc[:, i].array, keys.iloc[:, i].isna().to_numpy()) for i in range(keys.shape[1])]
+    for values, null in columns:
+        differ = np.asarray(pd.Series(values[1:] != values[:-1]).fillna(True), dtype=bool)
+        changes |= np.where(null[1:] | null[:-1], null[1:] != null[:-1], differ)
+    starts = [0, *(np.flatnonzero(changes) + 1).tolist(), size]
+    for start, end in zip(starts, starts[1:]):
+        yield tuple(_plain(values[start], null[start]) for values, null in columns), start, end
+
+
+def _plain(value, null: bool):
+    if null:
+        return None
+    return value.item() if isinstance(value, np.generic) else value
 
 
 def partitions_of(df: DataFrame) -> int | None:

@@ -12,8 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
-from itertools import chain
+from itertools import chain, groupby
+from operator import itemgetter
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,8 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tidemark.operators.grouping import dealt_by_key, gathered, key_runs
+
 Stream = tuple[DataFrame, list[str]]
-_WHOLE = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype()}
+_NULLABLE = {
+    pa.bool_(): pd.BooleanDtype(), pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(),
+    pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype(),
+}
 
 
 def _required(joiner: str | Sequence[bool], count: int) -> list[bool]:
@@ -198,7 +205,8 @@ def co_group_stream(
     the streamed ones, in ``order`` (nulls first) and ``spark.sql.execution.arrow.maxRecordsPerBatch``
     at a time. So the held rows of a key must fit into the memory of a task, and the streamed
     rows may be any number: hold the smaller stream. Null keys match each other. Whole
-    numbers come as pandas' nullable types, so nulls do not turn them into floats.
+    numbers and truth values come as pandas' nullable types, so that nulls do not change
+    them, and moments with their zone.
 
     A joiner that looks at each streamed row on its own can let ``splits`` tasks share a
     key: streamed rows are dealt out by a hash of their fields, and held rows go to all
@@ -208,7 +216,6 @@ def co_group_stream(
     (both_held, both_streamed), fields, width = _staged([held, streamed])
     keys = _key_names(width)
     types = [{f.name: f.dataType for f in df.schema} for df in (held[0], streamed[0])]
-    frames = [to_arrow_schema(df.schema) for df in (held[0], streamed[0])]
     if splits > 1:
         parts = F.array(*[F.lit(i) for i in range(splits)])
         both_held = both_held.withColumn("_part", F.explode(parts))
@@ -228,23 +235,30 @@ def co_group_stream(
     result = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     arrow = to_arrow_schema(result)
 
-    def frame(batch: pa.RecordBatch, place: int) -> pd.DataFrame:
-        columns = [batch.column(n).cast(f.type) for n, f in zip(fields[place], frames[place], strict=True)]
-        return pa.RecordBatch.from_arrays(columns, schema=frames[place]).to_pandas(types_mapper=_WHOLE.get)
-
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, rest = [], iter(())
-        for batch in rows:
-            own = batch.column("_stream").to_numpy()
-            cut = int((own == 0).sum())  # held rows come first
-            if cut:
-                first.append(frame(batch.slice(0, cut), 0))
-            if cut < batch.num_rows:
-                rest = chain([batch.slice(cut)], rows)
-                break
-        together = pd.concat(first, ignore_index=True) if first else frames[0].empty_table().to_pandas(types_mapper=_WHOLE.get)
-        for made in function(together, (frame(b, 1) for b in rest)):
-            yield pa.RecordBatch.from_pandas(made[result.names], schema=arrow, preserve_index=False)
-
-    spread = union.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*sort)
-    return spread.groupBy(*keys).applyInArrow(run, result)
+    own_names = [held[0].columns, streamed[0].columns]
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pd.DataFrame, pd.DataFrame]]:
+        """Key, held rows and streamed rows of each run of a key."""
+        for batch in batches:
+            rows = batch.to_pandas(types_mapper=_NULLABLE.get)
+            sides = [rows[own].set_axis(names, axis=1) for own, names in zip(fields, own_names, strict=True)]
+            before = np.concatenate([[0], np.cumsum(rows["_stream"].to_numpy() == 0)])
+            for key, start, end in key_runs(rows[keys]):
+                cut = start + int(before[end] - before[start])  # held rows come first
+                yield key, sides[0].iloc[start:cut], sides[1].iloc[cut:end].reset_index(drop=True)
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        for _, own in groupby(pieces(batches), itemgetter(0)):
+            first, rest = [], iter(())
+            for _, mine, others in own:
+                first.append(mine)
+                if len(others):
+                    rest = chain([others], (later for _, _, later in own))
+                    break
+            yield from function(pd.concat(first, ignore_index=True) if len(first) > 1 else first[0].reset_index(drop=True), rest)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for made in gathered(frame[result.names] for frame in joined(batches)):
+            yield pa.RecordBatch.from_pandas(made, schema=arrow, preserve_index=False)
+
+    return dealt_by_key(union, keys).sortWithinPartitions(*sort).mapInArrow(run, result)
