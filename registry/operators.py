@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from registry.base import query, table
 from tidemark.functions import coerce, dates, text
 from tidemark.operators import fields, grouping, joins, observing, quality, rows
+from tidemark.sources import files
 
 # -- row functions
 
@@ -317,6 +318,35 @@ def _(spark, folder):
     return watched.where("value > 10").select("event_id")
 
 
+@query(
+    "counter_values",
+    """
+SELECT 'orders' AS counted, 'rows' AS counter, count(*) AS n FROM orders
+UNION ALL SELECT 'orders', 'pairs', 2 * count(*) FROM orders
+UNION ALL SELECT 'orders', 'dear', count(*) FILTER (o_totalprice > 1000) FROM orders
+UNION ALL SELECT 'orders', 'keys', CAST(sum(o_custkey) AS BIGINT) FROM orders WHERE o_custkey % 7 <> 0
+UNION ALL SELECT 'parties', 'rows', (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier)
+UNION ALL SELECT 'nobody', 'rows', 0""",
+)
+def _(spark, folder):
+    counters = observing.Counters()
+    orders = counters.count(
+        table(spark, folder, "orders").select("o_custkey", "o_totalprice"),
+        "orders",
+        rows=1,
+        pairs=2,
+        dear=F.col("o_totalprice") > 1000,
+        keys=F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")),
+    )
+    customers = counters.count(table(spark, folder, "customer").select("c_custkey"), "parties")
+    suppliers = counters.count(table(spark, folder, "supplier").select("s_suppkey"), "parties")
+    nobody = counters.count(table(spark, folder, "orders").where("o_custkey < 0"), "nobody")
+    for counted in (orders, customers, suppliers, nobody):
+        files.discard_rows(counted)
+    sums = [(group, name, n) for group, own in counters.values().items() for name, n in own.items()]
+    return spark.createDataFrame(sums, "counted string, counter string, n bigint")
+
+
 # -- text
 
 

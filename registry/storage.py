@@ -38,6 +38,28 @@ def _(spark, folder):
     return lines.select("line", (F.col("at") >= 0).alias("in_order"))
 
 
+# One file per market segment, with letters of two bytes; some lines end with a carriage return too.
+@query(
+    "text_lines_offset",
+    """
+SELECT segment, CAST(coalesce(sum(strlen(line) + 1 + part % 3 // 2) OVER w, 0) AS BIGINT) AS "offset", line
+FROM (SELECT c_mktsegment AS segment, c_custkey AS part, 'ü' || c_custkey || ' ' || c_name AS line FROM customer)
+WINDOW w AS (PARTITION BY segment ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+)
+def _(spark, folder):
+    path = place(spark, "text-offsets")
+    lines = table(spark, folder, "customer").select(
+        "c_mktsegment",
+        "c_custkey",
+        F.concat(F.lit("ü"), "c_custkey", F.lit(" "), "c_name", F.when(F.col("c_custkey") % 3 == 2, "\r").otherwise("")).alias("value"),
+    )
+    sorted_lines = lines.repartition("c_mktsegment").sortWithinPartitions("c_mktsegment", "c_custkey")
+    sorted_lines.drop("c_custkey").write.partitionBy("c_mktsegment").text(path)
+    found = files.read_offsets(spark, f"{path}/*", with_path=True)
+    segment = F.regexp_extract("path", "c_mktsegment=([^/]*)", 1)
+    return found.select(segment.alias("segment"), "offset", "line")
+
+
 @query("delimited_text", "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
 def _(spark, folder):
     path = place(spark, "delimited")

@@ -106,3 +106,30 @@ def test_counters(spark, df):
     with observing.status(spark, "at work"):
         assert spark.sparkContext.getLocalProperty("spark.job.description") == "at work"
     assert spark.sparkContext.getLocalProperty("spark.job.description") != "at work"
+
+
+def test_counters_add_up(spark, df):
+    counters = observing.Counters()
+    first = counters.count(df, "letters", a=F.col("s") == "a", twice=2)
+    second = counters.count(df.where("s = 'a'"), "letters", a=1)
+    third = counters.count(spark.range(10), "numbers", total=F.col("id"), odd=F.when(F.col("id") % 2 == 1, F.col("id")))
+    fourth = counters.count(spark.range(3))
+    fifth = counters.count(spark.range(0), "none")
+    for frame in (first, second, third, fourth, fifth):
+        frame.write.format("noop").mode("overwrite").save()
+    assert counters.values() == {
+        "letters": {"a": 4, "twice": 8}, "numbers": {"total": 45, "odd": 25}, "rows": {"rows": 3}, "none": {"rows": 0}
+    }
+
+
+def test_status_finds_its_jobs(spark):
+    assert observing.job_states(spark, "reading, part 1") == {}
+    with observing.status(spark, "reading, part 1"):
+        assert spark.range(10).repartition(2).count() == 10
+        with observing.status(spark, "inside"):
+            spark.range(3).collect()
+    spark.range(4).collect()
+    states = observing.job_states(spark, "reading, part 1")
+    inside = observing.job_states(spark, "inside")
+    assert inside and set(inside) < set(states) and set(states.values()) == {"SUCCEEDED"}
+    assert not spark.sparkContext.getJobTags()

@@ -360,3 +360,101 @@ def test_flow(spark, folder):
     scratch = Scratch(spark, "flow")
     assert flow.checkpoint(spark.range(3), scratch).count() == 3
     assert flow.assemble(spark.range(9), lambda d: d.where("id > 3"), lambda d: d.limit(2)).count() == 2
+
+
+def lines_with_offsets(data: bytes) -> list[tuple[int, str]]:
+    """Offsets and lines straight from the bytes: a line ends with a feed, a return, or both."""
+    found, start, at = [], 0, 0
+    while at < len(data):
+        if data[at] in b"\r\n":
+            found.append((start, data[start:at].decode()))
+            at += 2 if data[at : at + 2] == b"\r\n" else 1
+            start = at
+        else:
+            at += 1
+    return found + ([(start, data[start:].decode())] if start < len(data) else [])
+
+
+OFFSET_FILES = {
+    "plain": b"a\nbb\n\nccc\n", "no_end": "é\nü".encode(), "windows": "ä\r\n\r\nb\r\n".encode(),
+    "mac": b"a\rbb\r\rc\r", "mixed": b"a\rb\r\nc\n\rd\r\r\n\n", "empty": b"", "one": b"\n",
+    "many": "".join(f"{'x' * (i % 50)}ß{i}\n" for i in range(4000)).encode(),
+}
+
+
+@pytest.mark.parametrize("block", ["134217728", "777"])
+def test_byte_offsets_of_lines(spark, tmp_path, block):
+    """Files of any line ends, read whole or in many blocks, several to a task."""
+    for name, data in OFFSET_FILES.items():
+        (tmp_path / name).write_bytes(data)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        found = files.read_offsets(spark, [str(tmp_path), str(tmp_path)], with_path=True).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    got = {name: sorted((r["offset"], r["line"]) for r in found if r["path"].endswith("/" + name)) for name in OFFSET_FILES}
+    assert got == {name: lines_with_offsets(data) for name, data in OFFSET_FILES.items()}
+
+
+def test_every_reading_of_a_file_loses_its_header(spark, folder, rows_of):
+    for name, rows in (("a", [(1, "x"), (2, "y")]), ("b", [(3, "z")]), ("c", [])):
+        made = spark.createDataFrame(rows, "k int, s string").coalesce(1)
+        files.write_delimited(made, f"{folder}/{name}", ",", header=True)
+    paths = [f"{folder}/{name}" for name in "abcaa"]
+    got = files.read_delimited(spark, paths, ["k", "s"], ",", types=["int", "string"], header=True)
+    assert rows_of(got) == sorted([(1, "x"), (2, "y")] * 3 + [(3, "z")])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Python" not in plan and "MapInPandas" not in plan
+
+
+def test_headers_of_files_in_many_blocks(spark, folder, rows_of):
+    made = spark.range(3000).selectExpr("id AS k", "repeat('y', id % 40) AS s").repartition(3)
+    files.write_delimited(made, f"{folder}/big", "|", header=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+        got = files.read_delimited(spark, f"{folder}/big", delimiter="|", types=["long", "string"])
+        assert rows_of(got.selectExpr("k", "coalesce(s, '') AS s")) == rows_of(made)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_views_of_a_batch_go_live_together(spark, folder, monkeypatch):
+    """At every file-system call of a switch, a reader of several views sees one batch."""
+    served = BatchViews(spark, f"{folder}/views", keep=2)
+
+    def publish(n):
+        for view in VIEWS:
+            served.publish(view, spark.range(n))
+
+    publish(1)
+    served.replace()
+    old = served.live()
+    publish(2)
+    seen = []
+
+    def looked(method):
+        def call(self, *args, **named):
+            sizes = {served.live().read(view).count() for view in VIEWS} if not busy else set()
+            seen.extend([sizes] if sizes else [])
+            busy.append(1)
+            try:
+                return method(self, *args, **named)
+            finally:
+                busy.pop()
+
+        return call
+
+    busy = []
+    for name in ("replace_text", "write_text", "delete", "rename"):
+        monkeypatch.setattr(FileSystem, name, looked(getattr(FileSystem, name)))
+    served.replace()
+    monkeypatch.undo()
+    assert seen and all(sizes in ({1}, {2}) for sizes in seen)
+    assert {served.read(view).count() for view in VIEWS} == {2}
+    assert {old.read(view).count() for view in VIEWS} == {1}  # what was taken stays as it was
+    served.register()
+    assert spark.sql("SELECT (SELECT count(*) FROM page_view) + (SELECT count(*) FROM bounce_view)").first()[0] == 4

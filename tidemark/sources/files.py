@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import chain
+from functools import reduce
+from itertools import accumulate, chain, pairwise
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,8 +36,8 @@ def read_lines(
     spark: SparkSession, path: str | Sequence[str], pattern: str | None = None, order_key: str | None = None
 ) -> DataFrame:
     """Text lines as ``line``. Paths may hold wildcards; ``pattern`` filters file
-    names. ``order_key`` adds an id that rises along each file; it is not a byte
-    offset."""
+    names. ``order_key`` adds an id that rises along each file; ``read_offsets`` gives
+    byte offsets."""
     reader = spark.read
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -40,6 +45,76 @@ def read_lines(
     return lines.withColumn(order_key, F.monotonically_increasing_id()) if order_key else lines
 
 
+def _offsets_in_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines with the bytes of all lines before them in their block of a file. A task reads a
+    block in one go, so a line of another block or the first line begins anew."""
+    block, so_far = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = batch.column("size").to_numpy()
+        begins = batch.column("start").to_numpy()
+        paths = batch.column("path").dictionary_encode()
+        codes = paths.indices.to_numpy()
+        edges = np.flatnonzero((codes[1:] != codes[:-1]) | (begins[1:] != begins[:-1])) + 1
+        before = np.cumsum(sizes) - sizes
+        for start, end in pairwise([0, *edges.tolist(), len(sizes)]):
+            here = (paths.dictionary[int(codes[start])].as_py(), int(begins[start]))
+            so_far = so_far if here == block else 0
+            block = here
+            shift = so_far - before[start]
+            so_far = int(before[end - 1] + sizes[end - 1] + shift)
+            before[start:end] += shift
+        lines, rows = batch.column("line"), None
+        if pc.any(pc.match_substring(lines, "\r")).as_py():
+            parts = [_ended_by_returns(line) for line in lines.view(pa.binary()).to_pylist()]
+            rows = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+            lines = pa.array([line for own in parts for _, line in own], pa.binary()).view(pa.string())
+            before = before[rows] + np.array([skip for own in parts for skip, _ in own], dtype=np.int64)
+        kept = [batch.column(c) if rows is None else batch.column(c).take(pa.array(rows)) for c in ("path", "start")]
+        yield pa.RecordBatch.from_arrays([lines, *kept, pa.array(before)], names=["line", "path", "start", "before"])
+
+
+def _ended_by_returns(line: bytes) -> list[tuple[int, bytes]]:
+    """``(place, line)`` of the lines in what a line feed ended: carriage returns inside end lines too, and
+    one at the end is part of the line break."""
+    parts = line.split(b"\r")
+    if len(parts) > 1 and not parts[-1]:
+        parts.pop()
+    places = accumulate((len(p) + 1 for p in parts[:-1]), initial=0)
+    return list(zip(places, parts, strict=True))
+
+
+def read_offsets(spark: SparkSession, path: str | Sequence[str], pattern: str | None = None, with_path: bool = False) -> DataFrame:
+    """Text lines as ``offset, line``: the place of the line's first byte in its file, or in the
+    unpacked text of a compressed one. ``with_path`` adds the file.
+
+    Lines end with a line feed, a carriage return, or both; what ended a line is not in it, but
+    counts as bytes. An end of file after a line break begins no line. Offsets are a distributed
+    prefix sum: bytes are summed up within each block where it is read, the totals of the blocks (one row
+    each) are summed per file, and a line's offset is its place in the block beyond the
+    blocks before. So the lines themselves are read twice and not shuffled. A path listed
+    twice is read once.
+    """
+    reader = spark.read.option("lineSep", "\n")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    placed = reader.text(list(dict.fromkeys(_paths(path)))).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        (F.octet_length("value") + 1).cast("bigint").alias("size"),
+    )
+    totals = placed.groupBy("path", "start").agg(F.sum("size").alias("bytes"))
+    earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = totals.select(
+        F.col("path").alias("file"), F.col("start").alias("block"), F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("first")
+    )
+    summed = placed.mapInArrow(_offsets_in_block, "line string, path string, start bigint, before bigint")
+    found = summed.join(firsts, (F.col("path") == F.col("file")) & (F.col("start") == F.col("block")))
+    return found.select((F.col("first") + F.col("before")).alias("offset"), "line", *(["path"] if with_path else []))
+
+
 def write_lines(
     df: DataFrame, path: str, mode: str = "KEEP", compression: str = "DEFAULT", parts: int | None = None
 ) -> None:
@@ -131,25 +206,27 @@ def parse_delimited(
     return columns, well_formed
 
 
-def _after_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Lines but the first of every file. A task reads a block of a file in one go, so
-    the first line is where a block at place 0 begins."""
-    block = None
-    for rows in batches:
-        blocks = list(zip(rows["path"], rows["start"]))
-        begins = [now != before for now, before in zip(blocks, [block, *blocks])]
-        block = blocks[-1] if blocks else block
-        yield rows.loc[~((rows["start"] == 0) & begins), ["value"]]
+def _distinct_readings(paths: Sequence[str]) -> list[list[str]]:
+    """The paths in as many lists as the most frequent one is named, each at most once in each."""
+    times = Counter(paths)
+    return [[p for p, n in times.items() if n > turn] for turn in range(max(times.values()))]
 
 
 def _whole_lines(spark: SparkSession, paths: list[str], header: bool) -> DataFrame:
-    lines = spark.read.text(paths)
+    """Lines, but the first one of every file with ``header``; a file read twice has two.
+
+    The line to leave out is the one with the least id of those in the block at place 0; ids rise along
+    a block. They are found in one aggregate, with one row per file, over the first blocks."""
     if not header:
-        return lines
-    placed = lines.select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
-    )
-    return placed.mapInPandas(_after_headers, "value string")
+        return spark.read.text(paths)
+    read = []
+    for some in _distinct_readings(paths):
+        lines = spark.read.text(some).select("value", F.monotonically_increasing_id().alias("id"))
+        start, file = F.col("_metadata.file_block_start"), F.col("_metadata.file_path")
+        placed = spark.read.text(some).select(F.monotonically_increasing_id().alias("id"), file.alias("path"), start.alias("start"))
+        first = placed.where("start = 0").groupBy("path").agg(F.min("id").alias("id"))
+        read.append(lines.join(first.select("id"), "id", "left_anti").select("value"))
+    return reduce(lambda a, b: a.unionByName(b), read)
 
 
 def header_names(
