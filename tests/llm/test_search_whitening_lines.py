@@ -157,7 +157,27 @@ def test_filter_finds_the_top_of_a_flat_spectrum():
 
     found, turn, residual = whitening.leading(times, 90, 4)
     assert np.allclose(found, values[:4], rtol=1e-12) and residual <= 1e-10
-    assert np.abs(matrix @ turn - turn * found).max() < 1e-9 and set(passes) == {(90, 8)}
+    assert np.abs(matrix @ turn - turn * found).max() < 1e-9 and set(passes) == {(90, 1), (90, 12)}
+    assert passes.count((90, 1)) == whitening.LANCZOS
+
+
+@pytest.mark.parametrize("guess", [0.0, 8.9, 9.4, 10.5, 11.7, 50.0])
+def test_a_wrong_guess_of_the_least_value_does_no_harm(monkeypatch, guess):
+    rng = np.random.default_rng(4)
+    basis = np.linalg.qr(rng.standard_normal((90, 90)))[0]
+    values = np.concatenate([[40.0, 12.5, 12.4, 12.1], np.linspace(11.5, 9, 86)])
+    matrix = basis * values @ basis.T
+    monkeypatch.setattr(whitening, "least", lambda *_: guess)
+    found, turn, residual = whitening.leading(lambda q: matrix @ q, 90, 4)
+    assert np.allclose(found, values[:4], rtol=1e-12) and residual <= 1e-10
+
+
+def test_least_value_is_met_from_below():
+    rng = np.random.default_rng(5)
+    basis = np.linalg.qr(rng.standard_normal((60, 60)))[0]
+    values = np.linspace(50, 75, 60)
+    assert 40 < whitening.least(lambda q: (basis * values @ basis.T) @ q, 60, 8) < 51
+    assert np.isclose(whitening.least(lambda q: 3.0 * q, 60, 8), 3.0)
 
 
 def test_whitening_of_odd_tables(spark):

@@ -7,7 +7,8 @@ through a Chebyshev polynomial of the covariance, whose recurrence needs one pro
 ``X'(XQ)`` of the centred vectors per step. Each product is one Spark job over blocks of
 vectors; tasks return sums of the size of ``Q``. The driver adds them; those of more than
 ``FAN_IN`` tasks meet in groups of that many first. The polynomial is bounded on the unwanted spectrum and grows
-fast above it. QR and a Rayleigh-Ritz step follow, until the residual of every
+fast above it; a few Lanczos steps say where that spectrum begins. A wrong guess shows in the
+values of the block, and the spectrum is then taken to begin at 0. QR and a Rayleigh-Ritz step follow, until the residual of every
 wanted pair is at most ``TOLERANCE`` times the largest eigenvalue, or has stopped falling
 below ``SETTLED`` (the limit of double precision); an iteration that does neither within
 ``ROUNDS`` rounds raises an error.
@@ -39,8 +40,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 SCALE, OFFSET = 64, 1_000_000
-#: Directions iterated per component wanted.
-WIDTH = 2
+#: Directions iterated per component wanted; steps that look for the least eigenvalue.
+WIDTH, LANCZOS = 3, 8
 #: Residual against the largest eigenvalue at which a pair is certified.
 TOLERANCE, SETTLED = 1e-13, 1e-10
 ROUNDS, DEGREE = 200, 24
@@ -191,23 +192,43 @@ class Covariance:
         return float(np.abs(found[: size * size].reshape(size, size) - np.outer(middle, middle) - np.eye(size)).max())
 
 
-def _filtered(times, q: np.ndarray, degree: int, cut: float, top: float) -> np.ndarray:
-    """A Chebyshev polynomial of the matrix, bounded on [0, cut] and 1 at ``top``, times ``q``."""
-    half = cut / 2
-    first = half / (top - half)
-    sigma, before, now = first, q, (times(q) - half * q) * (first / half)
+def _filtered(times, q: np.ndarray, degree: int, low: float, cut: float, top: float) -> np.ndarray:
+    """A Chebyshev polynomial of the matrix, bounded on [low, cut] and 1 at ``top``, times ``q``."""
+    half, middle = (cut - low) / 2, (cut + low) / 2
+    first = half / (top - middle)
+    sigma, before, now = first, q, (times(q) - middle * q) * (first / half)
     for _ in range(degree - 1):
         following = 1 / (2 / first - sigma)
-        before, now = now, (2 * following / half) * (times(now) - half * now) - sigma * following * before
+        before, now = now, (2 * following / half) * (times(now) - middle * now) - sigma * following * before
         sigma = following
     return now
 
 
+def least(times, length: int, steps: int) -> float:
+    """About the least eigenvalue, rather below than above it, by Lanczos steps from a random vector."""
+    basis = [np.random.RandomState(6).standard_normal(length)]
+    basis[0] /= np.linalg.norm(basis[0])
+    diagonal, beside = [], []
+    for _ in range(min(steps, length)):
+        step = times(basis[-1][:, None])[:, 0]
+        diagonal.append(float(step @ basis[-1]))
+        held = np.array(basis)
+        for _ in range(2):  # once more for what rounding left
+            step = step - held.T @ (held @ step)
+        norm = float(np.linalg.norm(step))
+        values, turn = np.linalg.eigh(np.diag(diagonal) + np.diag(beside, 1) + np.diag(beside, -1))
+        if norm <= 1e-12 * max(abs(values[-1]), 1e-300):
+            return float(values[0])
+        beside.append(norm)
+        basis.append(step / norm)
+    return float(values[0] - norm * abs(turn[-1, 0]))
+
+
 def leading(times: Callable[[np.ndarray], np.ndarray], length: int, k: int) -> tuple[np.ndarray, np.ndarray, float]:
     """``(values, vectors, residual)``: the ``k`` largest eigenpairs of a symmetric matrix without negative eigenvalues."""
     width = min(length, WIDTH * k)
     q = np.linalg.qr(np.random.RandomState(5).standard_normal((length, width)))[0]
-    last = math.inf
+    last, low = math.inf, max(0.0, least(times, length, LANCZOS)) if width < length else 0.0
     for _ in range(ROUNDS):
         product = times(q)
         small = q.T @ product
@@ -222,11 +243,13 @@ def leading(times: Callable[[np.ndarray], np.ndarray], length: int, k: int) -> t
             return values[:k], q[:, :k], residual
         last = residual
         cut = float(max(values[-1], 1e-12 * top))
-        lift = math.acosh(max(1.0, 2 * float(values[k - 1]) / cut - 1))
+        if cut <= low * (1 + 1e-9):
+            low = 0.0
+        lift = math.acosh(max(1.0, 1 + 2 * (float(values[k - 1]) - cut) / (cut - low)))
         needed = math.log(10 * residual / TOLERANCE) / max(lift, 1e-3)
         # The cut rises while the block turns, so the first polynomials are short.
         degree = int(min(max(needed, 2), DEGREE if residual < 1e-2 else 8))
-        q = np.linalg.qr(_filtered(times, q, degree, cut, top))[0]
+        q = np.linalg.qr(_filtered(times, q, degree, low, cut, top))[0]
     raise ArithmeticError(f"no certified components after {ROUNDS} rounds: residual {residual:.1e}")
 
 
@@ -241,18 +264,20 @@ def whiten(vectors: DataFrame, k: int = 16, *, key: str = "vec_id", column: str
         room.close()
         return empty
     length, count = max(((r["length"], r["n"]) for r in sizes), key=lambda x: (x[1], x[0]))
-    blocks = blocks.where(F.col("length") == length)
+    blocks = blocks.where(F.col("length") == length).persist()
     total = sums(blocks, length)
     mean = np.array([t / count for t in total])
     cover = Covariance(blocks, mean, count)
     values, found, _ = leading(cover.times, length, min(k, length))
     kept = int((values > 1e-13 * max(length, 1) * values[0]).sum()) if values[0] > 0 else 0
     if not kept:
+        blocks.unpersist()
         room.close()
         return empty
     scaled = found[:, :kept] / np.sqrt(values[:kept])
     shares, error = values[:kept] / cover.trace(), cover.whitened_error(scaled)
-    room.close()  # what follows needs only the small figures above
+    blocks.unpersist()  # what follows needs only the small figures above
+    room.close()
 
     def deviations(q: np.ndarray) -> list[int | None]:
         most = max(abs(int(q.max())), abs(int(q.min()))) * count + max(abs(t) for t in total)
