@@ -270,6 +270,36 @@ def test_nearest(spark):
     assert abs(nearest.chi_square_quantile(0.95, 8) - 15.507) < 1e-3
 
 
+@pytest.mark.parametrize("clusters", [1, 40])
+def test_the_stopping_test_stops(clusters):
+    """Fewer vectors are verified than there are, far fewer where vectors stand in clusters; most neighbours are found."""
+    rng = np.random.default_rng(clusters)
+    base = 4 * rng.standard_normal((clusters, 48))[rng.integers(0, clusters, 6000)] * (clusters > 1) + rng.standard_normal((6000, 48))
+    most = (base**2).sum(axis=1).max()
+    directions = rng.standard_normal((49, nearest.DIMENSIONS))
+    points = np.column_stack([base, np.sqrt(np.maximum(most - (base**2).sum(axis=1), 0))]) @ directions
+    tree, ids = nearest.Tree(points), np.arange(6000)
+    asked = base[::30]
+    square = (asked**2).sum(axis=1)
+    limit = nearest.chi_square_quantile(nearest.TRUST, nearest.DIMENSIONS)
+    scores, rows, verified = nearest._search(
+        tree, base[tree.order], points[tree.order], ids[tree.order], asked, np.column_stack([asked, np.zeros(200)]) @ directions,
+        np.full(200, -np.inf), limit, lambda s: most + square - 2 * s, 10,
+    )
+    truth = np.argsort(-(asked @ base.T), axis=1)[:, :10]
+    hits = sum(len(set(tree.order[r]) & set(t)) for r, t in zip(rows, truth))
+    assert hits >= 0.9 * truth.size
+    assert verified < (0.95 if clusters == 1 else 0.6) * 200 * 6000
+    assert np.allclose(np.sort(scores, axis=1), np.sort(np.take_along_axis(asked @ base.T, tree.order[rows], axis=1), axis=1))
+
+
+def test_ties_at_the_end_of_a_result_go_to_smaller_ids():
+    scores = np.array([[3.0, 1.0, 1.0, 2.0, 1.0], [0.0, 0.0, 0.0, 0.0, 0.0]])
+    rows = np.array([[0, 1, 2, 3, 4], [4, 3, 2, 1, 0]])
+    best, kept = nearest._best(scores, rows, np.array([50, 90, 20, 70, 10]), 3)
+    assert {*kept[0]} == {0, 3, 4} and {*kept[1]} == {4, 2, 0} and best[1].tolist() == [0.0] * 3
+
+
 def test_code_lengths_are_optimal_under_the_limit():
     counts = np.array([0, 1, 1, 2, 3, 5, 8, 13, 21, 34, 55, 0])
     for longest in (4, 5, 12):

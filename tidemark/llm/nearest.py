@@ -3,10 +3,12 @@
 Vectors are lifted by one coordinate so that the largest inner product is the
 smallest distance, then projected by ``DIMENSIONS`` Gaussian directions. For a pair at
 distance ``d``, the squared projected distance over ``d^2`` follows a chi-square
-distribution with as many degrees of freedom. Projected neighbours are taken leaf by
-leaf, nearest leaf first, and their inner products computed; the search stops when the
-next leaf is so far that a neighbour better than the k-th found would be seen there
-with a chance of at most ``1 - TRUST``.
+distribution with as many degrees of freedom. The projected neighbours nearest to a query
+are verified first, by their inner products. Then leaf after leaf of the tree is verified that
+holds a projected point so near that a neighbour better than the k-th found could be there; the
+search of a query stops when the test says of all other points that such a neighbour would be seen
+nearer with a chance of ``TRUST``. Queries are worked on in blocks: one matrix
+product per leaf serves all whose search is still open there.
 
 The upper levels of the kd-tree are fitted on at most ``SAMPLE`` vectors and deal all
 vectors into cells; a task searches one cell with a tree of its own. A query first
@@ -30,12 +32,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common
 
-DIMENSIONS = 8
+DIMENSIONS = 24
 SAMPLE = 16_384
 #: Chance with which the stopping test keeps a true neighbour.
-TRUST = 0.99
-#: Vectors of a cell, and of a leaf of its tree.
-CELL, LEAF = 16_384, 64
+TRUST = 0.8
+#: Vectors of a cell, and of a leaf of its tree; queries of a block.
+CELL, LEAF, QUERIES = 16_384, 64, 256
 
 
 def chi_square_quantile(share: float, freedom: int) -> float:
@@ -107,45 +109,77 @@ def _gap(point: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """kd-tree of the projected points of a cell, down to leaves with tight boxes."""
+    """kd-tree of the projected points of a cell: ``order`` puts the points of a leaf side by side."""
 
     def __init__(self, points: np.ndarray):
-        self.leaves: list[np.ndarray] = []
+        leaves: list[np.ndarray] = []
         stack = [np.arange(len(points))]
         while stack:
             own = stack.pop()
             if len(own) <= LEAF:
-                self.leaves.append(own)
+                leaves.append(own)
                 continue
             spread = points[own].max(axis=0) - points[own].min(axis=0)
             order = own[np.argsort(points[own, int(np.argmax(spread))], kind="stable")]
             stack += [order[: len(own) // 2], order[len(own) // 2 :]]
-        self.low = np.array([points[x].min(axis=0) for x in self.leaves])
-        self.high = np.array([points[x].max(axis=0) for x in self.leaves])
+        self.order = np.concatenate(leaves)
+        self.ends = np.cumsum([len(x) for x in leaves])
 
 
-def _search(tree, vectors, ids, query, point, own, limit, bound, k):
-    """The best ``k`` rows of a cell for one query: ``(score, row)``, best first.
+def _best(scores: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` highest scores of each line with their rows; equal ones by smaller id. Not in order."""
+    if scores.shape[1] <= k:
+        return scores, rows
+    top = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(scores, top, axis=1).min(axis=1)
+    tied = np.flatnonzero(((scores >= least[:, None]).sum(axis=1) > k) & np.isfinite(least))
+    for line in tied:
+        top[line] = np.lexsort((ids[rows[line]], -scores[line]))[:k]
+    return np.take_along_axis(scores, top, axis=1), np.take_along_axis(rows, top, axis=1)
 
-    ``limit`` is the chi-square quantile, ``bound`` gives the squared distance of an
-    inner product.
+
+def _search(tree, vectors, points, ids, queries, places, known, limit, bound, k):
+    """The best ``k`` rows of a cell for a block of queries: ``(scores, rows, verified)``.
+
+    ``vectors``, ``points`` and ``ids`` are in the tree's order. ``places`` are the projected
+    queries, ``known`` the k-th scores found elsewhere. ``limit`` is the chi-square quantile;
+    ``bound`` gives the squared distances of inner products. A score of minus infinity stands
+    for no row; ``verified`` counts the inner products taken.
     """
-    gaps = _gap(point, tree.low, tree.high)
-    order = np.argsort(gaps, kind="stable")
-    scores, rows, at, step = np.empty(0), np.empty(0, dtype=np.int64), 0, 4
-    while at < len(order):
-        if len(scores) >= k:
-            worst = scores[k - 1]
-            if gaps[order[at]] > limit * max(bound(worst), 0.0):
-                break
-        more = np.concatenate([tree.leaves[x] for x in order[at : at + step]])
-        at += step
-        more = more[ids[more] != own]
-        found = vectors[more] @ query
-        scores, rows = np.concatenate([scores, found]), np.concatenate([rows, more])
-        best = np.lexsort((ids[rows], -scores))[:k]
-        scores, rows = scores[best], rows[best]
-    return scores, rows
+    far = (places**2).sum(axis=1)[:, None] + (points**2).sum(axis=1) - 2 * (places @ points.T)
+    lines, near = np.arange(len(queries))[:, None], min(4 * k, len(vectors))
+    rows = np.argpartition(far, near - 1, axis=1)[:, :near] if near < len(vectors) else np.tile(np.arange(near), (len(queries), 1))
+    seen = np.zeros(far.shape, dtype=bool)
+    seen[lines, rows] = True
+    scores = np.einsum("qd,qnd->qn", queries, vectors[rows])
+    verified = scores.size
+    scores, rows = _best(scores, rows, ids, k)
+    starts = np.concatenate([[0], tree.ends[:-1]])
+    nearest = np.minimum.reduceat(far, starts, axis=1)
+
+    def reach() -> np.ndarray:
+        """Projected distance up to which a better neighbour is looked for."""
+        worst = scores.min(axis=1) if scores.shape[1] == k else np.full(len(scores), -np.inf)
+        return limit * np.maximum(bound(np.maximum(worst, known)), 0)
+
+    within = reach()
+    for leaf in np.argsort(nearest.min(axis=0)):
+        start, end = starts[leaf], tree.ends[leaf]
+        still = np.flatnonzero(nearest[:, leaf] <= within)
+        if not len(still):
+            continue
+        found = queries[still] @ vectors[start:end].T
+        verified += found.size
+        found[seen[still, start:end]] = -np.inf
+        own = np.broadcast_to(np.arange(start, end), found.shape)
+        both = _best(np.hstack([scores[still], found]), np.hstack([rows[still], own]), ids, k)
+        if scores.shape[1] < both[0].shape[1]:
+            grow = both[0].shape[1] - scores.shape[1]
+            scores = np.pad(scores, ((0, 0), (0, grow)), constant_values=-np.inf)
+            rows = np.pad(rows, ((0, 0), (0, grow)))
+        scores[still], rows[still] = both
+        within = reach()
+    return scores, rows, verified
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", column: str = "embedding") -> DataFrame:
@@ -214,19 +248,24 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
         out = []
         if len(left) and len(right):
             base = np.stack(left["v"].to_list())
-            ids, alike = left["id"].to_numpy(), left["ids"].to_list()
-            tree = Tree(lifted(base))
-            for own, x, known in zip(right["id"], right["v"], right["known"]):
-                square = float(x @ x)
-
-                def bound(score, square=square, known=known):
-                    score = score if np.isnan(known) else max(score, known)
-                    return most + square - 2 * score
-
+            points = lifted(base)
+            tree = Tree(points)
+            base, points = base[tree.order], points[tree.order]
+            ids, alike = left["id"].to_numpy()[tree.order], left["ids"].to_numpy()[tree.order]
+            for start in range(0, len(right), QUERIES):
+                some = right.iloc[start : start + QUERIES]
+                asking = np.stack(some["v"].to_list())
+                square = (asking * asking).sum(axis=1)
+                places = np.column_stack([asking, np.zeros(len(asking))]) @ directions
+                known = some["known"].fillna(-np.inf).to_numpy()
                 # A row of copies that holds the query itself still stands for the others.
-                scores, rows = _search(tree, base, ids, x, own_point(x), None, limit, bound, k + 1)
-                for s, r in zip(scores, rows):
-                    out += [(own, i, float(s)) for i in alike[r] if i != own]
+                scores, rows, _ = _search(
+                    tree, base, points, ids, asking, places, known, limit, lambda s, q=square: most + q - 2 * s, k + 1
+                )
+                for own, line, found_rows in zip(some["id"], scores, rows, strict=True):
+                    for s, r in zip(line.tolist(), found_rows.tolist()):
+                        if s > -math.inf:
+                            out += [(own, i, s) for i in alike[r] if i != own]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     def found(questions: DataFrame) -> DataFrame:
