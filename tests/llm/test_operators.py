@@ -229,14 +229,19 @@ def test_mixing(spark, nothing, clashing):
     assert len(mixed) == 302 and (mixed._rate >= 0).all()
     spent = {d: sum(t * r * p[d] for t, r, p in zip(mixed._tokens, mixed._rate, mixed._domains)) for d in ("high", "low")}
     assert abs(spent["high"] / sum(spent.values()) - 0.9) < 1e-3 and abs(sum(spent.values()) / mixed._tokens.sum() - 1) < 1e-3
-    bounded = mixing.mix(documents, labels, domain, {"high": 0.9, "low": 0.1}, most=1.0)
-    drawn = mixing.draw(bounded)
+    drawn = mixing.draw(documents, labels, domain, {"high": 0.9, "low": 0.1}, most=1.0)
     assert drawn.columns == documents.columns
     ids = [r["doc_id"] for r in drawn.collect()]
     assert len(ids) == len(set(ids)) and sum(k % 3 != 0 for k in ids if k < 300) >= 195 and sum(k % 3 == 0 for k in ids if k < 300) < 60
     assert mixing.mix(nothing, labels, domain, {"high": 1.0}).count() == 0
-    unlabelled = mixing.mix(clashing.drop("_tokens", "_key"), labels.limit(0), domain, {"high": 1.0})
+    unlabelled = mixing.mix(clashing, labels.limit(0), domain, {"high": 1.0})
     assert {r["_rate"] for r in unlabelled.collect()} == {1.0}
+    every = clashing.withColumns({n: F.lit("x") for n in ("doc", "domains", "rate", "hash", "copies", "copy", "_rate", "_domains", "_id", "_hash")})
+    whole = mixing.draw(every, labels.limit(0), domain, {"high": 1.0})
+    assert whole.columns == every.columns
+    assert sorted(map(repr, whole.collect())) == sorted(map(repr, every.collect()))
+    named = mixing.mix(every, spark.createDataFrame([(1, True), (2, False)], "doc_id long, junk boolean"), domain, {"high": 0.5, "low": 0.5})
+    assert named.count() == every.count() and {r["_key"] for r in named.select("_key").collect()} == {"x"}
 
 
 def test_nearest(spark):
@@ -351,23 +356,33 @@ def test_secrets(spark, nothing, clashing):
     assert clean[3]["text"] is None and clean[5]["text"] == texts[4][2]
     assert credentials.report(nothing, owner, repository).count() == 0
     same = credentials.redact(clashing, owner, repository)
-    assert same.columns == clashing.columns and same.count() == clashing.count()
+    assert same.columns == clashing.columns
+    assert sorted(map(repr, same.collect())) == sorted(map(repr, clashing.collect()))
+    named = frame.withColumns({n: F.lit("x") for n in ("doc", "key", "hash", "all", "row", "_key", "_id", "_hash")})
+    mine = {r["doc_id"]: r for r in credentials.redact(named, owner, repository).collect()}
+    assert all(mine[k]["text"] == r["text"] and mine[k]["_key"] == mine[k]["all"] == "x" for k, r in clean.items())
 
 
 def test_copies_of_a_document_do_not_share_its_secrets(spark):
-    key, other = "k9Zq4WmN7rT2vX8bYc3D", "Q7Zq4WmN7rT2vX8bYc3e"
+    """A key in exact copies of one text is its owner's; one whose paragraph went into many texts is an example."""
+    key, other, third, own = "k9Zq4WmN7rT2vX8bYc3D", "Q7Zq4WmN7rT2vX8bYc3e", "x7Zq4WmN7rT2vX8bYc3f", "y7Zq4WmN7rT2vX8bYc3g"
     copied = f"{'some words ' * 9} token = \"{key}\" {key} {'more words ' * 9}"
-    texts = [(k, f"src{k}", copied) for k in range(4)] + [(9, "src9", "Edited far off. " + copied)]
-    texts += [(20 + k, f"src{k}", f"{'xyz'[k] * 70} {other} is widely known") for k in range(3)]
-    frame = spark.createDataFrame([(k, t, "en", s, None) for k, s, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    paragraph = f"{'tutorial words ' * 9} {other} {'more words ' * 9}"
+    texts = [(k, f"src{k}", "en", copied) for k in range(4)]
+    texts += [(100 + k, f"src{k}", "en", f"text {k}. {paragraph}") for k in range(60)]
+    for n, pair in enumerate(("ab", "ac", "ae")):
+        texts += [(200 + 10 * n + k, who, "en", f"{'uvw'[n] * 70} {third} here") for k, who in enumerate(pair)]
+    # One owner has it in seven repositories, three others in one each.
+    texts += [(300 + k, "own", f"l{k}", f"{k} {own}") for k in range(7)] + [(310 + k, f"o{k}", "en", f"copy {k} {own}") for k in range(3)]
+    frame = spark.createDataFrame([(k, t, lang, s, None) for k, s, lang, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
     owner, repository = F.col("source"), F.concat_ws("/", "source", "lang")
     found = {r["doc_id"]: r for r in credentials.report(frame, owner, repository, 2).collect()}
-    assert all((found[k]["n_live"], found[k]["n_shared"]) == (3, 0) for k in (0, 1, 2, 3, 9))
-    assert all(found[k]["spans"] == "" for k in (20, 21, 22))
-    strict = {r["doc_id"]: r["n_live"] for r in credentials.report(frame, owner, repository).collect()}
-    assert strict == {k: 3 * (k < 10) for k in strict}
-    _, spans = credentials.scan(frame, owner, repository)
-    assert {(r["owners"], r["repositories"]) for r in spans.collect()} == {(1, 1)}
+    assert all((found[k]["n_live"], found[k]["n_shared"]) == (3, 0) for k in range(4))
+    assert all(found[k]["spans"] == "" for k in [*range(100, 160), 200, 201, 210, 211, 220, 221])
+    assert all(found[k]["n_live"] == 1 for k in [*range(300, 307), *range(310, 313)])
+    _, spans = credentials.candidates(frame, owner, repository)
+    counts = {(r["owners"], r["repositories"], r["leading"]) for r in credentials.ownership(spans).collect()}
+    assert counts == {(1, 1, 1), (60, 60, 1), (4, 4, 1), (4, 10, 7)}
 
 
 def test_live_tokens_may_have_their_digit_or_letter_late(spark):

@@ -2,11 +2,11 @@
 
 Base kinds are fixed patterns. The method looks at every candidate, also at long
 mixed tokens of no known kind, hashes it, and counts over the whole corpus how
-many independent owners and repositories have it. Owners are counted over distinct
-contexts, the text around a candidate: all copies of one context, be it a copy of the
-whole text or a near copy, count for one owner, the first by name, so a document that
-was copied into other sources does not make its secrets examples. A value that more
-than ``max_owners`` independent owners have is a shared example, any other looks like
+many distinct owners and repositories have it. A value that stands in one text only, however
+often that whole text was copied, has one owner: copies of a document do not make its secrets
+examples. A value in several texts counts all their owners, also where a paragraph around it was
+copied along. If more than ``max_owners`` have it, it is a shared example, unless most of
+the repositories with it belong to one owner, whose value it then is; any other looks like
 a live credential. Live tokens of no known kind are added as spans of kind ``live``.
 
 Only DataFrame functions are used. A null text is empty. Texts without spans have
@@ -33,8 +33,6 @@ LIVE = (
     r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}"
 )
 KINDS = ("assign", "access", "hex", "live")
-#: Signs on either side of a match that make its context, and the most neighbouring matches they can reach over.
-AROUND, NEIGHBOURS = 64, 10
 
 
 def _hits(text: Column) -> list[Column]:
@@ -72,15 +70,16 @@ def candidates(documents: DataFrame, owner: Column, repository: Column) -> tuple
         "doc_id",
         owner.alias("owner"),
         repository.alias("repository"),
+        F.xxhash64(text).alias("whole"),
         F.array_compact(F.array(*_hits(text))).alias("found"),
     )
     held = room.save(found, "found")
-    one = held.select("row", "owner", "repository", F.explode("found").alias("f"))
-    one = one.select("row", "owner", "repository", "f.kind", F.posexplode(F.arrays_zip("f.gaps", "f.hits", "f.values")))
+    one = held.select("row", "owner", "repository", "whole", F.explode("found").alias("f"))
+    one = one.select("row", "owner", "repository", "whole", "f.kind", F.posexplode(F.arrays_zip("f.gaps", "f.hits", "f.values")))
     order = Window.partitionBy("row", "kind").orderBy("pos")
     size = F.coalesce(F.length("col.hits"), F.lit(0))
     end = F.sum(F.length("col.gaps") + size).over(order)
-    spans = one.withColumns({"end": end, "start": end - size, "context": _context(order)}).where(
+    spans = one.withColumns({"end": end, "start": end - size}).where(
         F.col("col.hits").isNotNull() & ((F.col("kind") != "assign") | (F.length("col.values") >= 8))
     )
     return held.select("row", "doc_id"), spans.select(
@@ -90,43 +89,31 @@ def candidates(documents: DataFrame, owner: Column, repository: Column) -> tuple
         "kind",
         "start",
         "end",
-        "context",
+        "whole",
         F.sha2(F.col("col.values"), 256).alias("hash"),
     )
 
 
-def _context(order) -> Column:
-    """Digest of the text around the match of a row, also where other matches stand in it."""
-
-    def ends(text: Column) -> Column:
-        short = F.concat(F.left(text, F.lit(AROUND)), F.right(text, F.lit(AROUND)))
-        return F.when(F.length(text) > 2 * AROUND, short).otherwise(text)
-
-    gap = ends(F.col("col.gaps"))
-    piece = F.concat(gap, ends(F.coalesce(F.col("col.hits"), F.lit(""))))
-    before = F.array_join(F.collect_list(piece).over(order.rowsBetween(-NEIGHBOURS, -1)), "")
-    after = F.array_join(F.collect_list(piece).over(order.rowsBetween(1, NEIGHBOURS)), "")
-    around = (F.right(F.concat(before, gap), F.lit(AROUND)), F.left(after, F.lit(AROUND)))
-    return F.sha2(F.to_json(F.struct(*(c.alias(n) for c, n in zip(around, "ba", strict=True)))), 256)
-
-
 def ownership(spans: DataFrame) -> DataFrame:
-    """``(hash, owners, repositories)`` of every candidate; each context is counted for one repository of one owner."""
+    """``(hash, owners, repositories, leading)`` of every candidate: distinct owners and repositories, and how many of
+    these the owner with most has. All are 1 where all that hold it are copies of one text."""
     none = F.lit("")
-    holder = F.struct(F.coalesce("owner", none).alias("o"), F.coalesce("repository", none).alias("r"))
-    first = spans.groupBy("hash", "context").agg(F.min(holder).alias("holder"))
-    once = first.select("hash", "holder.o", "holder.r").distinct()
-    by_owner = once.groupBy("hash", "o").agg(F.count("*").alias("n"))
-    return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
+    ends = [F.min("low").alias("low"), F.max("high").alias("high")]
+    holder = [F.coalesce("owner", none).alias("o"), F.coalesce("repository", none).alias("r")]
+    each = spans.select("hash", *holder, "whole").groupBy("hash", "o", "r").agg(F.min("whole").alias("low"), F.max("whole").alias("high"))
+    by_owner = each.groupBy("hash", "o").agg(F.count("*").alias("n"), *ends)
+    counted = {"owners": F.count("*"), "repositories": F.sum("n"), "leading": F.max("n")}
+    known = by_owner.groupBy("hash").agg(*(c.alias(n) for n, c in counted.items()), *ends)
+    one_text = F.col("low") == F.col("high")
+    return known.select("hash", *(F.when(one_text, F.lit(1)).otherwise(F.col(n)).cast("long").alias(n) for n in counted))
 
 
 def scan(documents: DataFrame, owner: Column, repository: Column, max_owners: int = 1) -> tuple[DataFrame, DataFrame]:
     """Rows with their id, and spans ``(row, kind, start, end, hash, owners, repositories, live)``."""
     rows, spans = candidates(documents, owner, repository)
     known = spans.join(ownership(spans), "hash")
-    return rows, known.withColumn("live", F.col("owners") <= max_owners).where(
-        "kind <> 'live' or live"
-    ).drop("owner", "repository", "context")
+    live = (F.col("owners") <= max_owners) | (2 * F.col("leading") > F.col("repositories"))
+    return rows, known.withColumn("live", live).where("kind <> 'live' or live").drop("owner", "repository", "whole", "leading")
 
 
 def _joined(spans: Column) -> Column:
@@ -166,29 +153,28 @@ def redact(documents: DataFrame, owner: Column, repository: Column, max_owners:
     Where spans overlap, the one that begins first covers the others. Documents
     without spans stay as they are.
     """
-    columns = documents.columns
-    marked = documents.withColumn("_key", F.xxhash64("text"))
+    marked = documents.select(F.struct("*").alias("doc"), F.xxhash64("text").alias("key"))
     rows, spans = scan(documents.withColumn("doc_id", F.struct("doc_id", F.xxhash64("text").alias("key"))), owner, repository, max_owners)
     listed = (
-        spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("_all"))
+        spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("all"))
         .join(rows, "row")
-        .groupBy("doc_id").agg(F.first("_all").alias("_all"))
-        .select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.key").alias("_hash"), "_all")
-    )
-    joined = marked.join(
-        listed, marked["doc_id"].eqNullSafe(listed["_id"]) & (marked["_key"] == listed["_hash"]), "left"
+        .groupBy("doc_id").agg(F.first("all").alias("all"))
+        .select(F.col("doc_id.doc_id").alias("id"), F.col("doc_id.key").alias("hash"), "all")
     )
+    joined = marked.join(listed, F.col("doc.doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("hash")), "left")
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+    whole = F.col("doc.text")
 
     def step(acc: Column, s: Column) -> Column:
-        gap = F.substring("text", (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
+        gap = F.substring(whole, (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
         out = F.concat(acc["out"], gap, F.when(s["start"] >= acc["at"], F.concat(F.lit("["), s["kind"], F.lit("]"))).otherwise(""))
         return F.struct(out.alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
 
-    done = F.aggregate("_all", start, step)
-    text = F.when(F.col("_all").isNull(), F.col("text")).otherwise(
-        F.concat(done["out"], F.substring("text", (done["at"] + 1).cast("int"), F.lit(1 << 30)))
+    done = F.aggregate("all", start, step)
+    text = F.when(F.col("all").isNull(), whole).otherwise(
+        F.concat(done["out"], F.substring(whole, (done["at"] + 1).cast("int"), F.lit(1 << 30)))
     )
     changed = joined.withColumn("text", text)
-    size = F.when(F.col("_all").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return changed.withColumn("n_chars", size).select(*columns)
+    size = F.when(F.col("all").isNull(), F.col("doc.n_chars")).otherwise(F.length("text").cast("long"))
+    new = {"text": F.col("text"), "n_chars": size}
+    return changed.select(*(new.get(c, F.col("doc")[c]).alias(c) for c in documents.columns))

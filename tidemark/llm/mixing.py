@@ -125,12 +125,8 @@ def fit(described: DataFrame, targets: list[float], matrix: np.ndarray, most: fl
     return steps
 
 
-def mix(documents: DataFrame, labels: DataFrame, domain: Column, weights: dict[str, float], most: float | None = None) -> DataFrame:
-    """``documents`` with ``_tokens``, ``_domains`` (posteriors by domain) and ``_rate``.
-
-    Targets are ``weights`` (scaled to 1) of all tokens; with ``most``, of as many
-    tokens as the domains can give without a rate above it.
-    """
+def _rated(documents: DataFrame, labels: DataFrame, domain: Column, weights: dict[str, float], most: float | None) -> DataFrame:
+    """``(doc, tokens, domains, rate)``: each row whole in one struct, so that no name of its columns can clash."""
     room = common.scratch(documents.sparkSession, "mixing")
     text = F.coalesce("text", F.lit(""))
     shape = features(text)
@@ -139,8 +135,11 @@ def mix(documents: DataFrame, labels: DataFrame, domain: Column, weights: dict[s
     described = room.save(keys, "described")
     model = learn(described, labels, domain, names)
     domains = sorted(model)
+    keyed = documents.select(F.struct("*").alias("doc"), F.xxhash64("text").alias("key"))
     if not domains:
-        return documents.select("*", tokens(text).alias("_tokens"), F.expr("map()").cast("map<string,double>").alias("_domains"), F.lit(1.0).alias("_rate"))
+        plain = tokens(F.coalesce("doc.text", F.lit("")))
+        nowhere = F.expr("map()").cast("map<string,double>")
+        return keyed.select("doc", plain.alias("tokens"), nowhere.alias("domains"), F.lit(1.0).alias("rate"))
     judged = room.save(described.select("doc_id", "_key", "_tokens", posteriors(model, names).alias("_p")), "judged")
     have, matrix = totals(judged, len(domains))
     share = np.array([weights.get(d, 0.0) for d in domains])
@@ -149,16 +148,28 @@ def mix(documents: DataFrame, labels: DataFrame, domain: Column, weights: dict[s
     if most is not None:
         budget = min([most * h / s for h, s in zip(have, share) if s], default=0.0)
     steps = fit(judged, (share * budget).tolist(), matrix, most)
-    rated = judged.select("doc_id", "_key", "_tokens", "_p", rate(steps, most).alias("_rate")).dropDuplicates(["doc_id", "_key"])
-    rated = rated.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_hash"), "_tokens", F.map_from_arrays(F.array(*(F.lit(d) for d in domains)), F.col("_p")).alias("_domains"), "_rate")
-    keyed = documents.withColumn("_key", F.xxhash64("text"))
-    same = keyed["doc_id"].eqNullSafe(rated["_id"]) & (keyed["_key"] == rated["_hash"])
-    return keyed.join(rated, same).drop("_key", "_id", "_hash")
-
-
-def draw(mixed: DataFrame) -> DataFrame:
-    """Each document as often as its rate says: its whole part, and once more by a hash of id and text."""
-    chance = F.pmod(F.xxhash64(F.lit("draw"), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    copies = F.floor(F.col("_rate") + chance).cast("int")
-    often = mixed.withColumn("_copies", copies).where("_copies > 0")
-    return often.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies", "_copy", "_rate", "_domains", "_tokens")
+    rated = judged.select("doc_id", "_key", "_tokens", "_p", rate(steps, most).alias("rate")).dropDuplicates(["doc_id", "_key"])
+    by_name = F.map_from_arrays(F.array(*(F.lit(d) for d in domains)), F.col("_p"))
+    rated = rated.select(F.col("doc_id").alias("id"), F.col("_key").alias("hash"), F.col("_tokens").alias("tokens"), by_name.alias("domains"), "rate")
+    same = F.col("doc.doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("hash"))
+    return keyed.join(rated, same).select("doc", "tokens", "domains", "rate")
+
+
+def mix(documents: DataFrame, labels: DataFrame, domain: Column, weights: dict[str, float], most: float | None = None) -> DataFrame:
+    """``documents`` with ``_tokens``, ``_domains`` (posteriors by domain) and ``_rate``, in place of columns so named.
+
+    Targets are ``weights`` (scaled to 1) of all tokens; with ``most``, of as many
+    tokens as the domains can give without a rate above it.
+    """
+    rated = _rated(documents, labels, domain, weights, most)
+    own = {"_tokens": F.col("tokens"), "_domains": F.col("domains"), "_rate": F.col("rate")}
+    return rated.select(*(F.col("doc")[c].alias(c) for c in documents.columns if c not in own), *(c.alias(n) for n, c in own.items()))
+
+
+def draw(documents: DataFrame, labels: DataFrame, domain: Column, weights: dict[str, float], most: float | None = None) -> DataFrame:
+    """Each of ``documents``, with all its columns, as often as its rate in ``mix`` says: its whole part, and
+    once more by a hash of id and text."""
+    chance = F.pmod(F.xxhash64(F.lit("draw"), "doc.doc_id", "doc.text"), F.lit(1 << 30)) / float(1 << 30)
+    copies = F.floor(F.col("rate") + chance).cast("int")
+    often = _rated(documents, labels, domain, weights, most).withColumn("copies", copies).where("copies > 0")
+    return often.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
