@@ -30,7 +30,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn at rates that bring the domains to their weights, none more than once."""
     labels = common.table(spark, sf_dir, "labels")
-    return mixing.draw(mixing.mix(docs, labels, quality(), WEIGHTS, most=1.0)).select(*docs.columns)
+    return mixing.draw(docs, labels, quality(), WEIGHTS, most=1.0)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
