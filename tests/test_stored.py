@@ -1,7 +1,5 @@
 """Files, datasets, versions, slices, served views and flows."""
 
-import json
-
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -154,33 +152,93 @@ def test_consolidate(spark, folder, rows_of):
     assert d.consolidate() == 0
 
 
-def test_a_change_dies_before_or_after_its_journal(spark, folder, rows_of, monkeypatch):
+def test_a_change_dies_before_or_after_its_commit(spark, folder, rows_of, monkeypatch):
     d = Dataset.create(spark, f"{folder}/d", ROWS, ("p",))
+    other = d.empty_copy(f"{folder}/e")
     d.append(numbers(spark))
-    gone = [f for f, _ in d.files()]
+    other.append(numbers(spark, 4, p=3))
 
     def die(*_):
         raise KeyboardInterrupt
 
     # Before: nothing happened.
-    with monkeypatch.context() as m:
-        m.setattr(FileSystem, "write_text", die)
-        with pytest.raises(KeyboardInterrupt):
-            d.replace_files(numbers(spark, 4, p=3), gone)
+    with pytest.raises(Exception, match="outside the layout"):
+        d.replace(other.read().select("a", F.when(F.raise_error(F.lit("outside the layout")).isNull(), 3).alias("p")), d.snapshot())
     d = Dataset.open(spark, f"{folder}/d")
-    assert rows_of(d.read()) == rows_of(numbers(spark))
-    d.drop_stages()
-    # After: it is finished on opening, even from half way.
+    assert rows_of(d.read()) == rows_of(numbers(spark)) and len(FileSystem(spark, folder).list(f"{folder}/d")) == 3
+    d.drop_unfinished()
+    assert rows_of(d.read()) == rows_of(numbers(spark)) and len(FileSystem(spark, folder).list(f"{folder}/d")) == 2
+    # After: it is there, and what it replaced is not, though the folders still are.
+    for gone, want in ((d.snapshot(), numbers(spark, 4, p=3)), (other.snapshot(), numbers(spark, 8, p=3))):
+        with monkeypatch.context() as m:
+            m.setattr(Dataset, "settle", die)
+            with pytest.raises(KeyboardInterrupt):
+                d.replace(numbers(spark, 4, p=3), gone)
+        rows = d.read()
+        assert rows.count() == want.count() and rows.where("p <> 3").isEmpty()
+        d = Dataset.open(spark, f"{folder}/d")
+        assert d.read().count() == want.count()
+    assert other.read().count() == 0
+    assert not FileSystem(spark, folder).glob(folder, "*/change=*/_replaces")
+
+
+def test_ingest_after_a_crash_takes_nothing_twice(spark, folder, monkeypatch):
+    from tidemark import schema
+
+    new, master = facts.open_new_data(spark, f"{folder}/new"), facts.open_master(spark, f"{folder}/master")
+    views = spark.range(5).select(
+        schema.user_person("id").alias("person"), F.lit("u").alias("url"), F.col("id").alias("nonce"), F.lit(1).alias("ts")
+    )
+    facts.append_facts(new, views, schema.PAGE_VIEW)
+    settle = Dataset.settle
+    calls = []
+
+    def first_only(self):
+        calls.append(self)
+        if len(calls) > 1:
+            raise KeyboardInterrupt
+        settle(self)
+
     with monkeypatch.context() as m:
-        m.setattr(Dataset, "_roll_forward", die)
+        m.setattr(Dataset, "settle", first_only)
         with pytest.raises(KeyboardInterrupt):
-            d.replace_files(numbers(spark, 4, p=3), gone)
-    stage = next(n for n in FileSystem(spark, folder).list(f"{folder}/d") if n.startswith("_stage-"))
-    journal = json.loads(FileSystem(spark, folder).read_text(f"{folder}/d/{stage}/journal.json"))
-    FileSystem(spark, folder).delete(journal["gone"][0])
-    d = Dataset.open(spark, f"{folder}/d")
-    assert rows_of(d.read()) == rows_of(numbers(spark, 4, p=3))
-    assert not any(n.startswith("_stage-") for n in FileSystem(spark, folder).list(f"{folder}/d"))
+            facts.ingest(master, new)
+    assert master.read().count() == 5
+    facts.append_facts(new, views, schema.PAGE_VIEW)
+    assert facts.ingest(master, new) == 1
+    assert (master.read().count(), new.read().count()) == (10, 0)
+
+
+@pytest.mark.parametrize("change", ["append", "snapshot", "absorb", "ingest", "consolidate", "clear"])
+def test_calls_of_the_file_system_do_not_grow_with_the_files(spark, folder, monkeypatch, change):
+    """The same few calls for a change of three files and for one of sixty."""
+
+    def calls(files):
+        d = Dataset.create(spark, f"{folder}/{files}", ROWS, ("p",))
+        many = spark.range(120).select(F.col("id").alias("a"), (F.col("id") % files).cast("int").alias("p"))
+        d.append(many)
+        assert len(d.files()) == files
+        seen = []
+        with monkeypatch.context() as m:
+            for name in ("exists", "mkdirs", "delete", "rename", "list", "glob", "write_text", "read_text", "files"):
+                method = getattr(FileSystem, name)
+                m.setattr(FileSystem, name, lambda self, *a, f=method, n=name, **k: seen.append(n) or f(self, *a, **k))
+            if change == "append":
+                d.append(many)
+            elif change == "snapshot":
+                d.delete_snapshot(d.snapshot())
+            elif change == "absorb":
+                d.empty_copy(f"{folder}/to-{files}").absorb(d)
+            elif change == "ingest":
+                Dataset.create(spark, f"{folder}/master-{files}", ROWS, ("p",)).replace(d.read(), d.snapshot())
+            elif change == "consolidate":
+                d.append(many)
+                assert d.consolidate() == 2 * files
+            else:
+                d.clear()
+        return seen
+
+    assert calls(3) == calls(60)
 
 
 def test_facts_outside_the_kinds_are_refused(spark, folder):
@@ -294,15 +352,19 @@ def test_opening_leaves_a_running_change_alone(spark, folder, monkeypatch):
     stored = Dataset.create(spark, f"{folder}/d", ROWS, ["p"])
     gone = Dataset.create(spark, f"{folder}/e", ROWS, ["p"])
     gone.append(numbers(spark))
-    write = Dataset._write
+    add = Dataset._add
 
-    def write_and_open(self, df, path, mode):
-        write(self, df, path, mode)
+    def open_and_add(self, *given):
+        FileSystem(spark, folder).mkdirs(f"{folder}/d/change=1-unfinished/p=1")
+        Dataset.open(spark, f"{folder}/d")
+        name = add(self, *given)
         Dataset.open(spark, f"{folder}/d")
+        return name
 
-    monkeypatch.setattr(Dataset, "_write", write_and_open)
-    stored.replace_files(gone.read(), [f for f, _ in gone.files()])
+    monkeypatch.setattr(Dataset, "_add", open_and_add)
+    stored.replace(gone.read(), gone.snapshot())
     assert stored.read().count() == 10 and gone.is_empty()
+    assert "change=1-unfinished" in FileSystem(spark, folder).list(f"{folder}/d")
 
 
 # -- served views and flows

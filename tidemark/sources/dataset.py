@@ -1,18 +1,20 @@
 """Append-only partitioned Parquet datasets.
 
-Layout below the root: data files in partition folders, and beside them folders
-that readers skip because their names start with an underscore: ``_meta`` (the
-layout and small named texts) and ``_stage-*`` (changes on their way in).
-
-A change that both adds and removes files is staged. Its journal is the commit
-point: with a journal the change is rolled forward, at the latest when the
-dataset is opened next; without one it never happened. Only file names pass
-through the driver; rows are read and written by Spark.
+Layout below the root: one folder ``change=<when>-<id>`` per change, each a plain
+partitioned Parquet write, and beside them ``_meta`` (the layout and small named texts).
+A change is there from the moment Spark's own commit puts ``_SUCCESS`` into its folder, and a
+write that dies leaves a folder no reader looks at. Retiring, moving and clearing work on
+whole folders, so the driver makes a few calls per change, however many files it has.
+
+A change can take the place of others, also of another dataset's: their names are written into
+its folder before its rows, so they are out of date from the same moment on as it is there.
+Their folders are deleted afterwards, at the latest by ``settle`` when the dataset is opened next.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -58,13 +60,13 @@ class Spec:
 
 @dataclass(frozen=True)
 class Snapshot:
-    """The data files of a dataset at one moment."""
+    """The changes a dataset consisted of at one moment."""
 
     dataset: Dataset
-    files: tuple[str, ...]
+    changes: tuple[str, ...]
 
     def read(self) -> DataFrame:
-        return self.dataset._read_files(list(self.files))
+        return self.dataset._read_changes(self.changes)
 
 
 class Dataset:
@@ -107,12 +109,12 @@ class Dataset:
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> Dataset:
-        """An existing dataset, after finishing changes that were committed."""
+        """An existing dataset, after deleting what its changes have replaced."""
         text = FileSystem(spark, path).read_text(f"{path.rstrip('/')}/_meta/spec.json")
         if text is None:
             raise FileNotFoundError(f"no dataset at {path}")
         opened = cls(spark, path, Spec.from_text(text))
-        opened.recover()
+        opened.settle()
         return opened
 
     def empty_copy(self, path: str) -> Dataset:
@@ -143,31 +145,39 @@ class Dataset:
     def read(self, where: Column | str | None = None, with_path: bool = False) -> DataFrame:
         """All rows, or the part ``where`` selects; conditions on partition columns
         open only their folders. ``with_path`` adds the file of each row."""
-        rows = self.spark.read.schema(self.spec.schema).parquet(self.path)
-        if where is not None:
-            rows = rows.where(where)
-        names = self.spec.schema.names
-        if with_path:
-            return rows.select(*names, F.col("_metadata.file_path").alias("path"))
-        return rows.select(*names)
-
-    def _read_files(self, files: list[str]) -> DataFrame:
-        if not files:
-            return self.spark.createDataFrame([], self.spec.schema)
-        return (
-            self.spark.read.schema(self.spec.schema)
-            .option("basePath", self.path)
-            .parquet(*files)
-            .select(*self.spec.schema.names)
-        )
+        rows = self._read_changes(self.changes(), with_path)
+        return rows if where is None else rows.where(where)
+
+    def changes(self) -> list[str]:
+        """Names of the changes that are there, in the order they were begun."""
+        complete = [p.rsplit("/", 2)[1] for p in self._fs.glob(self.path, "change=*/_SUCCESS")]
+        gone = {folder.rsplit("/", 1)[1] for _, folders in self._replaced(complete) for folder in folders}
+        return sorted(set(complete) - gone)
+
+    def _replaced(self, complete: Sequence[str]) -> list[tuple[str, list[str]]]:
+        """``(note, folders)`` of complete changes whose note still says which folders they replaced."""
+        notes = [p for p in self._fs.glob(self.path, "change=*/_replaces") if p.rsplit("/", 2)[1] in complete]
+        return [(note, (self._fs.read_text(note) or "").split("\n")) for note in notes]
+
+    def _read_changes(self, changes: Sequence[str], with_path: bool = False) -> DataFrame:
+        names, path = self.spec.schema.names, F.col("_metadata.file_path").alias("path")
+        if not changes:
+            empty = self.spark.createDataFrame([], self.spec.schema)
+            return empty.withColumn("path", F.lit("")) if with_path else empty
+        reader = self.spark.read.schema(self.spec.schema).option("basePath", self.path)
+        rows = reader.parquet(*[f"{self.path}/{name}" for name in changes])
+        return rows.select(*names, path) if with_path else rows.select(*names)
 
     def file_frame(self) -> DataFrame:
         """``path, length`` of the data files, listed by Spark and not opened."""
+        changes = self.changes()
+        if not changes:
+            return self.spark.createDataFrame([], "path string, length bigint")
         listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        return listed.load(self.path).select("path", "length")
+        return listed.load([f"{self.path}/{name}" for name in changes]).select("path", "length")
 
     def files(self) -> list[tuple[str, int]]:
-        """Data files with their sizes."""
+        """Data files with their sizes, for a person to look at."""
         return sorted((row["path"], row["length"]) for row in self.file_frame().collect())
 
     def is_empty(self) -> bool:
@@ -194,33 +204,42 @@ class Dataset:
         valid = F.coalesce(F.expr(self.spec.valid), F.lit(False))
         return rows.where(F.when(valid, F.lit(True)).otherwise(F.raise_error(problem).cast("boolean")))
 
-    def _write(self, df: DataFrame, path: str, mode: str) -> None:
-        parts = self.spec.partitions
+    def _add(self, df: DataFrame, replaced: Sequence[str] = ()) -> str:
+        """Write a change that takes the place of the folders ``replaced``; returns its name."""
+        name = f"change={time.time_ns() // 1_000_000:014d}-{uuid.uuid4().hex}"
+        folder, parts = f"{self.path}/{name}", self.spec.partitions
+        if replaced:
+            self._fs.mkdirs(folder)
+            self._fs.write_text(f"{folder}/_replaces", "\n".join(replaced))
         if parts:
             df = spread_by_folder(df, parts)
-        writer = df.write.mode(mode).option("compression", self.spec.codec)
-        (writer.partitionBy(*parts) if parts else writer).parquet(path)
+        writer = df.write.mode("append").option("compression", self.spec.codec)
+        (writer.partitionBy(*parts) if parts else writer).parquet(folder)
+        if not self._fs.exists(f"{folder}/_SUCCESS"):
+            raise FileNotFoundError(f"no _SUCCESS in {folder}: nothing was changed")
+        return name
 
     def append(self, df: DataFrame) -> None:
         """Add rows; each goes to the folder of its partition values."""
-        self._write(self._checked(df), self.path, "append")
+        self._add(self._checked(df))
 
     def copy_append(self, other: Dataset) -> None:
         """Add a copy of another dataset's rows."""
         self.append(other.read())
 
     def move_append(self, other: Dataset) -> None:
-        """Take over another dataset's files; it is empty afterwards.
+        """Take over another dataset's changes; it is empty afterwards.
 
-        Both must have the same layout and lie in the same file system. Every file
-        gets a fresh name, so none can collide.
+        Both must have the same layout and lie in the same file system. Each change is
+        renamed as a whole, so after a crash it is in one dataset or in the other.
         """
         if self.spec != other.spec:
             raise ValueError("cannot move files between datasets of different layouts")
         if not self._same_file_system(other):
             raise ValueError("cannot move files between file systems")
-        for full, _ in other.files():
-            self._move_in(full, other.path)
+        other.settle()
+        for name in other.changes():
+            self._fs.rename(f"{other.path}/{name}", f"{self.path}/{name}")
 
     def absorb(self, other: Dataset) -> None:
         """Move another dataset's files if that is possible, otherwise copy the rows."""
@@ -232,73 +251,42 @@ class Dataset:
     def _same_file_system(self, other: Dataset) -> bool:
         return self._fs._fs.getUri().equals(other._fs._fs.getUri())
 
-    def _move_in(self, full: str, from_root: str, name: str | None = None) -> None:
-        target = self._home(full, from_root, name or f"moved-{uuid.uuid4().hex}.parquet")
-        self._fs.mkdirs(target.rpartition("/")[0])
-        self._fs.rename(full, target)
-
-    def _home(self, full: str, from_root: str, name: str) -> str:
-        """Where a file from below another folder belongs here."""
-        base = self._fs._fs.makeQualified(self._fs.path(from_root)).toString()
-        return "/".join([self.path, *full[len(base):].strip("/").split("/")[:-1], name])
-
     # -- snapshots
 
     def snapshot(self) -> Snapshot:
-        """The present files. Rows added later are not in it."""
-        return Snapshot(self, tuple(f for f, _ in self.files()))
+        """What there is now. Rows added later are not in it."""
+        return Snapshot(self, tuple(self.changes()))
 
     def delete_snapshot(self, snapshot: Snapshot) -> None:
-        """Delete the snapshot's files and nothing else."""
-        for full in snapshot.files:
-            self._fs.delete(full)
+        """Delete the snapshot's changes and nothing else."""
+        for name in snapshot.changes:
+            self._fs.delete(f"{self.path}/{name}")
 
     def clear(self) -> None:
         """Delete all rows; the layout and the named texts stay."""
         self.delete_snapshot(self.snapshot())
 
-    # -- staged changes
-
-    def replace_files(self, rows: DataFrame, gone: Sequence[str]) -> None:
-        """Add ``rows`` and delete the files ``gone``, which may belong to another
-        dataset, as one change."""
-        stage = f"{self.path}/_stage-{uuid.uuid4().hex}"
-        self._write(self._checked(rows), f"{stage}/data", "errorifexists")
-        if not self._fs.exists(f"{stage}/data/_SUCCESS"):
-            raise FileNotFoundError(f"the staged rows at {stage} are gone, nothing was changed")
-        new = [f for f, _ in self._fs.files(f"{stage}/data")]
-        journal = {"new": new, "gone": list(gone)}
-        self._fs.write_text(f"{stage}/journal.next", json.dumps(journal))
-        self._fs.rename(f"{stage}/journal.next", f"{stage}/journal.json")
-        self._roll_forward(stage)
-
-    def _roll_forward(self, stage: str) -> None:
-        journal = json.loads(self._fs.read_text(f"{stage}/journal.json"))
-        mark = stage.rsplit("-", 1)[1]
-        for i, full in enumerate(journal["new"]):
-            name = f"staged-{mark}-{i}.parquet"
-            if self._fs.exists(full):
-                self._move_in(full, f"{stage}/data", name)
-            elif not self._fs.exists(self._home(full, f"{stage}/data", name)):
-                raise FileNotFoundError(f"{full} is neither staged nor in place, nothing was deleted")
-        for full in journal["gone"]:
-            self._fs.delete(full)
-        self._fs.delete(stage)
-
-    def recover(self) -> None:
-        """Finish committed changes. Stages without a journal may belong to a running
-        writer and stay; ``drop_stages`` removes them."""
-        for name in self._fs.list(self.path):
-            if name.startswith("_stage-"):
-                stage = f"{self.path}/{name}"
-                if self._fs.exists(f"{stage}/journal.json"):
-                    self._roll_forward(stage)
+    # -- changes in the place of others
 
-    def drop_stages(self) -> None:
+    def replace(self, rows: DataFrame, gone: Snapshot) -> None:
+        """Add ``rows`` in the place of a snapshot of this or another dataset, as one change."""
+        self._add(self._checked(rows), [f"{gone.dataset.path}/{name}" for name in gone.changes])
+        self.settle()
+
+    def settle(self) -> None:
+        """Delete the folders that complete changes have replaced."""
+        complete = [p.rsplit("/", 2)[1] for p in self._fs.glob(self.path, "change=*/_SUCCESS")]
+        for note, folders in self._replaced(complete):
+            for folder in folders:
+                self._fs.delete(folder)
+            self._fs.delete(note)
+
+    def drop_unfinished(self) -> None:
         """Delete what writers that failed have left. No writer may be running."""
-        self.recover()
+        self.settle()
+        complete = {p.rsplit("/", 2)[1] for p in self._fs.glob(self.path, "change=*/_SUCCESS")}
         for name in self._fs.list(self.path):
-            if name.startswith("_stage-"):
+            if name.startswith("change=") and name not in complete:
                 self._fs.delete(f"{self.path}/{name}")
 
     # -- upkeep
@@ -308,32 +296,40 @@ class Dataset:
     ) -> int:
         """Merge small files; returns how many were merged.
 
-        Folders with more than one file below half the target are rewritten, all or
-        those of one ``part``, given by values of leading partition columns. Adaptive
-        execution sizes the new files, so a folder of any size is spread over as
+        A file below half the target is small if its folder has another such file, in all folders or
+        those of one ``part``, given by values of leading partition columns. The changes that have
+        at least half of their bytes there in such files are written anew as one change.
+        Adaptive execution sizes the new files, so a folder of any size is spread over as
         many tasks as it needs.
         """
-        below = self.file_frame().where(F.col("length") < target_bytes / 2)
+        inside = ""
         if part:
             if tuple(part) != self.spec.partitions[: len(part)]:
                 raise ValueError(f"{list(part)} do not lead the partitions {self.spec.partitions}")
-            inside = "/" + "/".join(f"{name}={value}" for name, value in part.items()) + "/"
-            below = below.where(F.contains("path", F.lit(inside)))
-        folder = F.regexp_replace("path", "/[^/]*$", "")
-        many = Window.partitionBy(folder)
-        found = below.select("path", F.count(F.lit(1)).over(many).alias("n")).where("n > 1")
-        small = sorted(row["path"] for row in found.collect())
-        if not small:
+            inside = "/".join(f"{name}={value}" for name, value in part.items()) + "/"
+        self.settle()
+        files = self.file_frame().select(
+            F.regexp_extract("path", "/(change=[^/]+)/", 1).alias("change"),
+            F.regexp_extract("path", "/change=[^/]+/(.*)", 1).alias("below"),
+            "length",
+        ).where(F.startswith("below", F.lit(inside)))
+        folder = F.regexp_replace("below", "[^/]*$", "")
+        small = F.col("length") < target_bytes / 2
+        merged = small & (F.count_if(small).over(Window.partitionBy(folder)) > 1)
+        changes = files.select("change", "length", merged.alias("merged")).groupBy("change").agg(
+            F.count_if("merged").alias("n"), F.sum(F.when(F.col("merged"), F.col("length"))).alias("bytes"), F.sum("length").alias("all")
+        )
+        chosen = changes.where("2 * bytes >= all").orderBy("change").collect()  # one row a change
+        if sum(row["n"] for row in chosen) < 2:
             return 0
+        old = Snapshot(self, tuple(row["change"] for row in chosen))
         # Shuffled rows are larger than their Parquet form, about three to one.
         with _setting(
             self.spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(3 * target_bytes)
         ):
-            rows = self._read_files(small)
-            if not self.spec.partitions:
-                rows = rows.hint("rebalance")
-            self.replace_files(rows, small)
-        return len(small)
+            rows = old.read()
+            self.replace(rows if self.spec.partitions else rows.hint("rebalance"), old)
+        return sum(row["n"] for row in chosen)
 
     def coerce(self, path: str, codec: str) -> Dataset:
         """A copy under another compression."""

@@ -51,14 +51,14 @@ def shred(facts: DataFrame) -> DataFrame:
 
 
 def ingest(master: Dataset, new_data: Dataset) -> int:
-    """Move the present new data into the master table; returns the files taken.
+    """Move the present new data into the master table; returns how many changes were taken.
 
-    Adding the rows and retiring the input files is one staged change, so a job
-    that dies and runs again neither loses nor repeats facts. Facts that arrive
-    while it runs stay for the next time.
+    The new rows take the place of the changes they come from, so a job that dies and
+    runs again neither loses nor repeats facts. Facts that arrive while it runs stay for
+    the next time.
     """
-    master.recover()
+    master.settle()
     snapshot = new_data.snapshot()
-    if snapshot.files:
-        master.replace_files(snapshot.read(), snapshot.files)
-    return len(snapshot.files)
+    if snapshot.changes:
+        master.replace(snapshot.read(), snapshot)
+    return len(snapshot.changes)

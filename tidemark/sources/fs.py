@@ -41,6 +41,12 @@ class FileSystem:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self.path(path)))
 
+    def glob(self, root: str, pattern: str) -> list[str]:
+        """Full names below ``root`` that fit the pattern, from one call; empty when there are none."""
+        plain = "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in root)
+        found = self._fs.globStatus(self.path(f"{plain}/{pattern}"))
+        return sorted(s.getPath().toString() for s in found or [])
+
     def modified(self, path: str) -> int:
         """Latest modification time at any level below ``path`` in ms; 0 when it is absent."""
         if not self.exists(path):
