@@ -304,18 +304,34 @@ def _(spark, folder):
     )
 
 
-@query("debug_rows", "SELECT event_id, 1 AS debug FROM events")
+@query("debug_rows", "SELECT count(*) AS ones, CAST(sum(event_id) AS BIGINT) AS ids, count(*) AS seen FROM events")
 def _(spark, folder):
-    watched, _seen = observing.debug(table(spark, folder, "events").select("event_id"))
-    return watched
+    watched, seen = observing.debug(table(spark, folder, "events").select("event_id"))
+    sums = watched.agg(F.sum("debug").alias("ones"), F.sum("event_id").alias("ids")).first()
+    return spark.createDataFrame([(*sums, observing.observed(seen)["rows"])], "ones bigint, ids bigint, seen bigint")
 
 
-@query("counter_rows", "SELECT event_id FROM events WHERE value > 10")
+# The counter stands before the filter, so it sees all rows.
+@query(
+    "counter_rows",
+    """
+SELECT count(*) FILTER (value > 10) AS kept, count(*) AS seen, count(*) FILTER (event_type = 'click') AS clicks FROM events""",
+)
 def _(spark, folder):
-    watched, _seen = observing.counter(
+    watched, seen = observing.counter(
         table(spark, folder, "events"), "events", clicks=F.col("event_type") == "click"
     )
-    return watched.where("value > 10").select("event_id")
+    kept = watched.where("value > 10").count()
+    found = observing.observed(seen)
+    return spark.createDataFrame([(kept, found["rows"], found["clicks"])], "kept bigint, seen bigint, clicks bigint")
+
+
+@query("job_status", "SELECT 'counting orders' AS status, true AS ended, count(*) AS n FROM orders")
+def _(spark, folder):
+    with observing.status(spark, "counting orders"):
+        n = table(spark, folder, "orders").groupBy("o_custkey").count().agg(F.sum("count")).first()[0]
+    states = observing.job_states(spark, "counting orders")
+    return spark.createDataFrame([("counting orders", set(states.values()) == {"SUCCEEDED"}, n)], "status string, ended boolean, n bigint")
 
 
 @query(
@@ -1078,6 +1094,41 @@ def _(spark, folder):
     return _count_kept(spark, folder, "orders", rule).select("o_orderkey")
 
 
+@query("assert_not_equals", "SELECT o_orderkey FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderpriority = '5-LOW')")
+def _(spark, folder):
+    rule = quality.not_equals(["o_orderstatus", "o_orderpriority"], ["F", "5-LOW"])
+    return _count_kept(spark, folder, "orders", rule).select("o_orderkey")
+
+
+@query("assert_not_null", f"WITH {GAPS} SELECT o_orderkey FROM gaps WHERE cust IS NOT NULL AND status IS NOT NULL")
+def _(spark, folder):
+    good, _rejected = quality.trap(_with_gaps(spark, folder), [quality.none_null(["cust", "status"])])
+    return good.select("o_orderkey")
+
+
+# Which of the three size rules a frame of so many fields passes.
+@query(
+    "assert_sizes",
+    """
+SELECT comparison, size, CASE comparison WHEN 'equals' THEN 3 = size WHEN 'less_than' THEN 3 < size ELSE 3 > size END AS passes,
+       (SELECT count(*) FROM nation) AS n
+FROM (VALUES ('equals'), ('less_than'), ('more_than')) AS a(comparison), (VALUES (2), (3), (4)) AS b(size)""",
+)
+def _(spark, folder):
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name", "n_regionkey")
+
+    def passes(comparison: str, size: int) -> bool:
+        try:
+            quality.check_size(nations, comparison, size)
+        except quality.AssertionFailed:
+            return False
+        return True
+
+    tried = [(c, size, passes(c, size)) for c in ("equals", "less_than", "more_than") for size in (2, 3, 4)]
+    outcome = spark.createDataFrame(tried, "comparison string, size int, passes boolean")
+    return outcome.withColumn("n", F.lit(nations.count()).cast("bigint"))
+
+
 @query("assert_equals_all", "SELECT doc_id FROM labels WHERE quality = 0 AND toxic = 0")
 def _(spark, folder):
     return _count_kept(spark, folder, "labels", quality.equals_all(["quality", "toxic"], 0)).select("doc_id")

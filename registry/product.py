@@ -49,6 +49,12 @@ def wide_facts(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_mktsegment").alias("city"),
         F.lit(0).alias("ts"),
     )
+    genders = customers.where("c_custkey % 3 > 0").select(
+        schema.user_person("c_custkey").alias("person"),
+        F.lit(schema.GENDER).alias("value_kind"),
+        F.when(F.col("c_custkey") % 3 == 1, schema.MALE).otherwise(schema.FEMALE).alias("gender"),
+        F.lit(0).alias("ts"),
+    )
     pages = table(spark, folder, "pages").select(
         "url",
         F.lit(schema.PAGE_VIEW_COUNT).alias("value_kind"),
@@ -60,6 +66,7 @@ def wide_facts(spark: SparkSession, folder: str) -> DataFrame:
         schema.to_facts(equivs(spark, folder), schema.EQUIV),
         schema.to_facts(names, schema.PERSON_PROPERTY),
         schema.to_facts(places, schema.PERSON_PROPERTY),
+        schema.to_facts(genders, schema.PERSON_PROPERTY),
         schema.to_facts(pages, schema.PAGE_PROPERTY),
     ]
     facts = parts[0]
@@ -73,6 +80,7 @@ WITH {PV}, {LINKS}
 SELECT 4 AS unit, 0 AS value_kind, count(*) AS facts FROM pv
 UNION ALL SELECT 3, 0, count(*) FROM links
 UNION ALL SELECT 1, 1, count(*) FROM customer
+UNION ALL SELECT 1, 2, count(*) FROM customer WHERE c_custkey % 3 > 0
 UNION ALL SELECT 1, 3, count(*) FROM customer
 UNION ALL SELECT 2, 1, count(*) FROM pages"""
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from registry.base import LINKS, PV, query, raw_views, table
 from registry.product import FACT_COUNTS, KEY, PAGE_VIEW_SQL, VISITS, wide_facts
 from tidemark import schema
+from tidemark.operators import observing
 from tidemark.plans import batch
 from tidemark.sources import facts, files
 from tidemark.sources.dataset import Dataset
@@ -30,12 +32,22 @@ def _(spark, folder):
     return files.read_lines(spark, path)
 
 
-@query("text_lines_compressed", "SELECT CAST(o_orderkey AS VARCHAR) AS line, true AS in_order FROM orders")
+# Ids rise along each compressed file, in which keys do too.
+@query(
+    "text_lines_compressed",
+    """
+SELECT CAST(o_orderkey AS VARCHAR) AS line,
+       CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS INTEGER) AS place FROM orders""",
+)
 def _(spark, folder):
     path = place(spark, "text-gz")
-    files.write_lines(table(spark, folder, "orders").select("o_orderkey"), path, compression="ENABLE")
-    lines = files.read_lines(spark, path, pattern="*.gz", order_key="at")
-    return lines.select("line", (F.col("at") >= 0).alias("in_order"))
+    orders = table(spark, folder, "orders").select("o_orderstatus", F.col("o_orderkey").cast("string").alias("value"), "o_orderkey")
+    ordered = orders.repartition("o_orderstatus").sortWithinPartitions("o_orderstatus", "o_orderkey").drop("o_orderkey")
+    ordered.write.partitionBy("o_orderstatus").option("compression", "gzip").text(path)
+    lines = files.read_lines(spark, f"{path}/*", pattern="*.gz", order_key="at")
+    status = table(spark, folder, "orders").select("o_orderstatus", F.col("o_orderkey").cast("string").alias("line"))
+    within = Window.partitionBy("o_orderstatus").orderBy("at")
+    return lines.join(status, "line").select("line", F.row_number().over(within).alias("place"))
 
 
 # One file per market segment, with letters of two bytes; some lines end with a carriage return too.
@@ -129,13 +141,22 @@ def _(spark, folder):
     )
 
 
-@query("typed_table", "SELECT l_orderkey, l_linenumber, l_shipdate = l_shipdate AS dated FROM lineitem")
+# The types of the columns come back too: a day can be subtracted, a price multiplied.
+@query(
+    "typed_table",
+    """
+SELECT l_orderkey, l_linenumber, CAST(datediff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) AS INTEGER) AS days,
+       l_extendedprice * 2 AS twice FROM lineitem""",
+)
 def _(spark, folder):
     path = place(spark, "typed")
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice")
     files.write_table(lines, path, codec="gzip")
-    stored = files.read_table(spark, path, lines.schema)
-    return stored.select("l_orderkey", "l_linenumber", (F.col("l_shipdate") == F.col("l_shipdate")).alias("dated"))
+    stored = files.read_table(spark, path)
+    if stored.schema != lines.schema:
+        raise RuntimeError(f"types changed: {stored.schema} was {lines.schema}")
+    days = F.datediff(F.col("l_shipdate"), F.lit("1992-01-01").cast("date"))
+    return stored.select("l_orderkey", "l_linenumber", days.alias("days"), (F.col("l_extendedprice") * 2).alias("twice"))
 
 
 @query("key_values", "SELECT o_orderkey AS key, o_custkey AS value FROM orders")
@@ -234,11 +255,13 @@ def _(spark, folder):
     return files.read_table(spark, path)
 
 
-@query("null_sink", "SELECT count(*) AS n FROM lineitem")
+# What the sink was given is counted on its way in.
+@query("null_sink", "SELECT count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys FROM lineitem")
 def _(spark, folder):
-    lines = table(spark, folder, "lineitem").select("l_orderkey")
-    files.discard_rows(lines)
-    return lines.agg(F.count(F.lit(1)).alias("n"))
+    counters = observing.Counters()
+    files.discard_rows(counters.count(table(spark, folder, "lineitem").select("l_orderkey"), "sink", n=1, keys=F.col("l_orderkey")))
+    sums = counters.values()["sink"]
+    return spark.createDataFrame([(sums["n"], sums["keys"])], "n bigint, keys bigint")
 
 
 @query(
@@ -346,20 +369,28 @@ def _(spark, folder):
     return stored.read().groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("dataset_consolidate", "SELECT o_orderkey, o_custkey, o_orderstatus, true AS merged FROM orders")
-def _(spark, folder):
-    stored = _orders_dataset(spark, folder, "merge")
-    before = stored.snapshot()
-    stored.append(before.read())
-    stored.delete_snapshot(before)
-    stored.append(stored.read().where("false"))
-    half = stored.read().where("o_orderkey % 2 = 0")
-    other = stored.empty_copy(place(spark, "merge-two"))
-    other.append(half)
-    other.append(stored.read().where("o_orderkey % 2 = 1"))
-    count = len(other.files())
-    other.consolidate()
-    return other.read().withColumn("merged", F.lit(len(other.files()) < count))
+# Three appends leave three files in each folder; afterwards there is one, with all rows.
+@query(
+    "dataset_consolidate",
+    """
+SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, CAST(3 AS BIGINT) AS before, CAST(1 AS BIGINT) AS after
+FROM orders GROUP BY o_orderstatus""",
+)
+def _(spark, folder):
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    stored = Dataset.create(spark, place(spark, "merge"), orders.schema, ("o_orderstatus",))
+    for third in range(3):
+        stored.append(orders.where(F.col("o_orderkey") % 3 == third))
+
+    def counted(name: str):
+        status = F.regexp_extract("path", "/o_orderstatus=([^/]*)/", 1).alias("status")
+        rows = stored.file_frame().groupBy(status).agg(F.count(F.lit(1)).alias(name)).collect()  # one row a status
+        return spark.createDataFrame([tuple(r) for r in rows], f"o_orderstatus string, {name} bigint")
+
+    before = counted("before")
+    stored.consolidate()
+    sums = stored.read().groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+    return sums.join(before, "o_orderstatus").join(counted("after"), "o_orderstatus").select("o_orderstatus", "n", "keys", "before", "after")
 
 
 @query("dataset_recompress", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
