@@ -1,9 +1,11 @@
 """Each operator against a brute-force version, and on odd rows."""
 
 import hashlib
+import html
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -194,7 +196,7 @@ def test_warc(spark, tmp_path):
     page = '<html lang="DE"><head><title>A &amp; B</title><script>x("</p>")</script></head><body><p>One<br>two</p><!-- no --><a href="/q">q</a></body></html>'
     pages = [(1, "http://a.example/x", page), (2, None, None), (3, "http://a.example/y", ""), (3, "http://a.example/y", ""), (None, "u", "<p>open")]
     frame = spark.createDataFrame(pages, "page_id long, url string, html string")
-    date, headers = F.lit("2024-05-06 07:08:09").cast("timestamp"), F.create_map(F.lit("Server"), F.col("url"))
+    date, headers = F.lit("2024-05-06 07:08:09").cast("timestamp"), warc.headers(("Server", F.col("url")), ("Set-Cookie", F.lit("a=1")), ("Set-Cookie", F.lit("b=2\r\nX: y")), ("None", F.lit(None)))
     records = warc.derive(warc.responses_of(frame, "page_id", "url", "html", date, headers))
     rows = {r["url"]: r for r in warc.read_back(records).collect()}
     assert all(r["linked"] for r in rows.values()) and len({r["conversion_id"] for r in rows.values()}) == 4
@@ -203,8 +205,10 @@ def test_warc(spark, tmp_path):
     one = {r["url"]: r for r in records.collect()}["http://a.example/x"]
     (head, block), = warc.parsed(bytes(one["metadata"]))
     assert head["WARC-Date"] == "2024-05-06T07:08:09Z" and b"Source-Server: http://a.example/x" in block
+    assert block.endswith(b"Source-Set-Cookie: a=1\r\nSource-Set-Cookie: b=2 X: y\r\n")
     (head, block), = warc.parsed(bytes(one["conversion"]))
-    assert head["WARC-Payload-Digest"] == warc.digest(page.encode()) and block == b"A & B\nOne\ntwo\nq"
+    assert head["WARC-Payload-Digest"] == head["WARC-Block-Digest"] == warc.digest(b"A & B\nOne\ntwo\nq") and block == b"A & B\nOne\ntwo\nq"
+    assert head["Source-Payload-Digest"] == warc.digest(page.encode())
     warc.write_files(records, f"file://{tmp_path}/out")
     import gzip
 
@@ -214,6 +218,49 @@ def test_warc(spark, tmp_path):
     assert warc.read_back(empty).count() == 0
 
 
+def plainly(page):
+    """Visible text by patterns that search on for the end of each opening."""
+    page = re.sub(r"<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>", " ", page, flags=re.I | re.S)
+    page = re.sub(r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|title|blockquote|pre)\b[^>]*>", "\n", page, flags=re.I)
+    lines = (" ".join(x.split()) for x in html.unescape(re.sub(r"<[^>]*>", "", page)).split("\n"))
+    return "\n".join(x for x in lines if x)
+
+
+def test_markup_is_read_as_plainly():
+    parts = [
+        "<!--", "-->", "<script>", "<SCRIPT src=x>", "</script >", "<style", ">", "</style>", "<p class='a'>", "</p>", "<br>", "<", "text ", "a &lt; b",
+        "<template>", "</template>", "\n", "<title>", "T &amp; U", "</title>", "<html lang='fr'>", "<html>", '<a href="/x', '"', "<a b>", "<noscript>", "é",
+    ]
+    rng = random.Random(5)
+    for _ in range(3000):
+        page = "".join(rng.choices(parts, k=rng.randint(0, 14)))
+        assert warc.plain_text(page) == plainly(page), page
+        title = re.search(r"<title[^>]*>(.*?)</title\s*>", page, re.I | re.S)
+        assert warc.title_of(page) == (" ".join(html.unescape(title[1]).split()) if title else None), page
+        language = re.search(r"<html[^>]*\blang=[\"']?([A-Za-z-]+)", page, re.I)
+        assert warc.language_of(page) == (language[1].lower() if language else None), page
+        if page.count("<a ") < 2:
+            assert warc.links_of(page) == re.findall(r"<a\b[^>]*\bhref=[\"']([^\"']*)", page, re.I), page
+    assert warc.links_of("""<A class=x href='a>b' href="c"><a name="n"><a href="x<a href='y'""") == ["a>b", "x<a href="]
+
+
+@pytest.mark.parametrize("part", ["<!--", "<script>", "<style ", "<", "<title>", "<html ", "<a ", "<a href='", "<p", "</script", "<!-- -->", "<template><script>"])
+def test_bad_markup_takes_time_in_proportion(part):
+    page = part * (1_000_000 // len(part))
+    start = time.process_time()
+    warc.derived("<urn:uuid:x>", "http://a", None, [], page.encode())
+    warc.derived("<urn:uuid:x>", "http://a", None, [], (page + ">").encode())
+    assert time.process_time() - start < 4
+
+
+def test_warc_of_clashing_names(spark):
+    pages = spark.createDataFrame([(1, "http://a", "<p>x</p>"), (None, None, None)], "page_id long, url string, html string")
+    pages = pages.withColumns({n: F.lit("x") for n in ("record_id", "body", "headers", "date", "key", "metadata", "conversion")})
+    responses = warc.responses_of(pages, "page_id", "url", "html", F.lit(None).cast("timestamp"), warc.headers())
+    rows = warc.read_back(warc.derive(responses.withColumns({"title": F.lit(1), "linked": F.lit(2)}))).collect()
+    assert sorted((r["url"] or "", r["text_length"], r["linked"]) for r in rows) == [("", 0, True), ("http://a", 1, True)]
+
+
 def test_mixing(spark, nothing, clashing):
     common.find_package(spark)
     rng = random.Random(9)

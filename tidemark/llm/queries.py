@@ -80,7 +80,7 @@ def toxic_documents(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_warc_derivatives")
 def warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     pages = common.table(spark, folder, "pages")
-    headers = F.create_map(F.lit("Content-Type"), F.lit("text/html"), F.lit("Page"), F.col("page_id").cast("string"))
+    headers = warc.headers(("Content-Type", F.lit("text/html")), ("Page", F.col("page_id").cast("string")))
     date = F.lit("2024-01-01 00:00:00").cast("timestamp")
     responses = warc.responses_of(pages, "page_id", "url", "html", date, headers)
     return warc.read_back(warc.derive(responses))

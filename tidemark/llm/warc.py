@@ -3,12 +3,17 @@
 For each response, a ``metadata`` record (title, language, links, digests) and a
 ``conversion`` record (the text without markup) are built. Both name the response's
 ``WARC-Record-ID`` in ``WARC-Refers-To``, repeat its target URI and date, and carry
-payload digests of source and block. Record ids are UUIDs of version 5 made from the
-source's id, so building again gives the same records. Headers of the source are
-carried as ``Source-<name>`` in the metadata block.
-
-A null body is an empty one. A null URI is left out of the headers, like null
-headers. Repeated rows give equal records. An empty table gives an empty result.
+digests of their own blocks; the source's digest is a field of its own. Record ids are UUIDs
+of version 5 made from the source's id, so building again gives the same records. Headers of
+the source, pairs that may repeat a name, are carried as ``Source-<name>`` in the metadata
+block in their order; so is a digest that was stored with it.
+
+Markup is read in time in proportion to the page, also where comments, scripts or tags are
+never closed. An opening without its end is text, a tag without one stays. Very long pages are
+worked on whole, one at a time. A null body is an empty one. A null URI is left out of the
+headers, like null headers; a line break in a header is a space. Rows without a record id are left
+out. Repeated rows give equal records. An empty table gives an empty result; other columns
+are not looked at.
 """
 
 from __future__ import annotations
@@ -30,14 +35,17 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # of RFC 4122, for URLs
-RESPONSES = "record_id string, url string, date timestamp, headers map<string,string>, body binary"
+RESPONSES = "record_id string, url string, date timestamp, headers array<struct<name:string,value:string>>, body binary"
 
-_DROPPED = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>", re.I | re.S)
+_OPENING = re.compile(r"<!--|<(script|style|noscript|template)\b", re.I)
+_CLOSING = {kind: re.compile(rf"</{kind}\s*>", re.I) for kind in ("script", "style", "noscript", "template")}
+_COMMENT_END = re.compile("-->")
 _BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|title|blockquote|pre)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[^>]*>")
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title\s*>", re.I | re.S)
-_LANG = re.compile(r"<html[^>]*\blang=[\"']?([A-Za-z-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*\bhref=[\"']([^\"']*)", re.I)
+_TITLE, _TITLE_END = re.compile(r"<title[^>]*>", re.I), re.compile(r"</title\s*>", re.I)
+_HTML, _LANG = re.compile(r"<html[^>]*", re.I), re.compile(r"\blang=[\"']?([A-Za-z-]+)", re.I)
+_ANCHOR, _HREF = re.compile(r"<a\b[^>]*", re.I), re.compile(r"\bhref=[\"']", re.I)
+_VALUE = re.compile(r"[^\"']*")
 
 
 def digest(data: bytes) -> str:
@@ -48,17 +56,63 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(NAMESPACE, '/'.join(parts))}>"
 
 
+def _shown(page: str) -> str:
+    """The page with a space for each comment, script, style, template and part for browsers without scripts."""
+    out, at, endless = [], 0, set()
+    for opening in _OPENING.finditer(page):
+        kind = (opening[1] or "").lower()
+        if opening.start() < at or kind in endless:
+            continue
+        begin = page.find(">", opening.end()) + 1 if kind else opening.end()
+        end = (_CLOSING[kind] if kind else _COMMENT_END).search(page, begin) if begin else None
+        if end is None:
+            endless.add(kind)  # what has no end from here on has none later either
+            continue
+        out += [page[at : opening.start()], " "]
+        at = end.end()
+    return "".join([*out, page[at:]])
+
+
 def plain_text(page: str) -> str:
     """Visible text, one line per block element."""
-    bare = _TAG.sub("", _BREAK.sub("\n", _DROPPED.sub(" ", page)))
+    shown = _shown(page)
+    cut = shown.rfind(">") + 1  # before it every tag has an end
+    bare = _TAG.sub("", _BREAK.sub("\n", shown[:cut])) + shown[cut:]
     lines = (" ".join(x.split()) for x in html.unescape(bare).split("\n"))
     return "\n".join(x for x in lines if x)
 
 
+def title_of(page: str) -> str | None:
+    opening = _TITLE.search(page, 0, page.rfind(">") + 1)
+    end = opening and _TITLE_END.search(page, opening.end())
+    return " ".join(html.unescape(page[opening.end() : end.start()]).split()) if end else None
+
+
+def language_of(page: str) -> str | None:
+    found = (_LANG.search(page, *tag.span()) for tag in _HTML.finditer(page))
+    return next((m[1].lower() for m in found if m), None)
+
+
+def links_of(page: str) -> list[str]:
+    """The first ``href`` of each anchor; what stands inside a value begins no anchor."""
+    found, at = [], 0
+    for tag in _ANCHOR.finditer(page):
+        link = _HREF.search(page, *tag.span()) if tag.start() >= at else None
+        if link:
+            value = _VALUE.match(page, link.end())
+            found.append(value[0])
+            at = value.end()
+    return found
+
+
+def _one_line(value: str) -> str:
+    return " ".join(x.strip() for x in value.splitlines()).strip()
+
+
 def serialised(kind: str, headers: list[tuple[str, str | None]], block: bytes) -> bytes:
     """One record as in a WARC/1.1 file."""
     named = [("WARC-Type", kind), *headers, ("Content-Length", str(len(block)))]
-    head = "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in named if v is not None)
+    head = "".join(f"{k}: {_one_line(v)}\r\n" for k, v in named if v is not None)
     return f"WARC/1.1\r\n{head}\r\n".encode() + block + b"\r\n\r\n"
 
 
@@ -79,26 +133,25 @@ def parsed(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 4 + size + 4
 
 
-def derived(source: str, url: str | None, date: datetime | None, headers: dict | None, body: bytes) -> tuple[bytes, bytes]:
-    """The metadata and the conversion record of a response."""
+def derived(source: str, url: str | None, date: datetime | None, headers: Iterable[tuple[str, str | None]], body: bytes) -> tuple[bytes, bytes]:
+    """The metadata and the conversion record of a response. ``headers`` are pairs."""
     page = body.decode("utf-8", "replace")
     text = plain_text(page).encode()
     payload = digest(body)
     when = None
     if date is not None:
         when = (date if date.tzinfo else date.replace(tzinfo=timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    title, language = _TITLE.search(page), _LANG.search(page)
     converted = record_id(source, "conversion")
     facts = [
-        ("title", " ".join(html.unescape(title[1]).split()) if title else None),
-        ("language", language[1].lower() if language else None),
-        ("outlinks", json.dumps(_LINK.findall(page), ensure_ascii=False)),
+        ("title", title_of(page)),
+        ("language", language_of(page)),
+        ("outlinks", json.dumps(links_of(page), ensure_ascii=False)),
         ("source-payload-digest", payload),
         ("source-length", str(len(body))),
         ("conversion-id", converted),
-        *((f"Source-{k}", v) for k, v in sorted((headers or {}).items())),
+        *((f"Source-{_one_line(k)}", v) for k, v in headers),
     ]
-    fields = "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in facts if v is not None).encode()
+    fields = "".join(f"{k}: {_one_line(v)}\r\n" for k, v in facts if v is not None).encode()
     common_headers = [("WARC-Target-URI", url), ("WARC-Date", when), ("WARC-Refers-To", source), ("WARC-Refers-To-Target-URI", url), ("WARC-Refers-To-Date", when)]
     metadata = serialised(
         "metadata",
@@ -107,12 +160,17 @@ def derived(source: str, url: str | None, date: datetime | None, headers: dict |
     )
     conversion = serialised(
         "conversion",
-        [("WARC-Record-ID", converted), *common_headers, ("Content-Type", "text/plain; charset=utf-8"), ("WARC-Block-Digest", digest(text)), ("WARC-Payload-Digest", payload)],
+        [("WARC-Record-ID", converted), *common_headers, ("Content-Type", "text/plain; charset=utf-8"), ("WARC-Block-Digest", digest(text)), ("WARC-Payload-Digest", digest(text)), ("Source-Payload-Digest", payload)],
         text,
     )
     return metadata, conversion
 
 
+def _pairs(headers: list | None) -> list[tuple[str, str | None]]:
+    """Name and value of headers that have a name."""
+    return [(h["name"], h["value"]) for h in headers or () if h and h["name"]]
+
+
 RECORDS = pa.schema([("record_id", pa.string()), ("url", pa.string()), ("metadata", pa.binary()), ("conversion", pa.binary())])
 
 
@@ -125,13 +183,19 @@ def derive(responses: DataFrame) -> DataFrame:
                 piece = batch.slice(start, 256)
                 out = []
                 for source, url, date, headers, body in common.rows([piece], "record_id", "url", "date", "headers", "body"):
-                    out.append((source, url, *derived(source, url, date, dict(headers or ()), body or b"")))
+                    out.append((source, url, *derived(source, url, date, _pairs(headers), body or b"")))
                 yield common.batch_of(RECORDS, list(zip(*out)))
 
     rows = responses.select("record_id", "url", "date", "headers", "body").where("record_id is not null")
     return rows.mapInArrow(work, "record_id string, url string, metadata binary, conversion binary")
 
 
+def headers(*pairs: tuple[str, Column]) -> Column:
+    """Headers of a response from names and columns, in order."""
+    made = F.array(*(F.struct(F.lit(name).alias("name"), value.cast("string").alias("value")) for name, value in pairs))
+    return made.cast("array<struct<name:string,value:string>>")
+
+
 def responses_of(pages: DataFrame, key: str, url: str, body: str, date: Column, headers: Column) -> DataFrame:
     """Pages of a table as responses with ids made from their key."""
     identity = F.concat_ws("/", F.coalesce(F.col(url), F.lit("")), F.coalesce(F.col(key).cast("string"), F.lit("")))
@@ -163,10 +227,11 @@ def read_back(records: DataFrame) -> DataFrame:
                     and facts["conversion-id"] == text_head["WARC-Record-ID"]
                     and head["WARC-Block-Digest"] == digest(fields)
                     and text_head["WARC-Block-Digest"] == digest(text)
-                    and text_head["WARC-Payload-Digest"] == facts["source-payload-digest"]
+                    and text_head["WARC-Payload-Digest"] == digest(text)
+                    and text_head["Source-Payload-Digest"] == facts["source-payload-digest"]
                 )
                 out.append((
-                    source, url, head["WARC-Record-ID"], text_head["WARC-Record-ID"], head["WARC-Refers-To"], text_head["WARC-Payload-Digest"],
+                    source, url, head["WARC-Record-ID"], text_head["WARC-Record-ID"], head["WARC-Refers-To"], text_head["Source-Payload-Digest"],
                     text_head["WARC-Block-Digest"], facts.get("title"), facts.get("language"), len(json.loads(facts["outlinks"])), len(text), linked,
                 ))
             yield common.batch_of(schema, list(zip(*out)) if out else [[] for _ in schema])
