@@ -364,11 +364,13 @@ def test_code_lengths_are_optimal_under_the_limit():
 def test_token_files(spark, documents, odd_texts, nothing, clashing, tmp_path):
     huffman.BLOCK, before = 2000, huffman.BLOCK
     huffman.write(documents, f"{tmp_path}/ids", BYTE, end=2, symbols=50_257, longest=16)
-    rows = sorted(huffman.digest(huffman.read(spark, f"{tmp_path}/ids", 50_257)).collect(), key=lambda r: (r["doc_id"], r["start"]))
+    rows = sorted(huffman.digest(spark, f"{tmp_path}/ids", 50_257).collect(), key=lambda r: (r["doc_id"], r["start"]))
     huffman.BLOCK = before
     encode, at = direct(BYTE), 0
-    for row, (key, text) in zip(rows, sorted(odd_texts, key=lambda x: x[0]), strict=True):
+    whole = sorted(huffman.read(spark, f"{tmp_path}/ids", 50_257).collect(), key=lambda r: (r["doc_id"], r["start"]))
+    for row, read, (key, text) in zip(rows, whole, sorted(odd_texts, key=lambda x: x[0]), strict=True):
         ids = encode(text) + [2]
+        assert (read["doc_id"], read["start"], np.frombuffer(read["ids"], "<u4").tolist()) == (key, at, ids)
         assert tuple(row) == (key, at, len(ids), crc(ids))
         at += len(ids)
     for name, frame, count in (("none", nothing, 0), ("clash", clashing, clashing.count())):

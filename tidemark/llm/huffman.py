@@ -14,6 +14,7 @@ columns are not looked at.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -28,6 +29,8 @@ from tidemark.llm.tokens import encoded, forget
 STRIDE = 256
 #: Ids after which a block ends.
 BLOCK = 1 << 18
+#: Bytes of codes that a shard holds at most, about.
+SHARD = 32 << 20
 
 
 def code_lengths(counts: np.ndarray, longest: int) -> np.ndarray:
@@ -252,10 +255,13 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end: int, symbols:
     target = room.path("ids")
     _ids(documents, tokenizer, end, symbols).write.option("compression", "zstd").parquet(target)
     ids = spark.read.parquet(target)
-    lengths = code_lengths(_counts(ids, symbols), longest)
+    counts = _counts(ids, symbols)
+    lengths = code_lengths(counts, longest)
     code = [(int(s), int(lengths[s])) for s in np.flatnonzero(lengths)]
     spark.createDataFrame(code, "id int, bits int").coalesce(1).write.parquet(f"{folder}/code")
-    shards = common.parts(spark)
+    # As many shards as the session has partitions, or as it takes to keep one below SHARD bytes of codes.
+    coded = sum(int(n) * int(bits) for n, bits in zip(counts, lengths)) // 8
+    shards = max(common.parts(spark), math.ceil(coded / SHARD))
     bounds = ids.approxQuantile("doc_id", [k / shards for k in range(1, shards)], 1 / (4 * shards))
     edges = F.array(*(F.lit(int(b)).cast("long") for b in sorted(set(bounds))))
     shard = F.size(F.filter(edges, lambda b: b <= F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))))
@@ -273,8 +279,8 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end: int, symbols:
     room.close()
 
 
-def read(spark: SparkSession, folder: str, symbols: int) -> DataFrame:
-    """``(doc_id, start, ids)`` of every document, from the files; ids as 4-byte integers."""
+def _decoded(spark: SparkSession, folder: str, symbols: int, fields: str, made) -> DataFrame:
+    """Rows that ``made`` gives for each block, from its documents' ids, first places and sizes, and ids (an array)."""
     lengths = np.zeros(symbols, dtype=np.uint8)
     for row in spark.read.parquet(f"{folder}/code").collect():
         lengths[row["id"]] = row["bits"]
@@ -289,7 +295,6 @@ def read(spark: SparkSession, folder: str, symbols: int) -> DataFrame:
     for row in sorted(totals, key=lambda r: r["shard"]):
         starts[row["shard"]], ahead = ahead, ahead + row["n"]
     placed = held.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0))).drop("n")
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())])
 
     def work(batches):
         wanted = ("shard", "inside", "doc_ids", "sizes", "checkpoints", "payload")
@@ -298,27 +303,31 @@ def read(spark: SparkSession, folder: str, symbols: int) -> DataFrame:
             whole = -(-sizes // STRIDE)
             counts = np.full(int(whole.sum()), STRIDE, dtype=np.int64)
             counts[np.cumsum(whole) - 1] = sizes - (whole - 1) * STRIDE
-            ids = unpack_bits(payload, np.frombuffer(marks, dtype="<u8"), counts, table).astype("<u4")
-            first = np.cumsum(sizes) - sizes
-            parts = [ids[a : a + n].tobytes() for a, n in zip(first, sizes)]
-            yield common.batch_of(schema, [keys, first + (starts[shard] + inside), parts])
+            ids = unpack_bits(payload, np.frombuffer(marks, dtype="<u8"), counts, table).astype("<u4", copy=False)
+            yield made(keys, np.cumsum(sizes) - sizes, sizes, starts[shard] + inside, ids)
+
+    return blocks.join(placed, ["shard", "block"]).mapInArrow(work, fields)
+
+
+def read(spark: SparkSession, folder: str, symbols: int) -> DataFrame:
+    """``(doc_id, start, ids)`` of every document, from the files; ids as 4-byte integers."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())])
 
-    joined = blocks.join(placed, ["shard", "block"])
-    return joined.mapInArrow(work, "doc_id long, start long, ids binary")
+    def whole(keys, first, sizes, ahead, ids):
+        parts = [ids[a : a + n].tobytes() for a, n in zip(first, sizes)]
+        return common.batch_of(schema, [keys, first + ahead, parts])
 
+    return _decoded(spark, folder, symbols, "doc_id long, start long, ids binary", whole)
 
-def digest(documents: DataFrame) -> DataFrame:
-    """Number and checksum of the ids of each document that was read."""
+
+def digest(spark: SparkSession, folder: str, symbols: int) -> DataFrame:
+    """``(doc_id, start, n_tokens, ids_crc32)`` of every document, from the files; checksums are taken where ids are decoded."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
     )
 
-    def work(batches):
-        for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            yield common.batch_of(
-                schema,
-                [batch.column("doc_id"), batch.column("start"), [len(x) // 4 for x in ids], [zlib.crc32(x) for x in ids]],
-            )
+    def summed(keys, first, sizes, ahead, ids):
+        checks = [zlib.crc32(ids[a : a + n]) for a, n in zip(first.tolist(), sizes.tolist())]
+        return common.batch_of(schema, [keys, first + ahead, sizes, checks])
 
-    return documents.mapInArrow(work, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _decoded(spark, folder, symbols, "doc_id long, start long, n_tokens long, ids_crc32 long", summed)

@@ -34,7 +34,7 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = common.scratch(spark, "token-files").path("dataset")
     symbols = 50_257
     huffman.write(documents, target, public_tokenizers.path("byte_bpe_50k.json"), end=2, symbols=symbols)
-    return huffman.digest(huffman.read(spark, target, symbols))
+    return huffman.digest(spark, target, symbols)
 
 
 @query("op8_secret_scan")
