@@ -398,12 +398,20 @@ def _(spark, folder):
     return _orders_dataset(spark, folder, "codec").coerce(place(spark, "codec-gz"), "gzip").read()
 
 
-@query("dataset_copy", "SELECT o_orderkey, o_custkey, o_orderstatus, 'kept' AS note FROM orders")
+# Rows, the named text, and whether the files are the same bytes.
+@query("dataset_copy", "SELECT o_orderkey, o_custkey, o_orderstatus, 'kept' AS note, true AS same FROM orders")
 def _(spark, folder):
     stored = _orders_dataset(spark, folder, "copy")
     stored.set_metadata("note", "kept")
     copy = stored.copy_to(place(spark, "copy-to"))
-    return copy.read().withColumn("note", F.lit(copy.metadata("note")))
+
+    def checksums(dataset: Dataset) -> list:
+        bytes_of = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(dataset.path)
+        below = F.regexp_extract("path", "/(change=.*)", 1)
+        return sorted(map(tuple, bytes_of.select(below, F.md5("content")).where(F.endswith("path", F.lit(".parquet"))).collect()))
+
+    same = checksums(stored) == checksums(copy)
+    return copy.read().withColumns({"note": F.lit(copy.metadata("note")), "same": F.lit(same)})
 
 
 @query("dataset_clear", "SELECT CAST(0 AS BIGINT) AS n")

@@ -520,3 +520,69 @@ def test_views_of_a_batch_go_live_together(spark, folder, monkeypatch):
     assert {old.read(view).count() for view in VIEWS} == {1}  # what was taken stays as it was
     served.register()
     assert spark.sql("SELECT (SELECT count(*) FROM page_view) + (SELECT count(*) FROM bounce_view)").first()[0] == 4
+
+
+def test_files_are_copied_in_balance(spark, tmp_path):
+    """Big and small files in folders; every task gets as many of each size; bytes and places stay."""
+    import zlib
+
+    from pyspark import TaskContext
+
+    source, target = tmp_path / "a", tmp_path / "b"
+    for i in range(24):
+        (source / f"p={i % 3}").mkdir(parents=True, exist_ok=True)
+        (source / f"p={i % 3}" / f"f{i}.bin").write_bytes(bytes([i]) * (100_000 if i < 8 else i - 7))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(source)).select("path", "length")
+    done = files.copy_files(listed, str(source), str(target), tasks=4)
+    rows = done.collect()
+    want = {str(p.relative_to(source)): p.read_bytes() for p in source.rglob("*.bin")}
+    assert {r["path"]: (r["length"], r["crc32"]) for r in rows} == {k: (len(v), zlib.crc32(v)) for k, v in want.items()}
+    assert {str(p.relative_to(target)): p.read_bytes() for p in target.rglob("*") if p.is_file()} == want
+
+    def bytes_of_task(batches):
+        import pyarrow as pa
+
+        sizes = [sum(b.column("length").to_pylist()) for b in batches]
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([sum(sizes)])], names=["task", "bytes"])
+
+    shares = done.mapInArrow(bytes_of_task, "task bigint, bytes bigint").collect()
+    assert len(shares) == 4 and all(200_000 <= r["bytes"] < 200_100 for r in shares)
+    assert not files.can_copy("viewfs://nowhere/a", str(target))
+
+
+def test_a_copy_is_complete_or_not_there(spark, folder, rows_of, monkeypatch):
+    d = Dataset.create(spark, f"{folder}/d", ROWS, ("p",))
+    assert d.copy_to(f"{folder}/none").is_empty()
+    for _ in range(3):
+        d.append(numbers(spark))
+    d.append(numbers(spark).where("false"))
+    d.set_metadata("note", "x")
+    copy = d.copy_to(f"{folder}/e")
+    assert rows_of(copy.read()) == rows_of(d.read()) and copy.metadata("note") == "x"
+    assert [f.rsplit("/d/")[-1] for f, _ in d.files()] == [f.rsplit("/e/")[-1] for f, _ in copy.files()]
+    copy.append(numbers(spark))
+    assert (copy.read().count(), d.read().count()) == (40, 30)
+
+    def die(self, path, text, overwrite=True):
+        raise KeyboardInterrupt
+
+    half = d.empty_copy(f"{folder}/half")
+    with monkeypatch.context() as m:
+        m.setattr(FileSystem, "write_text", die)
+        with pytest.raises(KeyboardInterrupt):
+            half._copy_files(d)
+    assert half.is_empty()
+    half.drop_unfinished()
+    assert half.is_empty()
+    monkeypatch.setattr("tidemark.sources.dataset.can_copy", lambda *_: False)
+    assert rows_of(d.copy_to(f"{folder}/rows").read()) == rows_of(d.read())
+
+
+def test_a_scratch_nobody_closes_goes_with_the_driver(spark):
+    left, closed = Scratch(spark, "left"), Scratch(spark, "closed")
+    stored = left.save(spark.range(3), "t")
+    assert stored.count() == 3
+    closed.close()
+    left._left()
+    assert not FileSystem(spark, left.root).exists(left.root)
+    left.close()

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.files import spread_by_folder
+from tidemark.sources.files import can_copy, copy_files, spread_by_folder
 from tidemark.sources.fs import FileSystem
 
 # Fixed value: files are merged up to this size.
@@ -339,13 +339,33 @@ class Dataset:
         return copy
 
     def copy_to(self, path: str) -> Dataset:
-        """A copy of rows and named texts, written by all executors."""
+        """A copy of rows and named texts, made by all executors: file by file where they can reach
+        both places, as one change that is there when all files are; row by row otherwise."""
         copy = self.empty_copy(path)
-        copy.copy_append(self)
+        if can_copy(self.path, copy.path):
+            copy._copy_files(self)
+        else:
+            copy.copy_append(self)
         for name in self.metadata_names():
             copy.set_metadata(name, self.metadata(name))
         return copy
 
+    def _copy_files(self, other: Dataset) -> None:
+        names = other.changes()
+        if not names:
+            return
+        files = other.file_frame()
+        folder = f"{self.path}/_copying-{uuid.uuid4().hex}"
+        done = copy_files(files, other.path, folder).agg(F.count(F.lit(1)), F.sum("length")).first()
+        if tuple(done) != tuple(files.agg(F.count(F.lit(1)), F.sum("length")).first()):
+            raise OSError(f"{other.path} changed while it was copied: nothing was added")
+        for name in names:  # one rename a change; the mark that makes it complete comes last
+            self._fs.mkdirs(f"{folder}/{name}")
+            self._fs.rename(f"{folder}/{name}", f"{self.path}/{name}")
+        for name in names:
+            self._fs.write_text(f"{self.path}/{name}/_SUCCESS", "")
+        self._fs.delete(folder)
+
 
 def _shape(fields: dict[str, T.DataType]) -> dict[str, str]:
     return {name: kind.simpleString() for name, kind in fields.items()}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import reduce
@@ -12,6 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -441,3 +444,65 @@ def write_document_store(
     """
     rows = df.select(*[F.col(f).alias(c) for c, f in mappings.items()]) if mappings else df
     rows.write.format(sink).mode(SINK_MODES[mode]).options(**options).save()
+
+
+def _opened(folder: str):
+    """pyarrow's file system for a folder, and its path there; None for one that only Spark can open."""
+    uri = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    try:
+        return pafs.FileSystem.from_uri(uri)
+    except (pa.ArrowInvalid, OSError, ImportError):
+        return None
+
+
+def can_copy(source: str, target: str) -> bool:
+    """Whether ``copy_files`` can reach both places."""
+    return _opened(source) is not None and _opened(target) is not None
+
+
+def copy_files(listed: DataFrame, source: str, target: str, tasks: int | None = None) -> DataFrame:
+    """Copy files byte by byte to the same places below another folder, by all executors.
+
+    ``listed`` has ``path, length`` of files below ``source``, as the binaryFile source lists them (it
+    leaves out files without bytes).
+    Files are dealt out so that every task gets as many of each size, counted in
+    powers of two. Each is written under the name of the attempt and then renamed, so a task that runs
+    again leaves whole files. Returns ``path, length, crc32`` of what was written, below ``target``; the
+    copying happens when it is used, once, so store it or collect it. Both folders must be
+    open to pyarrow on all executors, see ``can_copy``.
+    """
+    spark = listed.sparkSession
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    root = _qualified(spark, source)
+    below = F.substring("path", F.lit(len(root) + 1), F.length("path"))
+    same_size = Window.partitionBy(F.floor(F.log2(F.col("length") + 1))).orderBy(F.desc("length"), "path")
+    dealt = listed.select(below.alias("below"), "length", ((F.row_number().over(same_size) - 1) % tasks).cast("int").alias("task"))
+
+    def copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (store, start), (other, end) = _opened(source), _opened(target)
+        for batch in batches:
+            done = []
+            for below in batch.column("below").to_pylist():
+                name = f"{end}/{below}"
+                part, size, check = f"{name}.{uuid.uuid4().hex}", 0, 0
+                other.create_dir(name.rpartition("/")[0], recursive=True)
+                with store.open_input_stream(f"{start}/{below}", compression=None) as read, other.open_output_stream(part, compression=None) as write:
+                    while piece := read.read(4 << 20):
+                        write.write(piece)
+                        size, check = size + len(piece), zlib.crc32(piece, check)
+                other.move(part, name)
+                done.append((below, size, check))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([d[i] for d in done], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))],
+                names=["path", "length", "crc32"],
+            )
+
+    return dealt.repartitionById(tasks, "task").mapInArrow(copied, "path string, length bigint, crc32 bigint")
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as the names of files below it begin, with a slash at the end."""
+    from tidemark.sources.fs import FileSystem
+
+    store = FileSystem(spark, folder)
+    return store._fs.makeQualified(store.path(folder)).toString().rstrip("/") + "/"

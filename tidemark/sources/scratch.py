@@ -6,6 +6,7 @@ cheaper than ``DataFrame.checkpoint``, which computes its input twice.
 
 from __future__ import annotations
 
+import atexit
 import re
 import uuid
 
@@ -35,13 +36,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """A private folder for one run's intermediate tables."""
+    """A private folder for one run's intermediate tables.
+
+    Whoever made it closes it when its tables are no longer read. One that nobody closes, as
+    that of a checkpoint whose frame goes on to be used, is deleted when the driver ends.
+    """
 
     def __init__(self, spark: SparkSession, label: str = "run"):
         self.spark = spark
         self.root = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
         self._fs = FileSystem(spark, self.root)
         self._count = 0
+        atexit.register(self._left)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -64,3 +70,10 @@ class Scratch:
     def close(self) -> None:
         """Delete the whole folder. Frames read from it are unusable afterwards."""
         self._fs.delete(self.root)
+        atexit.unregister(self._left)
+
+    def _left(self) -> None:
+        try:
+            self._fs.delete(self.root)
+        except Exception:  # noqa: BLE001 - the JVM may be gone already
+            pass
