@@ -1,5 +1,6 @@
 """Each operator against a brute-force version, and on odd rows."""
 
+import functools
 import hashlib
 import html
 import math
@@ -442,9 +443,10 @@ def test_live_tokens_may_have_their_digit_or_letter_late(spark):
     assert found == {k: f"live:4:{4 + len(t)}" for k, t in late.items()} | {4: "", 5: ""}
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-def test_ngram_scores(spark, odd_texts, order):
+@pytest.mark.parametrize(("order", "stretch"), [(1, 1024), (2, 1024), (3, 1024), (2, 5), (4, 3)])
+def test_ngram_scores(spark, monkeypatch, odd_texts, order, stretch):
     common.find_package(spark)
+    monkeypatch.setattr(ngrams, "STRETCH", stretch)
     documents = spark.createDataFrame(odd_texts, "doc_id long, text string").repartition(3)
     ngrams.BLOCK_TOKENS, before = 600, ngrams.BLOCK_TOKENS
     found = ngrams.score(documents, common.fold("doc_id", 7) == 2, order).collect()
@@ -477,6 +479,31 @@ def test_ngram_scores(spark, odd_texts, order):
         assert row["base_score"] == pytest.approx(base) and row["score"] == pytest.approx(score)
 
 
+def test_automaton_states_and_arcs():
+    """A trigram automaton by hand: training is ``a b c a b d``, the text also has ``b a`` and a new word."""
+    words = {"a": 0, "b": 1, "c": 2, "d": 3, "x": 4}
+    text = [words[w] for w in "a b c a b d".split()] + [words[w] for w in "a b a x d".split()]
+    ids, sizes = np.array(text, dtype=np.int32), np.array([6, 5])
+    hashes = np.array([11, 22, 33, 44, 55], dtype=np.uint64) << np.uint64(40)
+    counts = []
+    for keys, exist in ngrams.grams(ids, sizes, hashes, 3):
+        _, which = np.unique(keys[exist], return_inverse=True)
+        training = np.arange(len(ids))[exist] < 6
+        counts.append(np.bincount(which, training).astype(float))
+    bins = [0] * 66
+    bins[0], bins[1], bins[64], bins[65] = 2, 2, 2, 2
+    model = ngrams.Model(bins, [2, 4] + [0] * 62)
+    made = ngrams.Automaton(ids, sizes, hashes, counts, model)
+    assert len(made.failures) == 1 + 4 + 4  # the empty one, a b c d, and ab bc ca bd
+    assert len(made.keys) == 4 + 4  # after one word: ab bc ca bd; after two: abc bca cab abd
+    state = lambda *path: functools.reduce(lambda at, w: int(made.step(np.array([at]), np.array([words[w]]))[0][0]), path, 0)
+    a, b, ab = state("a"), state("b"), state("a", "b")
+    assert state("x") == 0 and state("b", "a") == a and state("c", "a", "b") == ab
+    assert made.failures[ab] == b and made.failures[b] == 0
+    _, gained = made.step(np.array([ab]), np.array([words["x"]]))
+    assert gained[0] == pytest.approx(made.backoffs[ab] + made.backoffs[b] + made.first_weights[words["x"]])
+
+
 def test_ngram_scores_on_odd_tables(nothing, clashing):
     assert ngrams.score(nothing, F.lit(False)).count() == 0
     assert ngrams.score(clashing, F.lit(True)).where("score <> 0 or n_known > 0").count() == 0

@@ -1,4 +1,4 @@
-"""Language-model scores of word n-grams, with the weights of a backoff automaton.
+"""Language-model scores of word n-grams by a weighted backoff automaton.
 
 The model is smoothed by interpolation: a history ``h`` seen ``c`` times gives
 ``P(w|h) = (1 - l(c)) * n(hw) / c + l(c) * P(w|h')`` with ``h'`` one word shorter;
@@ -6,13 +6,16 @@ The model is smoothed by interpolation: a history ``h`` seen ``c`` times gives
 corpus. Single words are discounted by Good and Turing's rule, which gives their
 unseen mass to one unknown word. It sums to 1 over the known words and the unknown.
 
-In a backoff automaton the states would be the n-grams seen in training, an arc for
-``w`` would carry ``log10 P(w|h)``, and a state without one would fail to its shorter
-history. None is built here and no state is carried: one pass over all tokens for each
-length of n-gram looks the counts up by hash and interpolates, which gives the same sums.
+The states of the automaton are the empty history and the n-grams seen in training that are
+shorter than the order. A state has an arc for each word seen after it, of weight ``log10 P(w|h)``, to
+the state of the longest history the word makes; a failure arc of weight ``log10 l(c)`` leads to
+the state one word shorter, and the empty state has an arc for every word. A text is read once from
+left to right: a state is carried from word to word, failure arcs are followed until there is an arc,
+and the weights on the way are summed. All texts of a block are read in step. As a state depends on
+the last words only, a long text is read in stretches that each begin a few words early.
 
-No worker holds the model. Documents are cut into blocks of bounded size. A block
-asks for the n-grams that occur in it, sends along how often its training documents
+No worker holds the model: each block of documents, of bounded size, builds the part of
+the automaton that its own n-grams can reach. A block asks for the n-grams that occur in it, sends along how often its training documents
 have them, and gets back their counts over the corpus. n-grams meet by a hash, dealt
 evenly over slices, so frequent words make no hot key: each is one entry per block.
 
@@ -35,6 +38,8 @@ from tidemark.sources.fs import FileSystem
 
 #: Tokens after which a block ends.
 BLOCK_TOKENS = 700_000
+#: Tokens of a text that are read in one go.
+STRETCH = 1024
 END = b""
 BLOCKS = (
     "kind string, block long, gram int, slice int, doc_id long, held_out boolean, ids binary, hashes binary, counts binary"
@@ -211,32 +216,100 @@ class Model:
         return np.log10((counts + 1) / (self.tokens + self.types + 1))
 
 
-def traverse(ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, counts: list[np.ndarray], model: Model):
-    """Log probability of every token, and of each word of the vocabulary its count.
+class Automaton:
+    """States, arcs and failure arcs that the n-grams of a block can reach.
 
-    ``counts[m]`` belongs to the distinct n-grams of ``m + 1`` words in rising order
-    of their hashes. Every token gets the interpolated chance after its longest
-    history; a history that was not seen leaves that of the shorter one.
+    State 0 is the empty history. ``keys`` has ``state * words + word`` of every other arc in rising
+    order, ``weights`` and ``targets`` belong to them. ``first_weights`` and ``first_targets`` are the
+    empty state's arcs, by word; ``failures`` and ``backoffs`` are those of each state. ``seen`` counts
+    each word in training.
     """
-    shorter, log, ahead = None, None, None
-    for size, (keys, exist) in enumerate(grams(ids, sizes, hashes, len(counts)), 1):
-        here = np.zeros(len(ids))
-        _, which = np.unique(keys[exist], return_inverse=True)
-        here[exist] = counts[size - 1][which]
-        if size == 1:
-            chance = model.word(here)
-        else:
-            history = np.zeros(len(ids))
-            history[1:] = ahead[:-1]
-            history[~exist] = 0
-            fail = model.novelty(history)
-            arc = (1 - fail) * np.divide(here, history, out=np.zeros(len(ids)), where=history > 0) + fail * chance
-            chance = np.where(history > 0, arc, chance)
-        ahead = here
-        if size == 1:
-            shorter = here
-    log = np.log10(chance)
-    return log, shorter
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, counts: list[np.ndarray], model: Model):
+        """``counts[m]`` belongs to the distinct n-grams of ``m + 1`` words in rising order of their hashes."""
+        order, self.words = len(counts), len(hashes)
+        keys, weights, targets, failures, backoffs = [], [], [], [np.zeros(1, dtype=np.int64)], [np.zeros(1)]
+        states, before, chance, history = 1, np.zeros(len(ids), dtype=np.int64), None, None
+        for size, (grams_here, exist) in enumerate(grams(ids, sizes, hashes, order), 1):
+            _, first, which = np.unique(grams_here[exist], return_index=True, return_inverse=True)
+            place = np.flatnonzero(exist)  # of each n-gram's last word
+            here = np.zeros(len(ids))
+            here[place] = counts[size - 1][which]
+            if size == 1:
+                chance = model.word(here)
+                self.seen, self.first_weights = np.zeros(self.words), np.zeros(self.words)
+                self.seen[ids], self.first_weights[ids] = here, np.log10(chance)
+            else:
+                past = np.zeros(len(ids))
+                past[1:] = history[:-1]
+                past[~exist] = 0
+                fail = model.novelty(past)
+                arc = (1 - fail) * np.divide(here, past, out=np.zeros(len(ids)), where=past > 0) + fail * chance
+                chance = np.where(past > 0, arc, chance)
+            known = counts[size - 1] > 0
+            ends = place[first[known]]  # where each n-gram seen in training ends first in the block
+            to = before[ends]
+            if size < order:
+                number = np.full(len(known), -1, dtype=np.int64)
+                number[known] = states + np.arange(len(ends))
+                states += len(ends)
+                failures.append(to)
+                backoffs.append(np.log10(model.novelty(here[ends])))
+                to = number[known]
+            if size == 1:
+                self.first_targets = np.zeros(self.words, dtype=np.int64)
+                self.first_targets[ids[ends]] = to
+            else:
+                # The state before the last word is that of the n-gram without it, as that was seen too.
+                keys.append(before_last[ends - 1] * self.words + ids[ends])
+                weights.append(np.log10(chance[ends]))
+                targets.append(to)
+            if size < order:
+                longer = np.full(len(ids), -1, dtype=np.int64)
+                longer[place] = number[which]
+                before_last = longer
+                before = np.where(longer >= 0, longer, before)
+            history = here
+        by_key = np.argsort(np.concatenate(keys), kind="stable") if keys else np.empty(0, dtype=np.int64)
+        self.keys, self.weights, self.targets = (
+            np.concatenate([*x, np.empty(0, dtype=t)])[by_key] for x, t in ((keys, np.int64), (weights, np.float64), (targets, np.int64))
+        )
+        self.failures, self.backoffs, self.reach = np.concatenate(failures), np.concatenate(backoffs), order - 1
+
+    def step(self, states: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and the weights of the failure arcs and the arc that lead there."""
+        at, gained = states.copy(), np.zeros(len(states))
+        following, last = self.first_targets[words], self.first_weights[words]
+        going = np.flatnonzero(at)
+        while len(going):
+            key = at[going] * self.words + words[going]
+            arc = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+            there = self.keys[arc] == key if len(self.keys) else np.zeros(len(key), dtype=bool)
+            found = going[there]
+            following[found], last[found] = self.targets[arc[there]], self.weights[arc[there]]
+            going = going[~there]
+            gained[going] += self.backoffs[at[going]]
+            at[going] = self.failures[at[going]]
+            going = going[at[going] > 0]
+        return following, gained + last
+
+    def read(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Log probability of each text: the texts stand one after the other in ``ids``."""
+        parts = -(-sizes // STRETCH)
+        text = np.repeat(np.arange(len(sizes)), parts)
+        turn = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+        begin = turn * STRETCH
+        early = np.minimum(begin, self.reach)
+        length = np.minimum(sizes[text] - begin, STRETCH) + early
+        begin = begin - early + (np.cumsum(sizes) - sizes)[text]
+        longest = np.argsort(-length, kind="stable")
+        text, begin, early, length = text[longest], begin[longest], early[longest], length[longest]
+        states, total = np.zeros(len(text), dtype=np.int64), np.zeros(len(text))
+        for step in range(int(length.max(initial=0))):
+            live = int(np.searchsorted(-length, -step, side="left"))
+            states[:live], gained = self.step(states[:live], ids[begin[:live] + step].astype(np.int64))
+            total[:live] += np.where(step >= early[:live], gained, 0.0)
+        return np.bincount(text, total, len(sizes))
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -270,7 +343,8 @@ def _scored(documents: DataFrame, answers: DataFrame, model: Model, order: int)
                 for t, n in zip(texts, sizes, strict=True)
             ]
         )
-        log, words = traverse(ids, sizes, hashes, counts, model)
+        automaton = Automaton(ids, sizes, hashes, counts, model)
+        words = automaton.seen[ids]
         first = np.cumsum(sizes) - sizes
         columns = [
             left.column("doc_id").combine_chunks(),
@@ -279,7 +353,7 @@ def _scored(documents: DataFrame, answers: DataFrame, model: Model, order: int)
             np.add.reduceat((words > 0).astype(np.int64), first),
             np.full(len(sizes), model.tokens),
             np.add.reduceat(model.base(words), first),
-            np.add.reduceat(log, first),
+            automaton.read(ids, sizes),
         ]
         return pa.Table.from_batches([common.batch_of(SCORES_ARROW, columns)])
 
