@@ -573,7 +573,7 @@ def test_a_copy_is_complete_or_not_there(spark, folder, rows_of, monkeypatch):
             half._copy_files(d)
     assert half.is_empty()
     half.drop_unfinished()
-    assert half.is_empty()
+    assert half.is_empty() and FileSystem(spark, folder).list(f"{folder}/half") == ["_meta"]
     monkeypatch.setattr("tidemark.sources.dataset.can_copy", lambda *_: False)
     assert rows_of(d.copy_to(f"{folder}/rows").read()) == rows_of(d.read())
 

@@ -286,7 +286,7 @@ class Dataset:
         self.settle()
         complete = {p.rsplit("/", 2)[1] for p in self._fs.glob(self.path, "change=*/_SUCCESS")}
         for name in self._fs.list(self.path):
-            if name.startswith("change=") and name not in complete:
+            if name.startswith("_copying-") or name.startswith("change=") and name not in complete:
                 self._fs.delete(f"{self.path}/{name}")
 
     # -- upkeep
