@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from registry.base import query, table
 from tidemark.functions import coerce, dates, text
 from tidemark.operators import fields, grouping, joins, observing, quality, rows
+from tidemark.sources.scratch import Scratch
 from tidemark.sources import files
 
 # -- row functions
@@ -304,11 +305,12 @@ def _(spark, folder):
     )
 
 
-@query("debug_rows", "SELECT count(*) AS ones, CAST(sum(event_id) AS BIGINT) AS ids, count(*) AS seen FROM events")
+# Each row with its one, and how many rows the debug step has seen.
+@query("debug_rows", "SELECT event_id, 1 AS debug, count(*) OVER () AS seen FROM events")
 def _(spark, folder):
     watched, seen = observing.debug(table(spark, folder, "events").select("event_id"))
-    sums = watched.agg(F.sum("debug").alias("ones"), F.sum("event_id").alias("ids")).first()
-    return spark.createDataFrame([(*sums, observing.observed(seen)["rows"])], "ones bigint, ids bigint, seen bigint")
+    written = Scratch(spark, "debug").save(watched, "rows")
+    return written.withColumn("seen", F.lit(observing.observed(seen).get("rows", 0)).cast("bigint"))
 
 
 # The counter stands before the filter, so it sees all rows.
