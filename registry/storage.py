@@ -373,24 +373,31 @@ def _(spark, folder):
 @query(
     "dataset_consolidate",
     """
-SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, CAST(3 AS BIGINT) AS before, CAST(1 AS BIGINT) AS after
-FROM orders GROUP BY o_orderstatus""",
+SELECT o_orderkey, o_custkey, o_orderstatus, true AS merged, CAST(3 AS BIGINT) AS before, CAST(1 AS BIGINT) AS after FROM orders""",
 )
 def _(spark, folder):
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    stored = Dataset.create(spark, place(spark, "merge"), orders.schema, ("o_orderstatus",))
+    made = _orders_dataset(spark, folder, "merge")
+    snapshot = made.snapshot()
+    made.append(snapshot.read())
+    made.delete_snapshot(snapshot)
+    made.append(made.read().where("false"))
+    stored = made.empty_copy(place(spark, "merge-parts"))
     for third in range(3):
-        stored.append(orders.where(F.col("o_orderkey") % 3 == third))
+        stored.append(made.read().where(F.coalesce(F.abs(F.col("o_orderkey") % 3), F.lit(0)) == third))
 
     def counted(name: str):
-        status = F.regexp_extract("path", "/o_orderstatus=([^/]*)/", 1).alias("status")
-        rows = stored.file_frame().groupBy(status).agg(F.count(F.lit(1)).alias(name)).collect()  # one row a status
-        return spark.createDataFrame([tuple(r) for r in rows], f"o_orderstatus string, {name} bigint")
+        files = stored.read(with_path=True).groupBy(F.col("o_orderstatus").alias(f"{name}_status"))
+        counts = files.agg(F.countDistinct("path").alias(name))
+        return spark.createDataFrame([tuple(r) for r in counts.collect()], counts.schema)  # one row a status
 
-    before = counted("before")
+    before, files = counted("before"), stored.file_frame().count()
     stored.consolidate()
-    sums = stored.read().groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
-    return sums.join(before, "o_orderstatus").join(counted("after"), "o_orderstatus").select("o_orderstatus", "n", "keys", "before", "after")
+    after, merged = counted("after"), stored.file_frame().count() < files
+    rows = stored.read().withColumn("merged", F.lit(merged))
+    for counts in (before, after):
+        status = F.col(counts.columns[0])
+        rows = rows.join(F.broadcast(counts), F.col("o_orderstatus").eqNullSafe(status)).drop(status)
+    return rows
 
 
 @query("dataset_recompress", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
