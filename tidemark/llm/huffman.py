@@ -109,7 +109,8 @@ def unpack_bits(payload: bytes, checkpoints: np.ndarray, counts: np.ndarray, tab
     ``counts`` has the number of ids from each checkpoint on.
     """
     symbols, sizes, width = table
-    data = np.frombuffer(payload + bytes(8), dtype=np.uint8).astype(np.uint64)
+    data = np.frombuffer(payload + bytes(8), dtype=np.uint8).astype(np.uint32)
+    windows = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]
     at = checkpoints.astype(np.int64)
     places = np.concatenate([[0], np.cumsum(counts)])
     out = np.empty(int(places[-1]), dtype=np.uint32)
@@ -118,9 +119,7 @@ def unpack_bits(payload: bytes, checkpoints: np.ndarray, counts: np.ndarray, tab
     for step in range(int(counts.max(initial=0))):
         live = int(np.searchsorted(-left, -step, side="left"))
         here = at[:live]
-        byte = here >> 3
-        window = (data[byte] << 24 | data[byte + 1] << 16 | data[byte + 2] << 8 | data[byte + 3]).astype(np.int64)
-        key = (window >> (32 - width - (here & 7))) & ((1 << width) - 1)
+        key = (windows[here >> 3].astype(np.int64) >> (32 - width - (here & 7))) & ((1 << width) - 1)
         out[goal[:live] + step] = symbols[key]
         at[:live] = here + sizes[key]
     return out
